@@ -65,6 +65,18 @@ def wanted_blocks(weights: DataFrame, xs: tuple[int, int], ys: tuple[int, int],
             .select("*", F.explode(axis(ys)).alias("by")).repartition("img_id", "bx", "by"))
 
 
+def keep_wanted(placed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Keep the placed tiles of wanted blocks and add the ``weight`` of their image.
+
+    Joined on the block and not only the image, so that a shuffled join has no hot key.
+    Written as an outer join with a filter that also looks at a tile column: it stays an
+    outer join, of which only the light right side may be broadcast, never the pixels
+    (whose size on disk says little about their size in memory).
+    """
+    rows = placed.join(wanted, ["img_id", "bx", "by"], "left")
+    return rows.where(F.coalesce("weight", F.col("bx") - F.col("bx")) > 0)
+
+
 def cut_segments(tiles: DataFrame, segment: int | None, item_bytes: int) -> DataFrame:
     """Cut heavy tiles in runs of ``segment`` pixels (``seg`` numbers them).
 
@@ -202,9 +214,8 @@ def sum_neighbourhoods(sources: DataFrame, weights: DataFrame | None, grid: Tile
     item = np.dtype(dtype).itemsize if dtype else 1
     placed = place_in_blocks(cut_segments(sources, segment, item), grid, block)
     if weights is not None:
-        # on the block and not only the image, so that a shuffled join has no hot key
         wanted = wanted_blocks(weights, (0, grid.cols - 1), (0, grid.rows - 1), block)
-        placed = placed.join(wanted, ["img_id", "bx", "by"])
+        placed = keep_wanted(placed, wanted)
     if method == "arrow":
         run = _sum_block(grid, block, reach=grid.n_size, halo=0, limit=limit, dtype=dtype)
         rows = placed.select(*BLOCK_KEY, "x", "y", "pixels")
@@ -232,7 +243,7 @@ def sum_neighbourhoods_by_parts(sources: DataFrame, weights: DataFrame | None, g
             .withColumn("by", _block_of(_index("y", grid.tile_h), block)))
     if weights is not None:
         wanted = wanted_blocks(weights, grid.source_cols, grid.source_rows, block)
-        rows = rows.join(wanted, ["img_id", "bx", "by"])
+        rows = keep_wanted(rows, wanted)
     if method == "arrow":
         schema = _out_schema(sources, dtype)
         partial = (rows.select(*BLOCK_KEY, "x", "y", "pixels").groupBy(*BLOCK_KEY)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.pixels import BRIGHT_LIMIT, zero_above
 from ..grid import TileGrid
-from ..operators.attach import attach_tiles
+from ..operators.attach import assert_unique_tiles, attach_tiles
 from ..operators.combine import sum_tiles, to_long
 from ..operators.expand import expand_requests, grid_neighbours, source_ids
 from ..operators.halo import (BLOCK_METHODS, join_segments, sum_neighbourhoods,
@@ -50,7 +50,7 @@ def mosaic(requests: DataFrame, tiles, grid: TileGrid, strategy: str = "grouped"
            method: str | None = None, output: str = "tiles", limit=BRIGHT_LIMIT,
            on_missing: str = "skip", length: int | None = None, block: int = 8,
            segment: int | None = None, dtype: str | None = None,
-           partitions: int | None = None) -> DataFrame:
+           partitions: int | None = None, check_unique: bool = False) -> DataFrame:
     """Build every output tile of every requested image.
 
     Each output is the pixel-wise sum of the input tiles around it, pixels above
@@ -76,6 +76,9 @@ def mosaic(requests: DataFrame, tiles, grid: TileGrid, strategy: str = "grouped"
         come back as binary int64, or float64 for real pixels).
     partitions
         tasks among which a reader's calls are spread.
+    check_unique
+        first run a job over the key columns that fails if a tile is listed twice (the
+        pixels of every copy count).
     output
         ``tiles`` (img_id, z, x, y, pixels), ``segments`` (the same by ``seg``, which
         saves a shuffle when ``segment`` is set) or ``long`` (img_id, z, x, y, i, s).
@@ -87,6 +90,8 @@ def mosaic(requests: DataFrame, tiles, grid: TileGrid, strategy: str = "grouped"
     method = method or ("lanes" if strategy == "naive" else "arrow")
     if method not in BLOCK_METHODS or (strategy == "naive" and method == "arrow"):
         raise ValueError(f"method {method!r} does not exist for strategy {strategy!r}")
+    if check_unique and not callable(tiles):
+        assert_unique_tiles(tiles)
     weights = request_weights(requests)
 
     if strategy == "naive":

@@ -27,7 +27,7 @@ def write_images(tiles: DataFrame, path: str, layout: str = "per_image",
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    out = tiles
+    out, options = tiles, {"compression": codec}
     order = ["img_id", "x", "y"] + (["seg"] if "seg" in tiles.columns else [])
     if layout == "per_image":
         if grid is None:
@@ -35,8 +35,11 @@ def write_images(tiles: DataFrame, path: str, layout: str = "per_image",
         size = tiles_per_file or _tiles_per_file(grid)
         place = F.floor(F.col("x") / grid.tile_w) * grid.rows + F.floor(F.col("y") / grid.tile_h)
         out = out.repartition("img_id", F.floor(place / size))
+        if "seg" not in tiles.columns:
+            # several runs of one image may have met in a task
+            options["maxRecordsPerFile"] = size
     # sorted by image first: the writer then keeps one file open at a time
-    (out.sortWithinPartitions(*order).write.mode(mode).option("compression", codec)
+    (out.sortWithinPartitions(*order).write.mode(mode).options(**options)
      .partitionBy("img_id").parquet(path))
 
 

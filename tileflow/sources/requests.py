@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
 def request_list(spark: SparkSession, ids) -> DataFrame:
-    """Requests from a short list of image ids held by the caller."""
-    return spark.createDataFrame([(i,) for i in ids], "img_id string")
+    """Requests from a short list of image ids held by the caller.
+
+    Handed over in Arrow form, whose size the optimizer knows: it can then filter a large
+    tile table by a broadcast of the requests and need not shuffle it first.
+    """
+    return spark.createDataFrame(pa.table({"img_id": pa.array(list(ids), pa.string())}))
 
 
 def requests(df: DataFrame, id_col: str = "img_id") -> DataFrame:
