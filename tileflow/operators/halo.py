@@ -10,16 +10,13 @@ most of the data is as many groups as it has blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Tuple
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType
 
 from ..functions.pixels import BRIGHT_LIMIT, int_div, zero_above
 from ..grid import TileGrid
+from .block_sums import BLOCK_KEY, block_summer
 from .combine import sum_tiles, sum_type
 
 BLOCK_METHODS = ("arrow", "lanes", "long")
@@ -77,7 +74,7 @@ def keep_wanted(placed: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.where(F.coalesce("weight", F.col("bx") - F.col("bx")) > 0)
 
 
-def cut_segments(tiles: DataFrame, segment: int | None, item_bytes: int) -> DataFrame:
+def cut_segments(tiles: DataFrame, segment: int | None, dtype: str | None = None) -> DataFrame:
     """Cut heavy tiles in runs of ``segment`` pixels (``seg`` numbers them).
 
     A sum needs only equal pixel positions together, so every run is a group of its
@@ -88,7 +85,7 @@ def cut_segments(tiles: DataFrame, segment: int | None, item_bytes: int) -> Data
     rest = [c for c in tiles.columns if c != "pixels"]
     binary = isinstance(tiles.schema["pixels"].dataType, BinaryType)
     size = F.length("pixels") if binary else F.array_size("pixels")
-    run = segment * item_bytes if binary else segment
+    run = segment * np.dtype(dtype).itemsize if binary else segment
     last = int_div(size - 1, F.lit(run))
     cut = tiles.select("*", F.explode_outer(F.sequence(F.lit(0), last.cast("int"))).alias("seg"))
     start, width = F.col("seg") * run + 1, F.lit(run)
@@ -108,82 +105,6 @@ def join_segments(tiles: DataFrame, keys) -> DataFrame:
     return runs.select(*keys, whole.alias("pixels"))
 
 
-def _tile_vectors(batch: pa.RecordBatch, dtype):
-    """The pixels of every row of a batch as NumPy vectors."""
-    column = batch.column("pixels")
-    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
-        return [np.frombuffer(v.as_buffer(), dtype=dtype) for v in column]
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
-    return np.split(flat, ends[:-1])
-
-
-def _sum_block(grid: TileGrid, block: int, reach: int, halo: int, limit, dtype):
-    """Arrow function: add every tile of a block to the outputs within ``reach``.
-
-    Memory is the sums of the block (widened by ``halo``) and one Arrow batch.
-    """
-    n_x, n_y, tile_w, tile_h, z = grid.cols, grid.rows, grid.tile_w, grid.tile_h, grid.z
-
-    def window(b, n):
-        return max(b * block - halo, 0), min((b + 1) * block + halo, n)
-
-    def run(key: Tuple[pa.Scalar, ...],
-            batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        img, bx, by, seg, weight = (k.as_py() for k in key)
-        (x0, x1), (y0, y1) = window(bx, n_x), window(by, n_y)
-        sums = None
-        used = np.zeros((x1 - x0, y1 - y0), dtype=bool)
-        for batch in batches:
-            if batch.column("pixels").null_count:
-                batch = batch.filter(batch.column("pixels").is_valid())
-            xs = batch.column("x").to_numpy() // tile_w
-            ys = batch.column("y").to_numpy() // tile_h
-            for ix, iy, v in zip(xs, ys, _tile_vectors(batch, dtype)):
-                if sums is None:
-                    kind = np.float64 if v.dtype.kind == "f" else np.int64
-                    sums = np.zeros((x1 - x0, y1 - y0, len(v)), dtype=kind)
-                if len(v) != sums.shape[2]:
-                    raise ValueError("tiles of one sum differ in length")
-                at = (slice(max(ix - reach - x0, 0), max(ix + reach + 1 - x0, 0)),
-                      slice(max(iy - reach - y0, 0), max(iy + reach + 1 - y0, 0)))
-                sums[at] += v if limit is None else np.where(v > limit, v.dtype.type(0), v)
-                used[at] = True
-        if sums is None:
-            return
-        if weight != 1:
-            sums *= weight
-        for i in range(x1 - x0):
-            at = np.flatnonzero(used[i])
-            n = len(at)
-            if n:
-                yield pa.RecordBatch.from_pydict({
-                    "img_id": pa.array([img] * n),
-                    "z": pa.array(np.full(n, z)),
-                    "x": pa.array(np.full(n, (x0 + i) * tile_w)),
-                    "y": pa.array((y0 + at) * tile_h),
-                    "seg": pa.array(np.full(n, seg, dtype=np.int32)),
-                    "pixels": _pixel_column(sums[i][at], dtype)})
-
-    return run
-
-
-def _pixel_column(rows: np.ndarray, dtype):
-    if dtype is not None:
-        return pa.array([r.tobytes() for r in rows], type=pa.binary())
-    n, width = rows.shape
-    ends = np.arange(0, (n + 1) * width, width, dtype=np.int32) if width else np.zeros(n + 1, np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))
-
-
-def _out_schema(sources: DataFrame, dtype) -> str:
-    pixels = "binary" if dtype is not None else f"array<{sum_type(sources)}>"
-    return f"img_id string, z bigint, x bigint, y bigint, seg int, pixels {pixels}"
-
-
-BLOCK_KEY = ["img_id", "bx", "by", "seg", "weight"]
-
-
 def _fan_out(rows: DataFrame, grid: TileGrid, block: int | None) -> DataFrame:
     """Give every tile to the outputs that use it; inside its block if ``block`` is set."""
     def users(at, step, n_targets, block_at):
@@ -201,8 +122,20 @@ def _fan_out(rows: DataFrame, grid: TileGrid, block: int | None) -> DataFrame:
                     (F.col("_ty") * grid.tile_h).alias("y")))
 
 
+def _sum_blocks(rows, grid, block, by, dtype, kind, **reaches) -> DataFrame:
+    """Bring every block together and sum it with NumPy, one block after the other.
+
+    A sorted stream and not one call per group: the calls would cost more than the sums
+    of small tiles do.
+    """
+    schema = f"img_id string, z bigint, x bigint, y bigint, seg int, pixels {kind}"
+    return (rows.select(*BLOCK_KEY, "x", "y", "pixels").repartition(*by)
+            .sortWithinPartitions(*BLOCK_KEY)
+            .mapInArrow(block_summer(grid, block, dtype=dtype, **reaches), schema))
+
+
 def sum_neighbourhoods(sources: DataFrame, weights: DataFrame | None, grid: TileGrid,
-                       method: str = "arrow", block: int = 8, segment: int | None = None,
+                       method: str = "arrow", block: int = 16, segment: int | None = None,
                        limit=BRIGHT_LIMIT, dtype: str | None = None) -> DataFrame:
     """Threshold the source tiles and sum them over every output's neighbourhood.
 
@@ -211,16 +144,15 @@ def sum_neighbourhoods(sources: DataFrame, weights: DataFrame | None, grid: Tile
     One shuffle moves the pixels, keyed by block.  ``dtype`` gives the NumPy type of
     binary pixels.  Returns img_id, z, x, y, seg, pixels.
     """
-    item = np.dtype(dtype).itemsize if dtype else 1
-    placed = place_in_blocks(cut_segments(sources, segment, item), grid, block)
+    placed = place_in_blocks(cut_segments(sources, segment, dtype), grid, block)
     if weights is not None:
         wanted = wanted_blocks(weights, (0, grid.cols - 1), (0, grid.rows - 1), block)
         placed = keep_wanted(placed, wanted)
-    if method == "arrow":
-        run = _sum_block(grid, block, reach=grid.n_size, halo=0, limit=limit, dtype=dtype)
-        rows = placed.select(*BLOCK_KEY, "x", "y", "pixels")
-        return rows.groupBy(*BLOCK_KEY).applyInArrow(run, _out_schema(sources, dtype))
     by = ["img_id", "bx", "by"] + (["seg"] if segment else [])
+    if method == "arrow":
+        kind = "binary" if dtype else f"array<{sum_type(sources)}>"
+        return _sum_blocks(placed, grid, block, by, dtype, kind, reach=grid.n_size,
+                           source_halo=grid.n_size, out_halo=0, limit=limit)
     fanned = _fan_out(placed.repartition(*by), grid, block)
     element = lambda v: zero_above(v, limit) * F.col("weight")
     # the outputs of a block sit in its partition: this sum needs no further shuffle
@@ -229,7 +161,7 @@ def sum_neighbourhoods(sources: DataFrame, weights: DataFrame | None, grid: Tile
 
 
 def sum_neighbourhoods_by_parts(sources: DataFrame, weights: DataFrame | None, grid: TileGrid,
-                                method: str = "arrow", block: int = 8, segment: int | None = None,
+                                method: str = "arrow", block: int = 16, segment: int | None = None,
                                 limit=BRIGHT_LIMIT, dtype: str | None = None) -> DataFrame:
     """Same sums by partial results: first inside blocks of inputs, then across blocks.
 
@@ -237,25 +169,21 @@ def sum_neighbourhoods_by_parts(sources: DataFrame, weights: DataFrame | None, g
     outputs it reaches; only these partial sums, complete but for the rim of the block,
     move in the second shuffle.
     """
-    item = np.dtype(dtype).itemsize if dtype else 1
-    rows = cut_segments(sources, segment, item)
-    rows = (rows.withColumn("bx", _block_of(_index("x", grid.tile_w), block))
-            .withColumn("by", _block_of(_index("y", grid.tile_h), block)))
+    def with_block(df):
+        return (df.withColumn("bx", _block_of(_index("x", grid.tile_w), block))
+                .withColumn("by", _block_of(_index("y", grid.tile_h), block)))
+
+    rows = with_block(cut_segments(sources, segment, dtype))
     if weights is not None:
-        wanted = wanted_blocks(weights, grid.source_cols, grid.source_rows, block)
-        rows = keep_wanted(rows, wanted)
-    if method == "arrow":
-        schema = _out_schema(sources, dtype)
-        partial = (rows.select(*BLOCK_KEY, "x", "y", "pixels").groupBy(*BLOCK_KEY)
-                   .applyInArrow(_sum_block(grid, block, grid.n_size, grid.n_size, limit, dtype),
-                                 schema))
-        wide = "int64" if dtype and np.dtype(dtype).kind != "f" else ("float64" if dtype else None)
-        partial = (partial.withColumn("bx", _block_of(_index("x", grid.tile_w), block))
-                   .withColumn("by", _block_of(_index("y", grid.tile_h), block))
-                   .withColumn("weight", F.lit(1).cast("bigint")))
-        return (partial.select(*BLOCK_KEY, "x", "y", "pixels").groupBy(*BLOCK_KEY)
-                .applyInArrow(_sum_block(grid, block, 0, 0, None, wide), schema))
+        rows = keep_wanted(rows, wanted_blocks(weights, grid.source_cols, grid.source_rows, block))
     by = ["img_id", "bx", "by"] + (["seg"] if segment else [])
+    if method == "arrow":
+        kind = "binary" if dtype else f"array<{sum_type(sources)}>"
+        inside = _sum_blocks(rows, grid, block, by, dtype, kind, reach=grid.n_size,
+                             source_halo=0, out_halo=grid.n_size, limit=limit)
+        wide = ("float64" if np.dtype(dtype).kind == "f" else "int64") if dtype else None
+        inside = with_block(inside).withColumn("weight", F.lit(1))
+        return _sum_blocks(inside, grid, block, by, wide, kind, reach=0, source_halo=0, out_halo=0)
     fanned = _fan_out(rows.repartition(*by), grid, None)
     element = lambda v: zero_above(v, limit) * F.col("weight")
     keys = ["img_id", "z", "seg", "x", "y"]
