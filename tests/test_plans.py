@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tileflow import TileGrid, image_table, mosaic, with_tile_stats
 from tileflow.operators import source_ids
 from tileflow.sources import (TILE_KEY, key_table, read_tiles, request_list, request_weights,
-                              synthetic_reader, synthetic_tiles)
+                              synthetic_reader)
 
 GRID = TileGrid(600, 600, 60, 60)
 
@@ -18,6 +18,12 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def pixel_shuffles(text):
+    """Shuffles of rows that come from the tile scan."""
+    tile_img = re.search(r"FileScan parquet \[.*?img_id#(\d+)", text).group(1)
+    return len(re.findall(rf"Exchange \w+\([^)]*img_id#{tile_img}\b", text))
+
+
 def counting_reader(spark, length, deterministic):
     """A reader in Python that counts its calls."""
     reads = spark.sparkContext.accumulator(0)
@@ -63,7 +69,8 @@ def test_reading_is_spread_over_tasks(spark):
 def stored(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tiles") / "tiles")
     ids = source_ids(request_weights(request_list(spark, [f"i{n}" for n in range(30)])), GRID)
-    synthetic_tiles(ids, 36).select(*TILE_KEY, "pixels").write.parquet(path)
+    noise = F.transform(F.sequence(F.lit(1), F.lit(36)), lambda i: F.hash(*TILE_KEY, i) % 127)
+    ids.select(*TILE_KEY, noise.alias("pixels")).write.partitionBy("img_id").parquet(path)
     return path
 
 
@@ -80,12 +87,11 @@ def broadcast_up_to(spark, size):
 
 @pytest.mark.parametrize("method", ["arrow", "lanes", "long"])
 def test_grouped_moves_pixels_once(spark, stored, method):
-    text = plan(mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, method=method))
-    # the few requests filter the tiles before they move; the pixels are never broadcast
-    assert "LeftOuter, BuildRight" in text
-    heavy = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "bx" in line]
-    # the pixels, and the light block keys whose size is checked
-    assert len(heavy) == 2
+    with broadcast_up_to(spark, "50k"):
+        text = plan(mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, method=method))
+    # the few requests filter the tiles before they move
+    assert "Inner, BuildRight" in text
+    assert pixel_shuffles(text) == 1
     assert "PushedFilters: [" in text and "EqualTo(z,-1)" in text and "GreaterThanOrEqual(x,60)" in text
 
 
@@ -94,15 +100,15 @@ def test_shuffled_join_serves_the_sum(spark, stored, method):
     """Too many blocks to broadcast: the join's shuffle is the only one of the pixels."""
     with broadcast_up_to(spark, "-1"):
         text = plan(mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, method=method))
-    assert "Broadcast" not in text
-    assert len(re.findall(r"Exchange hashpartitioning\(img_id#\d+, bx", text)) == 2
+    assert "BroadcastExchange" not in text
+    assert pixel_shuffles(text) == 1
 
 
 def test_broadcast_is_decided_on_the_true_size(spark, stored):
     """The estimate of the block keys fits, their true size does not: no broadcast at run time."""
     fine = TileGrid(600 * 60, 600 * 60, 60, 60)
     built = mosaic(request_list(spark, [f"i{n}" for n in range(30)]), read_tiles(spark, stored), fine, block=2)
-    with broadcast_up_to(spark, "20k"):
+    with broadcast_up_to(spark, "50k"):
         assert "BuildRight" in plan(built)
         built.collect()
         final = plan(built).split("== Initial Plan ==")[0]
@@ -110,6 +116,15 @@ def test_broadcast_is_decided_on_the_true_size(spark, stored):
     assert "BroadcastHashJoin" not in final and "SortMergeJoin" in final
 
 
+@pytest.mark.parametrize("strategy", ["grouped", "partial"])
+def test_only_wanted_images_are_read(spark, stored, strategy):
+    """A tile table stored by image: partitions are pruned by the requests at run time."""
+    built = mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, strategy)
+    with broadcast_up_to(spark, "50k"):
+        assert "dynamicpruning" in plan(built)
+        assert built.count() == 200
+
+
 def test_partial_sums_before_the_last_shuffle(spark, stored):
     text = plan(mosaic(request_list(spark, ["i1"]), read_tiles(spark, stored), GRID, "partial", "lanes"))
     assert text.count("partial_sum") >= 2

@@ -66,12 +66,10 @@ def keep_wanted(placed: DataFrame, wanted: DataFrame) -> DataFrame:
     """Keep the placed tiles of wanted blocks and add the ``weight`` of their image.
 
     Joined on the block and not only the image, so that a shuffled join has no hot key.
-    Written as an outer join with a filter that also looks at a tile column: it stays an
-    outer join, of which only the light right side may be broadcast, never the pixels
-    (whose size on disk says little about their size in memory).
+    The filter, true of every request, marks the small side as selective: a tile table
+    stored by image is then read for the wanted images only.
     """
-    rows = placed.join(wanted, ["img_id", "bx", "by"], "left")
-    return rows.where(F.coalesce("weight", F.col("bx") - F.col("bx")) > 0)
+    return placed.join(wanted.where("weight > 0"), ["img_id", "bx", "by"])
 
 
 def cut_segments(tiles: DataFrame, segment: int | None, dtype: str | None = None) -> DataFrame:
@@ -135,7 +133,7 @@ def _sum_blocks(rows, grid, block, by, dtype, kind, **reaches) -> DataFrame:
 
 
 def sum_neighbourhoods(sources: DataFrame, weights: DataFrame | None, grid: TileGrid,
-                       method: str = "arrow", block: int = 16, segment: int | None = None,
+                       method: str = "arrow", block: int = 8, segment: int | None = None,
                        limit=BRIGHT_LIMIT, dtype: str | None = None) -> DataFrame:
     """Threshold the source tiles and sum them over every output's neighbourhood.
 
@@ -161,7 +159,7 @@ def sum_neighbourhoods(sources: DataFrame, weights: DataFrame | None, grid: Tile
 
 
 def sum_neighbourhoods_by_parts(sources: DataFrame, weights: DataFrame | None, grid: TileGrid,
-                                method: str = "arrow", block: int = 16, segment: int | None = None,
+                                method: str = "arrow", block: int = 8, segment: int | None = None,
                                 limit=BRIGHT_LIMIT, dtype: str | None = None) -> DataFrame:
     """Same sums by partial results: first inside blocks of inputs, then across blocks.
 

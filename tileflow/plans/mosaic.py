@@ -48,7 +48,7 @@ def read_sources(weights: DataFrame, tiles, grid: TileGrid, on_missing: str = "s
 
 def mosaic(requests: DataFrame, tiles, grid: TileGrid, strategy: str = "grouped",
            method: str | None = None, output: str = "tiles", limit=BRIGHT_LIMIT,
-           on_missing: str = "skip", length: int | None = None, block: int = 16,
+           on_missing: str = "skip", length: int | None = None, block: int = 8,
            segment: int | None = None, dtype: str | None = None,
            partitions: int | None = None, check_unique: bool = False) -> DataFrame:
     """Build every output tile of every requested image.
@@ -71,7 +71,7 @@ def mosaic(requests: DataFrame, tiles, grid: TileGrid, strategy: str = "grouped"
     block, segment
         outputs per block edge, and for heavy tiles the pixels per separately summed
         run.  A task needs about ``2 * (block + 2 n_size)^2 * min(segment, tile) * 8``
-        bytes: 42 MB for ``segment=8192``.
+        bytes: 52 MB for ``segment=32768``.
     dtype
         NumPy type of the pixels of a table with ``binary`` tiles (``arrow`` only; sums
         come back as binary int64, or float64 for real pixels).
