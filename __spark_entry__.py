@@ -253,7 +253,7 @@ def q_request_groups(spark, sf_dir):
 
 
 def q_request_mosaic(spark, sf_dir):
-    return to_long(request_mosaic(fragment_pipeline(_vector_requests(spark, sf_dir))))
+    return to_long(request_mosaic(fragment_pipeline(_vector_requests(spark, sf_dir)), length=10))
 
 
 def q_constant_tile(spark, sf_dir):

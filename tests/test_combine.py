@@ -51,6 +51,23 @@ def test_null_tile_adds_nothing_and_empty_tiles_stay(spark, method):
     assert rows(sum_tiles(df, ["k"], method=method)) == {1: [1, 2], 2: []}
 
 
+@pytest.mark.parametrize("length", [3, 10, 16])
+@pytest.mark.parametrize("output", ["tiles", "long"])
+def test_known_length_saves_a_shuffle(spark, length, output):
+    data = [(1, [1, 30, -5]), (1, [4, 5, 6]), (2, []), (3, None)]
+    df = spark.createDataFrame(data, "k int, pixels array<int>")
+    short = sum_tiles(df, ["k"], element=zero_above, length=length, output=output)
+    assert short._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(map(tuple, short.collect())) == sorted(
+        map(tuple, sum_tiles(df, ["k"], element=zero_above, output=output).collect()))
+    with pytest.raises(Exception, match="more than 2 pixels"):
+        sum_tiles(df, ["k"], length=2).collect()
+    unequal = df.union(spark.createDataFrame([(1, [7])], df.schema))
+    assert rows(sum_tiles(unequal, ["k"], truncate=True, length=length))[1] == [12]
+    with pytest.raises(Exception, match="differ in length"):
+        sum_tiles(unequal, ["k"], length=length).collect()
+
+
 def test_real_pixels(spark):
     df = spark.createDataFrame([(1, [0.5, 1.0]), (1, [0.25, 2.0])], "k int, pixels array<double>")
     assert rows(sum_tiles(df, ["k"])) == {1: [0.75, 3.0]}

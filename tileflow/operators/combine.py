@@ -52,6 +52,21 @@ def _lane_sums(df, keys, pixels, element, kind):
                        F.array(*[f"_p{k}" for k in range(LANES)]).alias("_piece"))
 
 
+def _short_sums(df, keys, pixels, element, kind, length):
+    """Tiles of at most ``length`` pixels: a single run, so one shuffle gives whole tiles."""
+    size = F.array_size(pixels)
+    lanes = df.select(*keys, size.alias("_size"), *[
+        element(F.get(pixels, F.lit(k))).cast(kind).alias(f"_p{k}") for k in range(length)])
+    sums = lanes.groupBy(*keys).agg(
+        F.min("_size").alias("_min"), F.max("_size").alias("_max"),
+        *[F.sum(f"_p{k}").alias(f"_p{k}") for k in range(length)])
+    too_long = F.raise_error(F.lit(f"a tile has more than {length} pixels"))
+    # a key with null tiles only has no sizes
+    return sums.where("_min is not null").select(
+        *keys, "_min", F.when(F.col("_max") > length, too_long).otherwise(F.col("_max")).alias("_max"),
+        F.array(*[f"_p{k}" for k in range(length)]).alias("_piece"))
+
+
 def _pixel_sums(df, keys, pixels, element, kind):
     out = df.select(*df.columns, F.array_size(pixels).alias("_size"),
                     F.posexplode_outer(pixels).alias("_pos", "_value"))
@@ -65,18 +80,25 @@ def _pixel_sums(df, keys, pixels, element, kind):
 
 
 def sum_tiles(df: DataFrame, keys, pixels: str = "pixels", method: str = "lanes",
-              output: str = "tiles", element=None, truncate: bool = False) -> DataFrame:
+              output: str = "tiles", element=None, truncate: bool = False,
+              length: int | None = None) -> DataFrame:
     """Add up the flat tiles of every key, pixel by pixel.
 
     ``element`` maps each pixel before it is added (it may use other columns of ``df``).
     Tiles of one key must be equally long; with ``truncate`` the shortest decides.
-    ``output`` is ``"tiles"`` (keys, pixels) or ``"long"`` (keys, i, s).
+    ``output`` is ``"tiles"`` (keys, pixels) or ``"long"`` (keys, i, s).  If no tile has
+    more than ``length`` pixels, and that is at most 16, saying so saves a shuffle.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     keys = list(keys)
     kind = sum_type(df, pixels)
     element = element or (lambda v: v)
+    if method == "lanes" and length is not None and length <= LANES:
+        sums = _short_sums(df, keys, pixels, element, kind, length)
+        tile = F.slice("_piece", F.lit(1), _same_length(F.col("_min"), truncate))
+        tiles = sums.select(*keys, tile.alias("pixels"))
+        return to_long(tiles) if output == "long" else tiles
     sums = _lane_sums if method == "lanes" else _pixel_sums
     width = LANES if method == "lanes" else 1
     pieces = sums(df, keys, pixels, element, kind)

@@ -37,13 +37,15 @@ def fragment_pipeline(requests: DataFrame, last_x: int = LAST_X, last_y: int = L
     ``fragment`` gives the pixels of one pair and may use its key columns; fragments of
     unequal length are cut to the shortest unless ``truncate`` is off.
     """
+    length = FRAGMENT_LENGTH if fragment is None else None
     fragment = constant_fragment() if fragment is None else fragment
     pairs = fragment_pairs(requests, last_x, last_y, partitions).withColumn("pixels", fragment)
     return sum_tiles(pairs, ["request", "img_id", "z", "x", "y"], truncate=truncate,
-                     element=lambda v: v * F.col("weight"))
+                     element=lambda v: v * F.col("weight"), length=length)
 
 
-def request_mosaic(tiles: DataFrame, key: str = "request", truncate: bool = True) -> DataFrame:
+def request_mosaic(tiles: DataFrame, key: str = "request", truncate: bool = True,
+                   length: int | None = None) -> DataFrame:
     """All tiles of a request added up to one.  Combined before the shuffle, so a
     request with most of the tiles costs its task one row per other task."""
-    return sum_tiles(tiles, [key], truncate=truncate)
+    return sum_tiles(tiles, [key], truncate=truncate, length=length)
