@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 @pytest.fixture(scope="session")
 def spark():
     session = (SparkSession.builder.master("local[8]").appName("tileflow-tests")
-               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.shuffle.partitions", "4")
                .config("spark.driver.memory", "8g")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")

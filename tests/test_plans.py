@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tileflow import TileGrid, image_table, mosaic, with_tile_stats
-from tileflow.operators import source_ids
+from tileflow.operators import halo, source_ids
 from tileflow.sources import (TILE_KEY, key_table, read_tiles, request_list, request_weights,
                               synthetic_reader)
 
@@ -61,8 +61,8 @@ def test_reading_is_spread_over_tasks(spark):
     tasks = F.udf(lambda x: [__import__("pyspark").TaskContext.get().partitionId()], "array<int>")
     reader = lambda img_id, z, x, y: tasks(x)
     from tileflow.plans.mosaic import read_sources
-    rows, _ = read_sources(request_weights(request_list(spark, ["a"])), reader, GRID)
-    assert rows.select(F.explode("pixels")).distinct().count() == 8
+    rows = read_sources(request_weights(request_list(spark, ["a"])), reader, GRID)
+    assert rows.select(F.explode("pixels")).distinct().count() == 4
 
 
 @pytest.fixture(scope="module")
@@ -75,54 +75,61 @@ def stored(spark, tmp_path_factory):
 
 
 @contextmanager
-def broadcast_up_to(spark, size):
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, size)
+def settings(spark, values):
+    old = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 @pytest.mark.parametrize("method", ["arrow", "lanes", "long"])
 def test_grouped_moves_pixels_once(spark, stored, method):
-    with broadcast_up_to(spark, "50k"):
-        text = plan(mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, method=method))
+    text = plan(mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, method=method))
     # the few requests filter the tiles before they move
     assert "Inner, BuildRight" in text
     assert pixel_shuffles(text) == 1
     assert "PushedFilters: [" in text and "EqualTo(z,-1)" in text and "GreaterThanOrEqual(x,60)" in text
 
 
-@pytest.mark.parametrize("method", ["arrow", "lanes"])
-def test_shuffled_join_serves_the_sum(spark, stored, method):
-    """Too many blocks to broadcast: the join's shuffle is the only one of the pixels."""
-    with broadcast_up_to(spark, "-1"):
-        text = plan(mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, method=method))
-    assert "BroadcastExchange" not in text
-    assert pixel_shuffles(text) == 1
+def test_all_images_need_no_join(spark, stored):
+    text = plan(mosaic(None, read_tiles(spark, stored), GRID))
+    assert "Join" not in text and pixel_shuffles(text) == 1
 
 
-def test_broadcast_is_decided_on_the_true_size(spark, stored):
-    """The estimate of the block keys fits, their true size does not: no broadcast at run time."""
-    fine = TileGrid(600 * 60, 600 * 60, 60, 60)
-    built = mosaic(request_list(spark, [f"i{n}" for n in range(30)]), read_tiles(spark, stored), fine, block=2)
-    with broadcast_up_to(spark, "50k"):
-        assert "BuildRight" in plan(built)
-        built.collect()
-        final = plan(built).split("== Initial Plan ==")[0]
-    assert "isFinalPlan=true" in final
-    assert "BroadcastHashJoin" not in final and "SortMergeJoin" in final
+@pytest.mark.parametrize("strategy", ["grouped", "partial"])
+@pytest.mark.parametrize("method", ["arrow", "lanes"])
+def test_many_requests_are_joined_by_block(spark, stored, strategy, method, monkeypatch):
+    """Over the measured bound nothing is broadcast: one more shuffle of the tiles."""
+    reqs, tiles = request_list(spark, ["i1", "i2", "i2"]), read_tiles(spark, stored)
+    few = mosaic(reqs, tiles, GRID, strategy, method, block=4).collect()
+    monkeypatch.setattr(halo, "BROADCAST_BYTES", 10)
+    many = mosaic(reqs, tiles, GRID, strategy, method, block=4)
+    text = plan(many)
+    # (the last sum of the partial lanes shuffles its runs and then its tiles)
+    expected = 4 if (strategy, method) == ("partial", "lanes") else 2
+    assert "SortMergeJoin" in text and "BroadcastHash" not in text
+    assert pixel_shuffles(text) == expected
+    # adaptive execution may turn the join into a broadcast of what it has measured: the
+    # blocks must stay whole
+    with settings(spark, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "100m"}):
+        assert sorted(many.collect()) == sorted(few)
+
+
+def test_naive_never_broadcasts_pairs(spark, stored):
+    text = plan(mosaic(request_list(spark, ["i1"]), read_tiles(spark, stored), GRID, "naive"))
+    assert "SortMergeJoin" in text and "BroadcastHash" not in text
 
 
 @pytest.mark.parametrize("strategy", ["grouped", "partial"])
 def test_only_wanted_images_are_read(spark, stored, strategy):
     """A tile table stored by image: partitions are pruned by the requests at run time."""
     built = mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, strategy)
-    with broadcast_up_to(spark, "50k"):
-        assert "dynamicpruning" in plan(built)
-        assert built.count() == 200
+    assert "dynamicpruning" in plan(built)
+    assert built.count() == 200
 
 
 def test_partial_sums_before_the_last_shuffle(spark, stored):

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_KEY = ["img_id", "bx", "by", "seg", "weight"]
+BLOCK_KEY = ["img_id", "bx", "by", "seg", "salt", "weight"]
 # Pixels handed back to Spark at a time.
 BATCH_BYTES = 32 << 20
 # Pixels per tile that are summed over the block at a time, to stay in the processor's cache.
@@ -59,7 +59,7 @@ class _BlockSums:
     """
 
     def __init__(self, key, grid, block, reach, source_halo, out_halo):
-        self.img, bx, by, self.seg, self.weight = key
+        self.img, bx, by, self.seg, _, self.weight = key
         self.grid, self.reach = grid, reach
 
         def span(b, halo, first, last):

@@ -20,6 +20,8 @@ from .block_sums import BLOCK_KEY, block_summer
 from .combine import sum_tiles, sum_type
 
 BLOCK_METHODS = ("arrow", "lanes", "long")
+# Largest requests (bytes of distinct ids and counts) that are sent to every executor.
+BROADCAST_BYTES = 8 << 20
 
 
 def _index(at: str, step: int):
@@ -47,29 +49,42 @@ def place_in_blocks(sources: DataFrame, grid: TileGrid, block: int) -> DataFrame
             .select("*", F.explode(by).alias("by")))
 
 
-def wanted_blocks(weights: DataFrame, xs: tuple[int, int], ys: tuple[int, int],
-                  block: int) -> DataFrame:
-    """The blocks over the given index ranges, for every requested image.
+def with_own_block(tiles: DataFrame, grid: TileGrid, block: int) -> DataFrame:
+    """Add ``bx`` and ``by``, the block the tile itself lies in."""
+    return (tiles.withColumn("bx", _block_of(_index("x", grid.tile_w), block))
+            .withColumn("by", _block_of(_index("y", grid.tile_h), block)))
 
-    The repartition lets adaptive execution see the true size before it decides between
-    broadcasting these keys and a shuffled join: estimates ignore that explode adds rows.
-    """
+
+def _fits_broadcast(weights: DataFrame) -> bool:
+    """True size of the distinct requests against the bound (a job over light rows)."""
+    size = weights.agg(F.sum(F.octet_length("img_id") + 8)).first()[0]
+    return (size or 0) <= BROADCAST_BYTES
+
+
+def wanted_blocks(weights: DataFrame, grid: TileGrid, block: int) -> DataFrame:
+    """The blocks of inputs of every requested image."""
     def axis(bounds):
         first, last = bounds[0] // block, max(bounds) // block
         return F.sequence(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"))
 
-    return (weights.select("*", F.explode(axis(xs)).alias("bx"))
-            .select("*", F.explode(axis(ys)).alias("by")).repartition("img_id", "bx", "by"))
+    return (weights.select("*", F.explode(axis(grid.source_cols)).alias("bx"))
+            .select("*", F.explode(axis(grid.source_rows)).alias("by")))
 
 
-def keep_wanted(placed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Keep the placed tiles of wanted blocks and add the ``weight`` of their image.
+def keep_wanted(tiles: DataFrame, weights: DataFrame, grid: TileGrid, block: int) -> DataFrame:
+    """Keep the tiles of requested images and add the ``weight`` of their image.
 
-    Joined on the block and not only the image, so that a shuffled join has no hot key.
-    The filter, true of every request, marks the small side as selective: a tile table
-    stored by image is then read for the wanted images only.
+    Requests of a measured small size are broadcast, and tiles of other images dropped
+    before they move; the filter, true of every request, marks them as selective, so that
+    of a table stored by image only the wanted images are read.  More requests are joined
+    by a shuffle, on the block and not only the image, so that there is no hot key.
     """
-    return placed.join(wanted.where("weight > 0"), ["img_id", "bx", "by"])
+    weights = weights.where("weight > 0")
+    if _fits_broadcast(weights):
+        return tiles.join(F.broadcast(weights), "img_id")
+    wanted = wanted_blocks(weights, grid, block).hint("merge")
+    return (with_own_block(tiles, grid, block).join(wanted, ["img_id", "bx", "by"])
+            .drop("bx", "by"))
 
 
 def cut_segments(tiles: DataFrame, segment: int | None, dtype: str | None = None) -> DataFrame:
@@ -120,37 +135,37 @@ def _fan_out(rows: DataFrame, grid: TileGrid, block: int | None) -> DataFrame:
                     (F.col("_ty") * grid.tile_h).alias("y")))
 
 
-def _sum_blocks(rows, grid, block, by, dtype, kind, **reaches) -> DataFrame:
+def _sum_blocks(rows, grid, block, dtype, kind, **reaches) -> DataFrame:
     """Bring every block together and sum it with NumPy, one block after the other.
 
     A sorted stream and not one call per group: the calls would cost more than the sums
-    of small tiles do.
+    of small tiles do.  The stream relies on whole blocks, so its repartition must not be
+    replaced by that of a join below, which adaptive execution may still change: it has
+    ``seg`` among its keys, which no join has.
     """
     schema = f"img_id string, z bigint, x bigint, y bigint, seg int, pixels {kind}"
-    return (rows.select(*BLOCK_KEY, "x", "y", "pixels").repartition(*by)
+    return (rows.select(*BLOCK_KEY, "x", "y", "pixels")
+            .repartition("img_id", "bx", "by", "seg", "salt")
             .sortWithinPartitions(*BLOCK_KEY)
             .mapInArrow(block_summer(grid, block, dtype=dtype, **reaches), schema))
 
 
-def sum_neighbourhoods(sources: DataFrame, weights: DataFrame | None, grid: TileGrid,
-                       method: str = "arrow", block: int = 8, segment: int | None = None,
-                       limit=BRIGHT_LIMIT, dtype: str | None = None) -> DataFrame:
+def sum_neighbourhoods(sources: DataFrame, grid: TileGrid, method: str = "arrow", block: int = 8,
+                       segment: int | None = None, limit=BRIGHT_LIMIT,
+                       dtype: str | None = None) -> DataFrame:
     """Threshold the source tiles and sum them over every output's neighbourhood.
 
-    ``sources`` lists each input tile once.  ``weights`` names the images to build and
-    how often each was requested; ``None`` if ``sources`` already carries ``weight``.
-    One shuffle moves the pixels, keyed by block.  ``dtype`` gives the NumPy type of
-    binary pixels.  Returns img_id, z, x, y, seg, pixels.
+    ``sources`` lists each input tile once, with the ``weight`` of its image.  One
+    shuffle moves the pixels, keyed by block.  ``dtype`` gives the NumPy type of binary
+    pixels.  Returns img_id, z, x, y, seg, pixels.
     """
     placed = place_in_blocks(cut_segments(sources, segment, dtype), grid, block)
-    if weights is not None:
-        wanted = wanted_blocks(weights, (0, grid.cols - 1), (0, grid.rows - 1), block)
-        placed = keep_wanted(placed, wanted)
-    by = ["img_id", "bx", "by"] + (["seg"] if segment else [])
     if method == "arrow":
         kind = "binary" if dtype else f"array<{sum_type(sources)}>"
-        return _sum_blocks(placed, grid, block, by, dtype, kind, reach=grid.n_size,
+        return _sum_blocks(placed.withColumn("salt", F.lit(0)), grid, block, dtype, kind, reach=grid.n_size,
                            source_halo=grid.n_size, out_halo=0, limit=limit)
+    # a constant seg would hide from the sum that its keys are already together
+    by = ["img_id", "bx", "by"] + (["seg"] if segment else [])
     fanned = _fan_out(placed.repartition(*by), grid, block)
     element = lambda v: zero_above(v, limit) * F.col("weight")
     # the outputs of a block sit in its partition: this sum needs no further shuffle
@@ -158,32 +173,29 @@ def sum_neighbourhoods(sources: DataFrame, weights: DataFrame | None, grid: Tile
     return sum_tiles(fanned, keys, method=method, element=element).drop("bx", "by")
 
 
-def sum_neighbourhoods_by_parts(sources: DataFrame, weights: DataFrame | None, grid: TileGrid,
-                                method: str = "arrow", block: int = 8, segment: int | None = None,
-                                limit=BRIGHT_LIMIT, dtype: str | None = None) -> DataFrame:
+def sum_neighbourhoods_by_parts(sources: DataFrame, grid: TileGrid, method: str = "arrow",
+                                block: int = 8, segment: int | None = None, limit=BRIGHT_LIMIT,
+                                dtype: str | None = None, salt: int = 1) -> DataFrame:
     """Same sums by partial results: first inside blocks of inputs, then across blocks.
 
     Every tile moves once, to the block of inputs it lies in, and is added to all
     outputs it reaches; only these partial sums, complete but for the rim of the block,
-    move in the second shuffle.
+    move in the second shuffle.  ``salt`` shares the first sum of a block among that many
+    groups, by the partition a tile was read in, for tables that list a tile very often.
     """
-    def with_block(df):
-        return (df.withColumn("bx", _block_of(_index("x", grid.tile_w), block))
-                .withColumn("by", _block_of(_index("y", grid.tile_h), block)))
-
-    rows = with_block(cut_segments(sources, segment, dtype))
-    if weights is not None:
-        rows = keep_wanted(rows, wanted_blocks(weights, grid.source_cols, grid.source_rows, block))
-    by = ["img_id", "bx", "by"] + (["seg"] if segment else [])
+    rows = with_own_block(cut_segments(sources, segment, dtype), grid, block)
+    rows = rows.withColumn("salt", F.spark_partition_id() % salt)
     if method == "arrow":
         kind = "binary" if dtype else f"array<{sum_type(sources)}>"
-        inside = _sum_blocks(rows, grid, block, by, dtype, kind, reach=grid.n_size,
-                             source_halo=0, out_halo=grid.n_size, limit=limit)
+        inside = _sum_blocks(rows, grid, block, dtype, kind, reach=grid.n_size, source_halo=0,
+                             out_halo=grid.n_size, limit=limit)
         wide = ("float64" if np.dtype(dtype).kind == "f" else "int64") if dtype else None
-        inside = with_block(inside).withColumn("weight", F.lit(1))
-        return _sum_blocks(inside, grid, block, by, wide, kind, reach=0, source_halo=0, out_halo=0)
+        inside = with_own_block(inside, grid, block).withColumns(
+            {"weight": F.lit(1), "salt": F.lit(0)})
+        return _sum_blocks(inside, grid, block, wide, kind, reach=0, source_halo=0, out_halo=0)
+    by = ["img_id", "bx", "by", "salt"] + (["seg"] if segment else [])
     fanned = _fan_out(rows.repartition(*by), grid, None)
     element = lambda v: zero_above(v, limit) * F.col("weight")
     keys = ["img_id", "z", "seg", "x", "y"]
-    partial = sum_tiles(fanned, keys + ["bx", "by"], method=method, element=element)
+    partial = sum_tiles(fanned, keys + ["bx", "by", "salt"], method=method, element=element)
     return sum_tiles(partial, keys, method=method)

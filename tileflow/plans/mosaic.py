@@ -9,7 +9,7 @@ from ..grid import TileGrid
 from ..operators.attach import assert_unique_tiles, attach_tiles
 from ..operators.combine import sum_tiles, to_long
 from ..operators.expand import expand_requests, grid_neighbours, source_ids
-from ..operators.halo import (BLOCK_METHODS, join_segments, sum_neighbourhoods,
+from ..operators.halo import (BLOCK_METHODS, join_segments, keep_wanted, sum_neighbourhoods,
                               sum_neighbourhoods_by_parts)
 from ..sources.requests import request_weights
 from ..sources.tiles import TILE_KEY
@@ -33,25 +33,28 @@ def tiles_of_grid(tiles: DataFrame, grid: TileGrid) -> DataFrame:
         & (y >= y0 * grid.tile_h) & (y <= y1 * grid.tile_h) & (y % grid.tile_h == 0))
 
 
-def read_sources(weights: DataFrame, tiles, grid: TileGrid, on_missing: str = "skip",
-                 length: int | None = None, partitions: int | None = None):
-    """Every wanted input tile once, and the weights still to be joined (or None)."""
+def read_sources(weights: DataFrame | None, tiles, grid: TileGrid, on_missing: str = "skip",
+                 length: int | None = None, partitions: int | None = None,
+                 block: int = 8) -> DataFrame:
+    """Every wanted input tile once, with the weight of its image."""
+    if weights is None:
+        return tiles_of_grid(tiles, grid).withColumn("weight", F.lit(1).cast("bigint"))
     if not callable(tiles) and on_missing == "skip":
-        return tiles_of_grid(tiles, grid), weights
-    # by the join key, or for a reader by an explicit number of tasks: adaptive execution
-    # would judge the rows by their few bytes and read all tiles in one task
+        return keep_wanted(tiles_of_grid(tiles, grid), weights, grid, block)
     ids = source_ids(weights, grid)
-    spread = (partitions or _spread(ids),) if callable(tiles) else ()
-    ids = ids.repartition(*spread, *TILE_KEY)
-    return attach_tiles(ids, tiles, TILE_KEY, on_missing, length), None
+    if callable(tiles):
+        # an explicit number of tasks: adaptive execution would judge the ids by their few
+        # bytes and read all tiles in one task
+        ids = ids.repartition(partitions or _spread(ids), *TILE_KEY)
+    return attach_tiles(ids, tiles, TILE_KEY, on_missing, length)
 
 
-def mosaic(requests: DataFrame, tiles, grid: TileGrid, strategy: str = "grouped",
+def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "grouped",
            method: str | None = None, output: str = "tiles", limit=BRIGHT_LIMIT,
            on_missing: str = "skip", length: int | None = None, block: int = 8,
            segment: int | None = None, dtype: str | None = None,
-           partitions: int | None = None, check_unique: bool = False) -> DataFrame:
-    """Build every output tile of every requested image.
+           partitions: int | None = None, salt: int = 1, check_unique: bool = False) -> DataFrame:
+    """Build every output tile of every requested image (``None``: of every image stored).
 
     Each output is the pixel-wise sum of the input tiles around it, pixels above
     ``limit`` counted as 0.  An image requested k times has k-fold sums.
@@ -77,9 +80,11 @@ def mosaic(requests: DataFrame, tiles, grid: TileGrid, strategy: str = "grouped"
         come back as binary int64, or float64 for real pixels).
     partitions
         tasks among which a reader's calls are spread.
+    salt
+        groups that share a block in the ``partial`` strategy, for a tile table that lists
+        a tile very often (the pixels of every copy count).
     check_unique
-        first run a job over the key columns that fails if a tile is listed twice (the
-        pixels of every copy count).
+        first run a job over the key columns that fails if a tile is listed twice.
     output
         ``tiles`` (img_id, z, x, y, pixels), ``segments`` (the same by ``seg``, which
         saves a shuffle when ``segment`` is set) or ``long`` (img_id, z, x, y, i, s).
@@ -93,23 +98,29 @@ def mosaic(requests: DataFrame, tiles, grid: TileGrid, strategy: str = "grouped"
         raise ValueError(f"method {method!r} does not exist for strategy {strategy!r}")
     if check_unique and not callable(tiles):
         assert_unique_tiles(tiles)
-    weights = request_weights(requests)
+    if salt != 1 and strategy != "partial":
+        raise ValueError("only the partial strategy takes a salt")
+    if requests is None and (strategy == "naive" or callable(tiles) or on_missing != "skip"):
+        raise ValueError("all stored images: grouped or partial, from a table, skipping missing tiles")
+    weights = None if requests is None else request_weights(requests)
 
     if strategy == "naive":
         if segment is not None or output == "segments":
             raise ValueError("the naive strategy does not cut tiles in segments")
         at = ("source_img_id", "z", "sx", "sy")
         pairs = grid_neighbours(expand_requests(weights, grid), grid)
-        # the join's own shuffle, made visible so that the pairs are not broadcast on an
-        # estimate that ignores their expansion
-        spread = (partitions or _spread(pairs),) if callable(tiles) else ()
-        rows = attach_tiles(pairs.repartition(*spread, *at), tiles, at, on_missing, length)
+        if callable(tiles):
+            pairs = pairs.repartition(partitions or _spread(pairs), *at)
+        rows = attach_tiles(pairs, tiles, at, on_missing, length, shuffle=True)
         return sum_tiles(rows, TILE_KEY, method=method, output=output,
                          element=lambda v: zero_above(v, limit) * F.col("weight"))
 
-    sources, to_join = read_sources(weights, tiles, grid, on_missing, length, partitions)
-    build = sum_neighbourhoods if strategy == "grouped" else sum_neighbourhoods_by_parts
-    segments = build(sources, to_join, grid, method, block, segment, limit, dtype)
+    sources = read_sources(weights, tiles, grid, on_missing, length, partitions, block)
+    if strategy == "grouped":
+        segments = sum_neighbourhoods(sources, grid, method, block, segment, limit, dtype)
+    else:
+        segments = sum_neighbourhoods_by_parts(sources, grid, method, block, segment, limit,
+                                               dtype, salt)
     if output == "segments":
         return segments
     if output == "long" and dtype is None:
