@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests import brute
 from tileflow import TileGrid, mosaic
 from tileflow.operators import (assert_unique_tiles, missing_tiles, source_ids, strategy_diff)
+from tileflow.operators import block_sums
 from tileflow.operators.halo import place_in_blocks
 from tileflow.sources import (TILE_KEY, read_tile_files, request_list, request_weights,
                               synthetic_reader, synthetic_tiles)
@@ -231,6 +232,20 @@ def test_blocks_are_bounded(spark):
     assert placed.count() < 1.6 * tiles.count()
 
 
+@pytest.mark.parametrize("strategy", ["grouped", "partial"])
+def test_blocks_over_many_small_batches(spark, strategy, monkeypatch):
+    monkeypatch.setattr(block_sums, "BATCH_BYTES", 200)
+    monkeypatch.setattr(block_sums, "CACHE_PIXELS", 4)
+    grid = TileGrid(12, 10, 2, 2)
+    tiles = random_tiles(grid, ["a", "b", "c"], 11, missing=0.1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        built = mosaic(request_list(spark, ["a", "b", "b"]), table(spark, tiles), grid, strategy, block=3)
+        assert collected(built) == brute.mosaic(["a", "b", "b"], tiles, grid)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_bad_arguments(spark):
     reqs, tiles, grid = request_list(spark, ["a"]), synthetic_reader(2), TileGrid(4, 4, 2, 2)
     for wrong in (dict(strategy="fast"), dict(method="fast"), dict(output="png"),

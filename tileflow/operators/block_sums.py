@@ -147,7 +147,7 @@ def block_summer(grid, block, reach, source_halo, out_halo, limit=None, dtype=No
     Adds every tile to the outputs within ``reach`` of it, pixels above ``limit`` as 0.
     ``dtype`` is the NumPy type of binary pixels, None for arrays.
     """
-    def run(batches):
+    def sums(batches):
         current, key = None, None
         for batch in batches:
             if batch.column("pixels").null_count:
@@ -169,4 +169,7 @@ def block_summer(grid, block, reach, source_halo, out_halo, limit=None, dtype=No
         if current is not None:
             yield from current.batches(dtype)
 
-    return lambda batches: _merged(run(batches))
+    def sum_blocks(batches):
+        return _merged(sums(batches))
+
+    return sum_blocks
