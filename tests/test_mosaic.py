@@ -8,6 +8,7 @@ from tileflow import TileGrid, mosaic
 from tileflow.operators import (assert_unique_tiles, missing_tiles, source_ids, strategy_diff)
 from tileflow.operators import block_sums
 from tileflow.operators.halo import place_in_blocks
+from tileflow.plans.mosaic import even_block
 from tileflow.sources import (TILE_KEY, read_tile_files, request_list, request_weights,
                               synthetic_reader, synthetic_tiles)
 
@@ -246,6 +247,12 @@ def test_blocks_over_many_small_batches(spark, strategy, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("side, block, even", [(10, 8, 10), (30, 8, 8), (12, 8, 6), (100, 8, 9),
+                                               (1, 8, 1), (5, 1, 1), (7, 3, 4), (13, 8, 7)])
+def test_blocks_are_even(side, block, even):
+    assert even_block(TileGrid(side, max(1, side // 2), 1, 1), block) == even <= 1.5 * max(block, 1)
+
+
 def test_bad_arguments(spark):
     reqs, tiles, grid = request_list(spark, ["a"]), synthetic_reader(2), TileGrid(4, 4, 2, 2)
     for wrong in (dict(strategy="fast"), dict(method="fast"), dict(output="png"),

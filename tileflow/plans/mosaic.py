@@ -33,6 +33,12 @@ def tiles_of_grid(tiles: DataFrame, grid: TileGrid) -> DataFrame:
         & (y >= y0 * grid.tile_h) & (y <= y1 * grid.tile_h) & (y % grid.tile_h == 0))
 
 
+def even_block(grid: TileGrid, block: int) -> int:
+    """Block edge near ``block`` (at most half again as long) that cuts the grid evenly."""
+    side = max(grid.cols, grid.rows)
+    return -(-side // max(1, round(side / block)))
+
+
 def read_sources(weights: DataFrame | None, tiles, grid: TileGrid, on_missing: str = "skip",
                  length: int | None = None, partitions: int | None = None,
                  block: int = 8) -> DataFrame:
@@ -72,9 +78,10 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
         ``skip`` inputs the table lacks, count them as ``zero`` (needs ``length``, the
         pixels per tile), or ``error``.
     block, segment
-        outputs per block edge, and for heavy tiles the pixels per separately summed
-        run.  A task needs about ``2 * (block + 2 n_size)^2 * min(segment, tile) * 8``
-        bytes: 52 MB for ``segment=32768``.
+        outputs per block edge (evened out over the grid), and for heavy tiles the pixels
+        per separately summed run.  A task needs about
+        ``2 * (block + 2 n_size)^2 * min(segment, tile) * 8`` bytes: 52 MB for
+        ``segment=32768``.
     dtype
         NumPy type of the pixels of a table with ``binary`` tiles (``arrow`` only; sums
         come back as binary int64, or float64 for real pixels).
@@ -115,6 +122,7 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
         return sum_tiles(rows, TILE_KEY, method=method, output=output,
                          element=lambda v: zero_above(v, limit) * F.col("weight"))
 
+    block = even_block(grid, block)
     sources = read_sources(weights, tiles, grid, on_missing, length, partitions, block)
     if strategy == "grouped":
         segments = sum_neighbourhoods(sources, grid, method, block, segment, limit, dtype)
