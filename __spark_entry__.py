@@ -414,7 +414,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_grouped_sum_all(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name[2:]: f for name, f in globals().items() if name.startswith("q_")}
     found.update({
         "neighbour_pairs": _pairs(NAMED),
@@ -475,7 +475,7 @@ _IMAGES = """with pv as (select vec_id as x, vec_id as y, unnest(range(0, 64)) a
     im as (select x, y, i, cast(trunc(cast(e[i + 1] as double) * 127) as integer) as v from pv)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def library_sql() -> dict[str, str]:
     items = f"""select img_id as request, img_id as t_img, cast(-1 as bigint) as t_z, x as t_x, y as t_y,
         'out' as t_type, img_id as s_img, cast(-1 as bigint) as s_z, sx as s_x, sy as s_y, 'in' as s_type,
         true as no_source_data, true as no_out_data from ({_sql_pairs(1, _POSITIVE)})"""
@@ -598,3 +598,27 @@ def oracle_sql() -> dict[str, str]:
         "image_manifest": _sql_mosaic() + """ select img_id, count(distinct x * 10 + y) as n_tiles,
             cast(1 as bigint) as n_files from mosaic group by img_id""",
     }
+
+
+# --- training-data operators, where their package is present -----------------------------
+
+
+def _optional() -> tuple[dict, dict]:
+    try:
+        from llm.queries import QUERIES, SQL
+
+        import corpus_pipeline
+    except ImportError:
+        return {}, {}
+    sql = dict(SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return library_queries() | _optional()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return library_sql() | _optional()[1]
