@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import op9_mixing
+from . import op9_mixing, op10_warc
 
-QUERIES = {"op9_mixing": op9_mixing.q_op9_mixing}
-SQL = {"op9_mixing": op9_mixing.SQL}
+QUERIES = {"op9_mixing": op9_mixing.q_op9_mixing,
+           "op10_warc": op10_warc.q_op10_warc}
+SQL = {"op9_mixing": op9_mixing.SQL,
+       "op10_warc": op10_warc.SQL}
