@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import op9_mixing, op10_warc
+from . import op2_decontaminate, op9_mixing, op10_warc
 
-QUERIES = {"op9_mixing": op9_mixing.q_op9_mixing,
+QUERIES = {"op2_decontaminate": op2_decontaminate.q_op2_decontaminate,
+           "op9_mixing": op9_mixing.q_op9_mixing,
            "op10_warc": op10_warc.q_op10_warc}
-SQL = {"op9_mixing": op9_mixing.SQL,
+SQL = {"op2_decontaminate": op2_decontaminate.SQL,
+       "op9_mixing": op9_mixing.SQL,
        "op10_warc": op10_warc.SQL}
