@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import op2_decontaminate, op5_chat, op8_substrings, op9_mixing, op10_warc
+from . import op1_topk, op2_decontaminate, op5_chat, op8_substrings, op9_mixing, op10_warc
 
-QUERIES = {"op2_decontaminate": op2_decontaminate.q_op2_decontaminate,
+QUERIES = {"op1_topk": op1_topk.q_op1_topk,
+           "op2_decontaminate": op2_decontaminate.q_op2_decontaminate,
            "op5_chat": op5_chat.q_op5_chat,
            "op8_substrings": op8_substrings.q_op8_substrings,
            "op9_mixing": op9_mixing.q_op9_mixing,
            "op10_warc": op10_warc.q_op10_warc}
-SQL = {"op2_decontaminate": op2_decontaminate.SQL,
+SQL = {"op1_topk": op1_topk.SQL,
+       "op2_decontaminate": op2_decontaminate.SQL,
        "op5_chat": op5_chat.SQL,
        "op8_substrings": op8_substrings.SQL,
        "op9_mixing": op9_mixing.SQL,
