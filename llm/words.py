@@ -29,7 +29,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def random_values(n: int, seed: int) -> np.ndarray:
     """n fixed 64-bit values, equal on every machine."""
     steps = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return _mixed(steps + np.uint64(seed) * np.uint64(0xD1B54A32D192ED03))
+    return _mixed(steps + np.array([seed], np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
 def _byte_class(inside) -> np.ndarray:
