@@ -188,11 +188,15 @@ def _useful(threshold):
     return search
 
 
-def _shared_shingles(texts, size):
+def _shared_shingles(table, size):
     """Sizes of the shingle sets, and the matrix of how many each two have in common."""
-    hashes, row = shingle_hashes(words_of(texts, BLANK_SEPARATED), size)
-    m = len(texts)
-    order = np.lexsort((row, hashes))
+    m, parts, done = len(table), [], 0
+    for part in chunks(table.select(["text"]).combine_chunks().to_batches()):
+        hashes, row = shingle_hashes(words_of(part.column("text"), BLANK_SEPARATED), size)
+        parts.append((hashes, row + done))
+        done += part.num_rows
+    hashes, row = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(hashes, kind="stable")  # rows ascend within a hash
     h, r = hashes[order], row[order]
     fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])]) if len(h) else np.zeros(0, bool)
     h, r = h[fresh], r[fresh]
@@ -222,7 +226,7 @@ def _verify(threshold, size):
             i, j = _candidates(path, low, high, *_tile_columns(table), threshold)
             if not len(i):
                 continue
-            sizes, common = _shared_shingles(table.column("text").combine_chunks(), size)
+            sizes, common = _shared_shingles(table, size)
             both = common[i, j].astype(np.float64)
             # s / (a + b - s) >= t without a division, exact for whole numbers up to rounding
             linked = both * (1 + threshold) >= threshold * (sizes[i] + sizes[j]) - 1e-9
