@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import op1_topk, op2_decontaminate, op3_jaccard, op4_html, op5_chat, op7_language, op8_substrings, op9_mixing, op10_warc
+from . import op1_topk, op2_decontaminate, op3_jaccard, op4_html, op5_chat, op6_licenses, op7_language, op8_substrings, op9_mixing, op10_warc
 
 QUERIES = {"op1_topk": op1_topk.q_op1_topk,
            "op2_decontaminate": op2_decontaminate.q_op2_decontaminate,
            "op3_jaccard": op3_jaccard.q_op3_jaccard,
            "op4_html": op4_html.q_op4_html,
            "op5_chat": op5_chat.q_op5_chat,
+           "op6_licenses": op6_licenses.q_op6_licenses,
            "op7_language": op7_language.q_op7_language,
            "op8_substrings": op8_substrings.q_op8_substrings,
            "op9_mixing": op9_mixing.q_op9_mixing,
@@ -16,6 +17,7 @@ QUERIES = {"op1_topk": op1_topk.q_op1_topk,
 SQL = {"op1_topk": op1_topk.SQL,
        "op2_decontaminate": op2_decontaminate.SQL,
        "op5_chat": op5_chat.SQL,
+       "op6_licenses": op6_licenses.SQL,
        "op8_substrings": op8_substrings.SQL,
        "op9_mixing": op9_mixing.SQL,
        "op10_warc": op10_warc.SQL}
