@@ -32,8 +32,11 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.999
 #: Coordinates of the embedding.
 COORDINATES = 64
-#: Nodes of a bucket searched at once.
-TILE = 128
+#: Buckets of at most this many nodes are split no further.
+SMALL = 128
+#: Nodes, and bytes of their texts, of the blocks that a larger bucket is dealt into; the
+#: more, the less often a text is sent, as a bucket of b blocks sends each to b tiles.
+TILE, TILE_BYTES = 512, 8 << 20
 #: A bucket that keeps this share of the one it came from is split no further.
 SIMILAR = 0.7
 MAX_DEPTH = 12
@@ -81,7 +84,8 @@ def _sets(size):
             flat = pa.array(signature.view(np.int32).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * COORDINATES, COORDINATES, dtype=np.int32)), flat)
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in ("doc_id", "doc", "tie")), names, lists], ["doc_id", "doc", "tie", "node", "signature"])
+                [*(part.column(c) for c in ("doc_id", "doc", "tie", "n_bytes")), names, lists],
+                ["doc_id", "doc", "tie", "n_bytes", "node", "signature"])
 
     return describe
 
@@ -97,8 +101,8 @@ def runs_needed(depth: int, threshold: float = THRESHOLD, recall: float = TARGET
     return 1 if meet >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
-def _split(nodes: DataFrame, runs: range, threshold: float, tile: int):
-    """The buckets of some runs, ``node, path, n``, and the deepest path.  The run is the
+def _split(nodes: DataFrame, runs: range):
+    """The buckets of some runs, ``node, path, n, bytes``, and the deepest path.  The run is the
     uppermost byte of a path."""
     at = lambda place: F.element_at("signature", (F.pmod(place, F.lit(COORDINATES)) + 1).cast("int"))
     named = lambda run, *parts: F.shiftleft(run, _RUN_BITS).bitwiseOR(
@@ -106,41 +110,41 @@ def _split(nodes: DataFrame, runs: range, threshold: float, tile: int):
     run = F.col("run").cast("bigint")
     rows = nodes.withColumn("run", F.explode(F.array(*[F.lit(r) for r in runs])))
     # first coordinates differ from run to run; 37 and 64 share no divisor
-    rows = rows.select("node", named(run, "run", at(F.col("run") * 37)), F.lit(1 << 62).alias("parent"))
+    rows = rows.select("node", "n_bytes", named(run, "run", at(F.col("run") * 37)), F.lit(1 << 62).alias("parent"))
     found, depth = [], 1
     while True:
-        size = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        size = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes")).where("n > 1")
         rows = saved(rows.join(size, "path"), "buckets")
-        done = (F.col("n") <= tile) | (F.col("n") >= SIMILAR * F.col("parent")) | F.lit(depth >= MAX_DEPTH)
-        found.append(rows.where(done).select("node", "path", "n"))
+        done = (F.col("n") <= SMALL) | (F.col("n") >= SIMILAR * F.col("parent")) | F.lit(depth >= MAX_DEPTH)
+        found.append(rows.where(done).select("node", "path", "n", "bytes"))
         rows = rows.where(~done)
         if rows.isEmpty():
             break
         depth += 1
         run = F.shiftrightunsigned("path", _RUN_BITS)
         rows = (rows.join(nodes.select("node", "signature"), "node")
-                .select("node", named(run, "path", at(F.xxhash64("path"))), F.col("n").alias("parent")))
+                .select("node", "n_bytes", named(run, "path", at(F.xxhash64("path"))), F.col("n").alias("parent")))
     whole = found[0]
     for more in found[1:]:
         whole = whole.union(more)
     return whole, depth
 
 
-def buckets(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, tile: int = TILE) -> DataFrame:
+def buckets(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
     """Buckets of all runs; runs are repeated until ``recall`` is reached at the depth met."""
-    whole, depth = _split(nodes, range(FIRST_RUNS), threshold, tile)
+    whole, depth = _split(nodes, range(FIRST_RUNS))
     done = FIRST_RUNS
     while done < min(runs_needed(depth, threshold, recall), MOST_RUNS):
         upto = min(max(done + MORE_RUNS, runs_needed(depth, threshold, recall)), MOST_RUNS)
-        more, deeper = _split(nodes, range(done, upto), threshold, tile)
+        more, deeper = _split(nodes, range(done, upto))
         whole, depth, done = whole.union(more), max(depth, deeper), upto
     return whole
 
 
-def _tiled(rows: DataFrame, tile: int) -> DataFrame:
-    """Deals the nodes of each bucket to blocks of about ``tile`` nodes; a row for each pair
-    of blocks (``low <= high``) that a node's block is part of."""
-    blocks = F.ceil(F.col("n") / tile).cast("int")
+def _tiled(rows: DataFrame, tile: int, tile_bytes: int) -> DataFrame:
+    """Deals the nodes of each bucket to blocks of about ``tile`` nodes and ``tile_bytes`` of
+    text at most; a row for each pair of blocks (``low <= high``) that a node's is part of."""
+    blocks = F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("bytes") / tile_bytes)).cast("int")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return rows.select("*", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")).drop("other")
@@ -262,7 +266,7 @@ def _distinct_nodes(table):
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE,
-                    recall: float = TARGET_RECALL, tile: int = TILE) -> DataFrame:
+                    recall: float = TARGET_RECALL, tile: int = TILE, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """``doc_id, doc, tie, class_id, n_links`` for every row of ``docs``.
 
     ``class_id`` is the smallest doc_id of the class: documents of equal shingle sets, and
@@ -274,12 +278,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     are not read.
     """
     texts = docs.select("doc_id", *identity(), "text")
-    listed = saved(texts.mapInArrow(_sets(size), "doc_id bigint, doc bigint, tie bigint, node binary, signature array<int>"), "sets")
+    sized = texts.select("*", F.octet_length("text").cast("bigint").alias("n_bytes"))
+    listed = saved(sized.mapInArrow(
+        _sets(size), "doc_id bigint, doc bigint, tie bigint, n_bytes bigint, node binary, signature array<int>"), "sets")
     nodes = saved(listed.where("node is not null").groupBy("node").agg(
         F.min(F.struct("doc", "tie")).alias("first"), F.min("doc_id").alias("least_id"),
-        F.first("signature").alias("signature")), "nodes")
-    per_node = buckets(nodes.select("node", "signature"), threshold, recall, tile).groupBy("node").agg(
-        F.collect_list(F.struct("path", "n")).alias("in"))
+        F.max("n_bytes").alias("n_bytes"), F.first("signature").alias("signature")), "nodes")
+    per_node = buckets(nodes.select("node", "n_bytes", "signature"), threshold, recall).groupBy("node").agg(
+        F.collect_list(F.struct("path", "n", "bytes")).alias("in"))
     sketch = F.concat(*[F.unhex(F.lpad(F.hex(F.element_at("signature", k + 1).bitwiseAND(F.lit(255))), 2, "0"))
                         for k in range(COORDINATES)])
     member = per_node.join(nodes.select("node", "first", sketch.alias("sketch")), "node")
@@ -287,7 +293,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     member = saved(member.select("node", "first", "sketch", "paths", "b.*"), "members")
     keys, n = ["path", "low", "high"], int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = lambda rows: rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tiles = dealt(_tiled(member, tile))
+    tiles = dealt(_tiled(member, tile, tile_bytes))
     useful = saved(tiles.mapInArrow(_useful(threshold), tiles.schema), "useful")
     wanted = useful.select("*", "first.*").drop("first")
     with_text = wanted.join(texts.select("doc", "tie", "text"), ["doc", "tie"])
