@@ -19,6 +19,7 @@ from .words import chunks, random_values
 DOCS_PER_LANGUAGE = 500
 SEGMENTS_PER_DOC = 8
 SEGMENT = 128
+MOST_LANGUAGES = 10_000
 UNDETERMINED = "und"
 
 
@@ -31,13 +32,17 @@ def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> D
     """``lang, text``: about ``per_language`` documents of every language, at most twice that.
 
     Documents are chosen by a hash of their text against a limit that follows from their
-    language's count, in one pass without a sort.
+    language's count, without a sort or shuffle of texts.  The counts, a row per language,
+    are broadcast; more than ``MOST_LANGUAGES`` are an error.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
                        & (F.length("text") > 0)).select("lang", "text")
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counts = docs.sparkSession.createDataFrame(counts, "lang string, n bigint")
     share = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    return known.join(counts, "lang").where(share * F.col("n") < per_language).select("lang", "text")
+    return known.join(F.broadcast(counts), "lang").where(share * F.col("n") < per_language).select("lang", "text")
 
 
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, **options) -> gru.Model | None:
