@@ -21,7 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .grouping import components, tables_by_key
 from .shared import saved
@@ -267,9 +267,9 @@ def _distinct_nodes(table):
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE,
                     recall: float = TARGET_RECALL, tile: int = TILE, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """``doc_id, doc, tie, class_id, n_links`` for every row of ``docs``.
+    """``doc_id, doc, tie, class_id, n_links, kept`` for every row of ``docs``.
 
-    ``class_id`` is the smallest doc_id of the class: documents of equal shingle sets, and
+    ``kept`` marks the first document of each class.  ``class_id`` is the smallest doc_id of the class: documents of equal shingle sets, and
     all that links of similarity ``threshold`` or more join.  ``n_links`` counts the other
     shingle sets that the document's own is similar to.  Null texts and texts without words
     have no set: each is a class of its own, without links.  Texts of one to four words are
@@ -300,14 +300,24 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     links = saved(dealt(with_text).mapInArrow(_verify(threshold, size), "node binary, root binary, links bigint"), "links")
     label = components(nodes.select("node"), links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degree = links.groupBy("node").agg(F.sum("links").alias("links"))
-    named = nodes.select("node", "least_id").join(label, "node", "left").join(degree, "node", "left")
-    named = saved(named.select("node", "least_id", F.coalesce("label", "node").alias("label"),
+    named = nodes.select("node", "first", "least_id").join(label, "node", "left").join(degree, "node", "left")
+    named = saved(named.select("node", "first", "least_id", F.coalesce("label", "node").alias("label"),
                                F.coalesce("links", F.lit(0)).alias("links")), "named")
-    classes = named.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    named = saved(named.join(classes, "label").select("node", "class_id", "links"), "classes")
-    return (listed.select("doc_id", "doc", "tie", "node").join(named, "node", "left")
-            .select("doc_id", "doc", "tie", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-                    F.coalesce("links", F.lit(0)).alias("n_links")))
+    classes = named.groupBy("label").agg(F.min("least_id").alias("class_id"), F.min("first").alias("kept"))
+    named = saved(named.join(classes, "label").select("node", "class_id", "kept", "links"), "classes")
+    alone = F.col("node").isNull()
+    return listed.select("doc_id", "doc", "tie", "node").join(named, "node", "left").select(
+        "doc_id", "doc", "tie", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("links", F.lit(0)).alias("n_links"), (alone | (F.col("kept") == F.struct("doc", "tie"))).alias("kept"))
+
+
+def one_per_class(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that come first in their class; of rows equal in
+    doc_id and text one stays."""
+    kept = near_duplicates(docs, **options).where("kept").select("doc", "tie").distinct()
+    rows = docs.select(F.struct("*").alias("row"), *identity()).join(kept, ["doc", "tie"])
+    copy = F.row_number().over(Window.partitionBy("doc", "tie").orderBy("doc"))
+    return rows.select("row", copy.alias("copy")).where("copy = 1").select("row.*")
 
 
 def q_op3_jaccard(spark, sf_dir):

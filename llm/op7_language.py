@@ -102,6 +102,14 @@ def identify(docs: DataFrame, columns: list[str], model: gru.Model | None) -> Da
                         F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"))
 
 
+def of_known_language(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is determined; a null ``lang`` is
+    filled with the predicted one."""
+    found = identify(docs, docs.columns, fit(docs, **options)).where(F.col("lang_pred") != UNDETERMINED)
+    columns = [F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias(c) if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns]
+    return found.select(*columns)
+
+
 def q_op7_language(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = identify(docs, ["doc_id"], fit(docs))

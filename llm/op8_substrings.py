@@ -198,6 +198,16 @@ def parse(docs: DataFrame, columns: list[str], window: int = WINDOW, anchor: int
         "factors array<struct<start:bigint,end:bigint,source_doc:bigint,source_start:bigint>>")
 
 
+def without_repeats(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, all columns, with duplicate spans cut out of ``text`` and ``n_chars`` counted
+    anew.  Texts without such spans stay as they are; documents of which nothing is left go."""
+    parsed = parse(docs, docs.columns, **options)
+    cut = F.col("n_removed") > 0
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
+    columns = [F.when(cut, new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns]
+    return parsed.where(~cut | (F.col("kept") != "")).select(*columns)
+
+
 def q_op8_substrings(spark, sf_dir):
     parsed = parse(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"])
     return parsed.select("row.doc_id", "n_words", "n_removed", "kept_sha256")

@@ -115,6 +115,20 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, seed: int = 0, cycle=
                        part.alias("part"), (F.col("epochs") * F.col("size") + part).alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes anything of, all columns, with the struct
+    ``mix`` of ``epochs``, ``part`` and ``taken``: the text is read ``epochs`` times, and its
+    first ``part`` words once more.  Equal rows share out what is taken of them."""
+    taken = (mix(docs, quality, **options).where("taken > 0").groupBy("doc_id", "text_hash")
+             .agg(F.collect_list(F.struct("epochs", "part", "taken")).alias("mixes")))
+    taken = taken.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), "text_hash", "mixes")
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
+                       F.xxhash64("text").alias("text_hash")).join(taken, ["_id", "text_hash"])
+    copy = F.row_number().over(Window.partitionBy("_id", "text_hash").orderBy("_id"))
+    rows = rows.select("row", F.get("mixes", copy - 1).alias("mix")).where("mix is not null")
+    return rows.select("row.*", "mix")
+
+
 def _key(source: str) -> Column:
     """A source as a key that is never null."""
     return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
@@ -128,7 +142,8 @@ def q_op9_mixing(spark, sf_dir):
 
 SQL = r"""
 with q as (select doc_id, avg(quality) as quality from labels group by doc_id),
-s as (select d.doc_id, d.source, cast(coalesce(len(regexp_extract_all(d.text, '[^ 	-]+')), 0) as bigint) as size,
+s as (select d.doc_id, d.source, cast(coalesce(len(regexp_extract_all(d.text, '[^ 	-
+]+')), 0) as bigint) as size,
         -ln((cast(('0x' || substr(md5(concat('0:', coalesce(cast(d.doc_id as varchar), ''), ':', md5(coalesce(d.text, '')))), 1, 13)) as bigint)
              + 1.0::double) / 4503599627370496.0::double) / coalesce(0.5::double + 1.5::double * q.quality, 1.0::double) as key
       from documents d left join q on q.doc_id = d.doc_id),
