@@ -1,13 +1,58 @@
-"""The corpus pipeline: from ``documents`` to a mix of sources, stage by stage."""
+"""The corpus pipeline: from ``documents`` to a mix of sources, stage by stage.
+
+Every stage works on what the one before kept and returns the columns of ``documents``; the
+last adds how often the mix reads a document.  Between stages the table is written, so a
+lost executor costs a stage at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from llm.op2_decontaminate import decontaminate
+from llm.op3_jaccard import one_per_class
+from llm.op7_language import of_known_language
+from llm.op8_substrings import without_repeats
+from llm.op9_mixing import mixed_documents
+from llm.shared import saved
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a determined language go; missing languages are filled in."""
+    return of_known_language(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays."""
+    return one_per_class(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that occur earlier are cut out of the texts."""
+    return without_repeats(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a benchmark item go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix of sources takes, with how often it reads them."""
+    quality = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return mixed_documents(docs, quality)
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates),
+          ("repeated_passages", repeated_passages), ("benchmark_passages", benchmark_passages),
+          ("source_mix", source_mix)]
+
+#: A trained network decides in the first stage: no SQL says which rows remain.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
