@@ -50,9 +50,11 @@ def _supplier_requests(spark, sf_dir):
 
 
 def _scratch(spark) -> str:
-    """A new folder name in the place shared by all executors."""
+    """A new folder name in the place shared by all executors (in local mode: anywhere)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tileflow-")
     return f"{shared.rstrip('/')}/tileflow-{uuid.uuid4().hex}"
 
@@ -153,6 +155,45 @@ def q_grouped_sum_zero(spark, sf_dir):
                   output="long", on_missing="zero", length=64).select("img_id", "x", "y", "i", "s")
 
 
+def q_grouped_sum_binary(spark, sf_dir):
+    """Tiles as byte strings, summed in runs of 24 pixels that are put together again."""
+    byte = lambda v: F.lpad(F.hex(v.cast("bigint").bitwiseAND(F.lit(255))), 2, "0")
+    tiles = _vector_tiles(spark, sf_dir).withColumn(
+        "pixels", F.unhex(F.array_join(F.transform("pixels", byte), "")))
+    built = mosaic(_vector_requests(spark, sf_dir), tiles, VECTORS, dtype="int8", segment=24, length=64)
+    digits = built.select("img_id", "x", "y", F.hex("pixels").alias("h"),
+                          F.explode(F.sequence(F.lit(0), int_div(F.length("pixels"), F.lit(8)) - 1)).alias("i"))
+    # the lowest byte comes first
+    value = F.conv(F.concat(*[F.substring("h", F.col("i") * 16 + k, F.lit(2)) for k in range(15, 0, -2)]), 16, -10)
+    return digits.select("img_id", "x", "y", F.col("i").cast("bigint").alias("i"), value.cast("bigint").alias("s"))
+
+
+def q_mosaic_shape(spark, sf_dir):
+    """Tiles of 8 rows of 4 pixels with 2 channels keep their shape."""
+    built = mosaic(_vector_requests(spark, sf_dir), _vector_tiles(spark, sf_dir), VECTORS, shape=(8, 4, 2))
+    found = tile_shape(reshape_tile(F.col("pixels"), 8, 4, 2), channels=True)
+    return built.select("img_id", "x", "y", *[F.col("shape")[k].alias(f"declared{k}") for k in range(3)],
+                        *[found[k].alias(f"found{k}") for k in range(3)])
+
+
+def _line_tiles(spark, sf_dir):
+    """Few tiles, each listed thousands of times: one per order line."""
+    line = F.col("l_linenumber").cast("bigint")
+    return _table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("img_id"), F.lit(-1).cast("bigint").alias("z"), line.alias("x"),
+        F.lit(0).cast("bigint").alias("y"), F.array(line, F.col("l_suppkey") % 30, -line).alias("pixels"))
+
+
+def _hot_tiles(strategy, method):
+    def query(spark, sf_dir):
+        grid = TileGrid(9, 1, 1, 1, clip="image")
+        flags = requests(_table(spark, sf_dir, "lineitem").select("l_returnflag").distinct(), "l_returnflag")
+        built = mosaic(flags, _line_tiles(spark, sf_dir), grid, strategy, method, output="long", salt=8)
+        return built.select("img_id", "x", "i", "s")
+
+    return query
+
+
 def q_repeated_requests(spark, sf_dir):
     reqs = _table(spark, sf_dir, "orders").select(
         F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).alias("img_id"))
@@ -186,6 +227,14 @@ def q_strategy_diff(spark, sf_dir):
     return strategy_diff(build("partial"), build("naive")).drop("z")
 
 
+def q_strategy_diff_limits(spark, sf_dir):
+    """Mosaics that do differ: another limit on one side, and a tile missing on the other."""
+    reqs, tiles = _vector_requests(spark, sf_dir), _vector_tiles(spark, sf_dir)
+    fewer = tiles.where("not (x = 9 and y >= 8)")
+    left = mosaic(reqs, tiles.where("not (x <= 2 and y <= 2)"), VECTORS)
+    return strategy_diff(left, mosaic(reqs, fewer, VECTORS, "partial", limit=60), only_different=True).drop("z")
+
+
 def q_result_count(spark, sf_dir):
     built = mosaic(_vector_requests(spark, sf_dir), _vector_tiles(spark, sf_dir), VECTORS)
     return built.groupBy("img_id").agg(F.count(F.lit(1)).alias("n_tiles"))
@@ -204,7 +253,7 @@ def q_threshold(spark, sf_dir):
 def _vector_items(spark, sf_dir):
     items = build_items(_vector_requests(spark, sf_dir), VECTORS)
     at = [f"source_tile_id.{c}" for c in ("img_id", "z", "x", "y")]
-    return (attach_tiles(items.drop("source_tile_data"), _vector_tiles(spark, sf_dir), at)
+    return (attach_tiles(items.drop("source_tile_data"), _vector_tiles(spark, sf_dir), at, shuffle=True)
             .withColumnRenamed("pixels", "source_tile_data"))
 
 
@@ -239,6 +288,14 @@ def q_fragment_pipeline(spark, sf_dir):
     return to_long(tiles).select("request", "x", "y", "i", "s")
 
 
+def q_fragment_tiles(spark, sf_dir):
+    """The fragments of stored tiles of the earlier image, blanked where bright."""
+    tiles = _vector_tiles(spark, sf_dir).withColumns(
+        {"img_id": F.concat("img_id", F.lit("_old")), "z": F.lit(0).cast("bigint")})
+    built = fragment_pipeline(_vector_requests(spark, sf_dir), 9, 9, fragment=threshold("pixels"), tiles=tiles)
+    return to_long(built).select("request", "x", "y", "i", "s")
+
+
 def q_fragment_truncate(spark, sf_dir):
     lines = _table(spark, sf_dir, "lineitem")
     size = F.col("l_quantity").cast("int")
@@ -346,9 +403,9 @@ def q_quantise(spark, sf_dir):
 def q_column_types(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
     names = orders.columns
-    kinds = F.array(*[F.struct(F.lit(c).alias("name"), F.typeof(c).alias("kind")) for c in names])
-    return (orders.select(F.explode(kinds).alias("c")).groupBy("c.name", "c.kind")
-            .agg(F.count(F.lit(1)).alias("n_values")))
+    counted = orders.agg(F.count(F.lit(1)).alias("n_values"), *[F.first(F.typeof(c)).alias(c) for c in names])
+    kinds = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("kind")) for c in names])
+    return counted.where("n_values > 0").select(F.inline(kinds), "n_values")
 
 
 def q_named_udf(spark, sf_dir):
@@ -402,11 +459,20 @@ def q_parquet_roundtrip(spark, sf_dir):
     return to_long(read_images(spark, path)).drop("z")
 
 
+def q_parquet_roundtrip_all(spark, sf_dir):
+    """Every stored image, written by image and read back."""
+    path = _scratch(spark)
+    write_mosaic(None, _vector_tiles(spark, sf_dir), VECTORS, path, tiles_per_file=30)
+    return to_long(read_images(spark, path)).drop("z")
+
+
 def q_image_manifest(spark, sf_dir):
-    manifest = write_mosaic(_vector_requests(spark, sf_dir), _vector_tiles(spark, sf_dir), VECTORS,
-                            _scratch(spark), layout="per_image")
-    return manifest.groupBy("img_id").agg(F.sum("n_tiles").alias("n_tiles"),
-                                          F.count(F.lit(1)).alias("n_files"))
+    """Parts of 30 places each; the second write's manifest lists its own files only."""
+    path, tiles = _scratch(spark), _vector_tiles(spark, sf_dir)
+    write_mosaic(None, tiles.where("img_id = '0'"), VECTORS, path, tiles_per_file=30)
+    manifest = write_mosaic(_vector_requests(spark, sf_dir), tiles, VECTORS, path, tiles_per_file=30, mode="append")
+    return manifest.groupBy("img_id", "part").agg(F.sum("n_tiles").alias("n_tiles"),
+                                                  F.count(F.lit(1)).alias("n_files"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -426,6 +492,11 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "grouped_sum_arrow": _mosaic("grouped", "arrow"),
         "grouped_sum_long": _mosaic("grouped", "long"),
         "grouped_sum_segments": _mosaic("grouped", "arrow", segment=24),
+        "grouped_sum_broadcast": _mosaic("grouped", "arrow", request_join="broadcast"),
+        "partial_sum_broadcast": _mosaic("partial", "lanes", request_join="broadcast"),
+        "naive_sum_broadcast": _mosaic("naive", "lanes", request_join="broadcast"),
+        "hot_tile_sum": _hot_tiles("grouped", "arrow"),
+        "hot_tile_sum_partial": _hot_tiles("partial", "arrow"),
         "partial_sum": _mosaic("partial", "lanes"),
         "partial_sum_arrow": _mosaic("partial", "arrow"),
     })
@@ -475,12 +546,20 @@ _IMAGES = """with pv as (select vec_id as x, vec_id as y, unnest(range(0, 64)) a
     im as (select x, y, i, cast(trunc(cast(e[i + 1] as double) * 127) as integer) as v from pv)"""
 
 
+_HOT = """with p as (select l_returnflag as img_id, l_linenumber as x, unnest([0, 1, 2]) as i,
+        unnest([l_linenumber, l_suppkey % 30, -l_linenumber]) as v from lineitem)
+    select img_id, cast(t.x as bigint) as x, cast(i as bigint) as i, cast(sum(case when v > 20 then 0 else v end) as bigint) as s
+    from range(0, 9) t(x) join p on p.x between t.x - 1 and t.x + 1 group by all"""
+
+
 def library_sql() -> dict[str, str]:
     items = f"""select img_id as request, img_id as t_img, cast(-1 as bigint) as t_z, x as t_x, y as t_y,
         'out' as t_type, img_id as s_img, cast(-1 as bigint) as s_z, sx as s_x, sy as s_y, 'in' as s_type,
         true as no_source_data, true as no_out_data from ({_sql_pairs(1, _POSITIVE)})"""
     mosaics = ["grouped_sum_all", "naive_sum", "grouped_sum", "grouped_sum_arrow", "grouped_sum_long",
-               "grouped_sum_segments", "partial_sum", "partial_sum_arrow", "parquet_roundtrip"]
+               "grouped_sum_segments", "partial_sum", "partial_sum_arrow", "parquet_roundtrip",
+               "grouped_sum_broadcast", "partial_sum_broadcast", "naive_sum_broadcast", "grouped_sum_binary",
+               "parquet_roundtrip_all"]
     return {name: _MOSAIC for name in mosaics} | {
         "expand_requests": f"""select s_name as request, s_name as img_id, cast(-1 as bigint) as z,
             x, y, 'out' as type from supplier, {_GRID}""",
@@ -595,8 +674,27 @@ def library_sql() -> dict[str, str]:
         "group_by": """select l_suppkey, l_returnflag, count(*) as n_lines,
             cast(sum(cast(l_quantity as bigint)) as bigint) as quantity,
             min(l_extendedprice) as least, max(l_extendedprice) as most from lineitem group by all""",
-        "image_manifest": _sql_mosaic() + """ select img_id, count(distinct x * 10 + y) as n_tiles,
-            cast(1 as bigint) as n_files from mosaic group by img_id""",
+        "image_manifest": _sql_mosaic() + """ select img_id, cast((x * 10 + y) // 30 as integer) as part,
+            count(distinct x * 10 + y) as n_tiles, cast(1 as bigint) as n_files from mosaic group by all""",
+        "mosaic_shape": _sql_mosaic() + """ select distinct img_id, x, y, 8 as declared0, 4 as declared1, 2 as declared2,
+            8 as found0, 4 as found1, 2 as found2 from mosaic""",
+        "hot_tile_sum": _HOT, "hot_tile_sum_partial": _HOT,
+        "strategy_diff_limits": f"""with {_TILES},
+            pr as (select img_id, x as tx, y as ty, x + dx as x, y + dy as y
+                   from t, range(-1, 2) ox(dx), range(-1, 2) oy(dy) where x + dx > 0 and y + dy > 0),
+            a as (select img_id, tx as x, ty as y, i, sum(case when v > 20 then 0 else v end) as s from pr
+                  join pv using (img_id, x, y) where not (x <= 2 and y <= 2) group by all),
+            b as (select img_id, tx as x, ty as y, i, sum(case when v > 60 then 0 else v end) as s from pr
+                  join pv using (img_id, x, y) where not (x = 9 and y >= 8) group by all),
+            j as (select img_id, x, y, i, a.s as sa, b.s as sb from a full join b using (img_id, x, y, i)),
+            k as (select img_id, x, y, case when count(sb) = 0 then 'left' when count(sa) = 0 then 'right' else 'both' end as side,
+                  count(*) filter (sa is distinct from sb) as n_diff from j group by all)
+            select img_id, x, y, side, n_diff from k where side <> 'both' or n_diff > 0""",
+        "fragment_tiles": f"""with {_TILES},
+            pr as (select img_id as request, gx.x as tx, gy.y as ty, gx.x + dx as x, gy.y + dy as y
+                   from (select distinct img_id from t), range(0, 10) gx(x), range(0, 10) gy(y), range(-1, 1) ox(dx), range(-1, 1) oy(dy))
+            select request, tx as x, ty as y, i, cast(sum(case when v > 20 then 0 else v end) as bigint) as s
+            from pr join pv on pv.img_id = pr.request and pv.x = pr.x and pv.y = pr.y group by all""",
     }
 
 

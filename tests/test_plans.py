@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tileflow import TileGrid, image_table, mosaic, with_tile_stats
-from tileflow.operators import halo, source_ids
+from tileflow.operators import source_ids, strategy_diff
 from tileflow.sources import (TILE_KEY, key_table, read_tiles, request_list, request_weights,
                               synthetic_reader)
 
@@ -61,7 +61,7 @@ def test_reading_is_spread_over_tasks(spark):
     tasks = F.udf(lambda x: [__import__("pyspark").TaskContext.get().partitionId()], "array<int>")
     reader = lambda img_id, z, x, y: tasks(x)
     from tileflow.plans.mosaic import read_sources
-    rows = read_sources(request_weights(request_list(spark, ["a"])), reader, GRID)
+    rows, _ = read_sources(request_weights(request_list(spark, ["a"])), reader, GRID)
     assert rows.select(F.explode("pixels")).distinct().count() == 4
 
 
@@ -88,7 +88,8 @@ def settings(spark, values):
 
 @pytest.mark.parametrize("method", ["arrow", "lanes", "long"])
 def test_grouped_moves_pixels_once(spark, stored, method):
-    text = plan(mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, method=method))
+    text = plan(mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, method=method,
+                       request_join="broadcast"))
     # the few requests filter the tiles before they move
     assert "Inner, BuildRight" in text
     assert pixel_shuffles(text) == 1
@@ -102,15 +103,14 @@ def test_all_images_need_no_join(spark, stored):
 
 @pytest.mark.parametrize("strategy", ["grouped", "partial"])
 @pytest.mark.parametrize("method", ["arrow", "lanes"])
-def test_many_requests_are_joined_by_block(spark, stored, strategy, method, monkeypatch):
-    """Over the measured bound nothing is broadcast: one more shuffle of the tiles."""
+def test_many_requests_are_joined_by_block(spark, stored, strategy, method):
+    """By default nothing is broadcast, and the tiles meet the requests where blocks come together."""
     reqs, tiles = request_list(spark, ["i1", "i2", "i2"]), read_tiles(spark, stored)
-    few = mosaic(reqs, tiles, GRID, strategy, method, block=4).collect()
-    monkeypatch.setattr(halo, "BROADCAST_BYTES", 10)
+    few = mosaic(reqs, tiles, GRID, strategy, method, block=4, request_join="broadcast").collect()
     many = mosaic(reqs, tiles, GRID, strategy, method, block=4)
     text = plan(many)
     # (the last sum of the partial lanes shuffles its runs and then its tiles)
-    expected = 4 if (strategy, method) == ("partial", "lanes") else 2
+    expected = 3 if (strategy, method) == ("partial", "lanes") else 1
     assert "SortMergeJoin" in text and "BroadcastHash" not in text
     assert pixel_shuffles(text) == expected
     # adaptive execution may turn the join into a broadcast of what it has measured: the
@@ -119,6 +119,21 @@ def test_many_requests_are_joined_by_block(spark, stored, strategy, method, monk
         assert sorted(many.collect()) == sorted(few)
 
 
+def test_too_many_requests_for_a_broadcast(spark, stored):
+    reqs, tiles = request_list(spark, ["i1", "i2"]), read_tiles(spark, stored)
+    with pytest.raises(ValueError, match="request_join"):
+        mosaic(reqs, tiles, GRID, request_join="broadcast", broadcast_limit=10)
+
+
+@pytest.mark.parametrize("options", [dict(on_missing="zero", length=36), dict(on_missing="error"), dict(strategy="naive")])
+def test_left_joins_are_pruned_and_never_broadcast(spark, stored, options):
+    reqs, tiles = request_list(spark, ["i1"]), read_tiles(spark, stored)
+    text = plan(mosaic(reqs, tiles, GRID, **options))
+    assert "BroadcastHash" not in text and "GreaterThanOrEqual(x,60)" in text and "EqualTo(z,-1)" in text
+    text = plan(mosaic(reqs, tiles, GRID, request_join="broadcast", **options))
+    assert "dynamicpruning" in text and text.count("BroadcastHashJoin") == 1  # of the requests alone
+
+
 def test_naive_never_broadcasts_pairs(spark, stored):
     text = plan(mosaic(request_list(spark, ["i1"]), read_tiles(spark, stored), GRID, "naive"))
     assert "SortMergeJoin" in text and "BroadcastHash" not in text
@@ -127,7 +142,8 @@ def test_naive_never_broadcasts_pairs(spark, stored):
 @pytest.mark.parametrize("strategy", ["grouped", "partial"])
 def test_only_wanted_images_are_read(spark, stored, strategy):
     """A tile table stored by image: partitions are pruned by the requests at run time."""
-    built = mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, strategy)
+    built = mosaic(request_list(spark, ["i1", "i2"]), read_tiles(spark, stored), GRID, strategy,
+                   request_join="broadcast")
     assert "dynamicpruning" in plan(built)
     assert built.count() == 200
 
@@ -166,3 +182,11 @@ def test_filter_reaches_the_tile_scan(spark, stored):
                                           F.col("id").alias("x"), F.col("id").alias("y"))
     text = plan(image_table(keys, read_tiles(spark, stored), 6).where("x > 120"))
     assert "GreaterThan(x,120)" in text
+
+
+def test_difference_of_mosaics_does_not_deal_the_naive_side_again(spark, stored):
+    reqs, tiles = request_list(spark, ["i1"]), read_tiles(spark, stored)
+    naive = plan(mosaic(reqs, tiles, GRID, "naive")).count("Exchange hashpartitioning")
+    partial = plan(mosaic(reqs, tiles, GRID, "partial")).count("Exchange hashpartitioning")
+    both = plan(strategy_diff(mosaic(reqs, tiles, GRID, "partial"), mosaic(reqs, tiles, GRID, "naive")))
+    assert both.count("Exchange hashpartitioning") == naive + partial + 1

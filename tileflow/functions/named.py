@@ -14,8 +14,8 @@ def named_udf(name, function, return_type, vectorized=False, **bound):
     Series instead of single values.
     """
     if vectorized:
-        def call(*columns: pd.Series) -> pd.Series:
-            return function(*columns, **bound)
+        def call(*columns: pd.Series, **named: pd.Series) -> pd.Series:
+            return function(*columns, **{**named, **bound})
     else:
         def call(*values, **kwargs):
             return function(*values, **{**kwargs, **bound})

@@ -18,9 +18,11 @@ def int_div(a, b) -> Column:
 
 
 def zero_above(value, limit=BRIGHT_LIMIT) -> Column:
-    """One pixel: 0 if above the limit, else unchanged."""
+    """One pixel: 0 if above the limit (None: there is none), else unchanged (as NaN is)."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.when(value > limit, F.lit(0)).otherwise(value)
+    if limit is None:
+        return value
+    return F.when((value > limit) & ~F.isnan(value), F.lit(0)).otherwise(value)
 
 
 def threshold(pixels, limit=BRIGHT_LIMIT) -> Column:
@@ -37,15 +39,25 @@ def flatten_tile(image) -> Column:
     return F.flatten(image)
 
 
-def reshape_tile(pixels, height, width) -> Column:
-    """Flat tile to ``height`` rows of ``width`` pixels."""
+def reshape_tile(pixels, height, width, channels=None) -> Column:
+    """Flat tile to ``height`` rows of ``width`` pixels, each an array if there are ``channels``."""
     width = F.lit(width)
-    return F.transform(F.sequence(F.lit(0), F.lit(height) - 1),
-                       lambda r: F.slice(pixels, r * width + 1, width))
-
-
-def tile_shape(image) -> Column:
-    return F.array(F.array_size(image), F.array_size(F.get(image, F.lit(0))))
+    rows = lambda data, n, size: F.transform(F.sequence(F.lit(0), F.lit(n) - 1),
+                                             lambda r: F.slice(data, r * size + 1, size))
+    if channels is None:
+        return rows(pixels, height, width)
+    return F.transform(rows(pixels, height, width * channels), lambda line: rows(line, width, F.lit(channels)))
+
+
+def tile_shape(image, width=None, channels=None) -> Column:
+    """``[height, width]`` of nested rows, or of a flat tile whose ``width`` is given; with
+    ``channels`` (of a flat tile, or True for nested pixels) ``[height, width, channels]``."""
+    if width is not None:
+        last = [F.lit(width)] + ([] if channels is None else [F.lit(channels)])
+        size = F.lit(width) * F.lit(channels or 1)
+        return F.array(int_div(F.array_size(image), size).cast("int"), *last)
+    row = F.get(image, F.lit(0))
+    return F.array(F.array_size(image), F.array_size(row), *([F.array_size(F.get(row, F.lit(0)))] if channels else []))
 
 
 def tile_mean(image) -> Column:

@@ -14,13 +14,14 @@ def _tile_name(columns):
 
 
 def attach_tiles(rows: DataFrame, tiles, at=("img_id", "z", "x", "y"), on_missing: str = "skip",
-                 length: int | None = None, shuffle: bool = False) -> DataFrame:
+                 length: int | None = None, shuffle: bool = False, carry=()) -> DataFrame:
     """Add ``pixels`` to every row, found by the four key columns named in ``at``.
 
     ``tiles`` is a tile table (joined on the key) or a reader (evaluated per row).  A
     tile the table lacks drops the row (``skip``), gives ``length`` zeros (``zero``) or
     fails the query (``error``).  ``shuffle`` rules out a broadcast: set it for
     rows made by an expansion, which the optimizer takes to be fewer than they are.
+    ``carry`` names further columns of the table to bring along.
     """
     if on_missing not in MISSING:
         raise ValueError(f"on_missing must be one of {MISSING}")
@@ -30,7 +31,7 @@ def attach_tiles(rows: DataFrame, tiles, at=("img_id", "z", "x", "y"), on_missin
         raise ValueError("on_missing='zero' needs the tile length")
 
     named = [f"_tile_{k}" for k in TILE_KEY]
-    right = tiles.select(*[F.col(k).alias(n) for k, n in zip(TILE_KEY, named)], "pixels")
+    right = tiles.select(*[F.col(k).alias(n) for k, n in zip(TILE_KEY, named)], "pixels", *carry)
     match = [F.col(a) == F.col(n) for a, n in zip(at, named)]
     right = right.hint("merge") if shuffle else right
     out = rows.join(right, match, "inner" if on_missing == "skip" else "left")

@@ -25,7 +25,9 @@ def _tile_matrix(column: pa.Array, dtype) -> np.ndarray:
     if dtype:
         flat = np.frombuffer(b"".join(v.as_buffer() for v in column), dtype=dtype)
     else:
-        flat = column.flatten().to_numpy(zero_copy_only=False)
+        flat = column.flatten()
+        # a null pixel counts as 0
+        flat = (pc.fill_null(flat, 0) if flat.null_count else flat).to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if lengths[0] else np.zeros((len(column), 0), np.int64)
 
 
@@ -72,6 +74,7 @@ class _BlockSums:
         self.present = np.zeros((self.src_x[1] - self.src_x[0], self.src_y[1] - self.src_y[0]),
                                 dtype=np.int32)
         self.total = None
+        self.largest = 0.0  # what no sum of the tiles added so far can exceed
 
     def add(self, x, y, rows):
         ix = x // self.grid.tile_w - self.src_x[0]
@@ -81,6 +84,11 @@ class _BlockSums:
             self.total = np.zeros((self.present.size, rows.shape[1]), dtype=kind)
         if rows.shape[1] != self.total.shape[1]:
             raise ValueError("tiles of one sum differ in length")
+        if self.total.dtype == np.int64 and rows.size:
+            at, copies = np.unique(ix * self.present.shape[1] + iy, return_counts=True)
+            self.largest += max(float(rows.max()), -float(rows.min())) * int(copies.max())
+            if self.largest * (2 * self.reach + 1) ** 2 * abs(self.weight) >= 2.0 ** 63:
+                raise OverflowError(f"sums of image {self.img} may exceed 64 bits")
         _add_rows(self.total, ix * self.present.shape[1] + iy, rows)
         self.present[ix, iy] = 1
 

@@ -1,6 +1,6 @@
 """Element-wise sum of tiles, as a real aggregate.
 
-Three ways to the same sums:
+Two ways to the same sums:
 
 * ``lanes``: cut every tile in runs of 16 pixels, one column per pixel of the run, and
   sum the columns.  Stays in generated code, combines before the shuffle, spills, and a
@@ -36,6 +36,18 @@ def _same_length(value: Column, truncate: bool) -> Column:
     return F.when(F.col("_max") != F.col("_min"), failed).otherwise(value)
 
 
+def _whole(pixel: Column, kind: str) -> Column:
+    """A null pixel counts as 0."""
+    return F.coalesce(pixel.cast(kind), F.lit(0).cast(kind))
+
+
+def at_most(pixels, length: int, size: Column | None = None) -> Column:
+    """The tile; fails the query on one of more than ``length`` pixels."""
+    size = F.array_size(pixels) if size is None else size
+    too_long = F.raise_error(F.lit(f"a tile has more than {length} pixels"))
+    return F.when(size > length, too_long).otherwise(F.col(pixels))
+
+
 def _lane_sums(df, keys, pixels, element, kind):
     size = F.array_size(pixels)
     # the outer form: a plain explode would let the optimizer test size(pixels) early
@@ -44,7 +56,7 @@ def _lane_sums(df, keys, pixels, element, kind):
     cut = df.select(*df.columns, size.alias("_size"), F.explode_outer(runs).alias("_run"))
     pixel = lambda k: F.get(pixels, F.col("_run") * LANES + k)
     lanes = cut.where("_run is not null").select(
-        *keys, "_run", "_size", *[element(pixel(k)).cast(kind).alias(f"_p{k}") for k in range(LANES)])
+        *keys, "_run", "_size", *[_whole(element(pixel(k)), kind).alias(f"_p{k}") for k in range(LANES)])
     sums = lanes.groupBy(*keys, "_run").agg(
         F.min("_size").alias("_min"), F.max("_size").alias("_max"),
         *[F.sum(f"_p{k}").alias(f"_p{k}") for k in range(LANES)])
@@ -56,15 +68,13 @@ def _short_sums(df, keys, pixels, element, kind, length):
     """Tiles of at most ``length`` pixels: a single run, so one shuffle gives whole tiles."""
     size = F.array_size(pixels)
     lanes = df.select(*keys, size.alias("_size"), *[
-        element(F.get(pixels, F.lit(k))).cast(kind).alias(f"_p{k}") for k in range(length)])
+        _whole(element(F.get(pixels, F.lit(k))), kind).alias(f"_p{k}") for k in range(length)])
     sums = lanes.groupBy(*keys).agg(
         F.min("_size").alias("_min"), F.max("_size").alias("_max"),
         *[F.sum(f"_p{k}").alias(f"_p{k}") for k in range(length)])
-    too_long = F.raise_error(F.lit(f"a tile has more than {length} pixels"))
     # a key with null tiles only has no sizes
     return sums.where("_min is not null").select(
-        *keys, "_min", F.when(F.col("_max") > length, too_long).otherwise(F.col("_max")).alias("_max"),
-        F.array(*[f"_p{k}" for k in range(length)]).alias("_piece"))
+        *keys, "_min", "_max", F.array(*[f"_p{k}" for k in range(length)]).alias("_piece"))
 
 
 def _pixel_sums(df, keys, pixels, element, kind):
@@ -73,7 +83,7 @@ def _pixel_sums(df, keys, pixels, element, kind):
     # an empty tile keeps one row, so that its length still takes part in the check
     out = out.where("_pos is not null or _size = 0")
     out = out.select(*keys, F.coalesce("_pos", F.lit(0)).alias("_run"), "_size",
-                     element(F.col("_value")).cast(kind).alias("_value"))
+                     _whole(element(F.col("_value")), kind).alias("_value"))
     return out.groupBy(*keys, "_run").agg(
         F.min("_size").alias("_min"), F.max("_size").alias("_max"),
         F.array(F.sum("_value")).alias("_piece"))
@@ -85,15 +95,18 @@ def sum_tiles(df: DataFrame, keys, pixels: str = "pixels", method: str = "lanes"
     """Add up the flat tiles of every key, pixel by pixel.
 
     ``element`` maps each pixel before it is added (it may use other columns of ``df``).
-    Tiles of one key must be equally long; with ``truncate`` the shortest decides.
-    ``output`` is ``"tiles"`` (keys, pixels) or ``"long"`` (keys, i, s).  If no tile has
-    more than ``length`` pixels, and that is at most 16, saying so saves a shuffle.
+    Tiles of one key must be equally long; with ``truncate`` the shortest decides.  A null
+    pixel counts as 0.  ``output`` is ``"tiles"`` (keys, pixels) or ``"long"`` (keys, i, s).
+    ``length`` states that no tile has more pixels, and a longer one fails the query; a
+    ``length`` of at most 16 saves ``lanes`` a shuffle.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     keys = list(keys)
     kind = sum_type(df, pixels)
     element = element or (lambda v: v)
+    if length is not None:
+        df = df.withColumn(pixels, at_most(pixels, length))
     if method == "lanes" and length is not None and length <= LANES:
         sums = _short_sums(df, keys, pixels, element, kind, length)
         tile = F.slice("_piece", F.lit(1), _same_length(F.col("_min"), truncate))

@@ -10,13 +10,16 @@ def strategy_diff(left: DataFrame, right: DataFrame, keys=("img_id", "z", "x", "
     """Per tile key: is it on both sides, and how many pixels differ.
 
     ``side`` is ``both``, ``left`` or ``right``; ``n_diff`` counts unequal pixels (every
-    pixel of a tile that only one side has).  Pixels are walked only for unequal tiles.
+    pixel of a tile that only one side has, and every pixel past the end of the shorter
+    one).  Pixels are walked only for unequal tiles.
     """
     a = left.select(*keys, F.col("pixels").alias("_a"), F.lit(True).alias("_in_a"))
     b = right.select(*keys, F.col("pixels").alias("_b"), F.lit(True).alias("_in_b"))
+    both = F.least(F.array_size("_a"), F.array_size("_b"))
+    head = lambda c: F.slice(c, F.lit(1), both)
     unequal = F.aggregate(
-        F.zip_with("_a", "_b", lambda p, q: F.when(p.eqNullSafe(q), 0).otherwise(1)),
-        F.lit(0), lambda acc, v: acc + v)
+        F.zip_with(head("_a"), head("_b"), lambda p, q: F.when(p.eqNullSafe(q), 0).otherwise(1)),
+        F.abs(F.array_size("_a") - F.array_size("_b")), lambda acc, v: acc + v)
     out = a.join(b, list(keys), "full_outer").select(
         *keys,
         F.when(F.col("_in_b").isNull(), "left").when(F.col("_in_a").isNull(), "right")

@@ -17,11 +17,12 @@ from pyspark.sql.types import BinaryType
 from ..functions.pixels import BRIGHT_LIMIT, int_div, zero_above
 from ..grid import TileGrid
 from .block_sums import BLOCK_KEY, block_summer
-from .combine import sum_tiles, sum_type
+from .combine import at_most, sum_tiles, sum_type
 
 BLOCK_METHODS = ("arrow", "lanes", "long")
-# Largest requests (bytes of distinct ids and counts) that are sent to every executor.
-BROADCAST_BYTES = 8 << 20
+REQUEST_JOINS = ("shuffle", "broadcast")
+# Pixels of a run that heavy tiles are cut in, unless the caller names another.
+RUN = 32768
 
 
 def _index(at: str, step: int):
@@ -55,50 +56,50 @@ def with_own_block(tiles: DataFrame, grid: TileGrid, block: int) -> DataFrame:
             .withColumn("by", _block_of(_index("y", grid.tile_h), block)))
 
 
-def _fits_broadcast(weights: DataFrame) -> bool:
-    """True size of the distinct requests against the bound (a job over light rows)."""
-    size = weights.agg(F.sum(F.octet_length("img_id") + 8)).first()[0]
-    return (size or 0) <= BROADCAST_BYTES
-
-
-def wanted_blocks(weights: DataFrame, grid: TileGrid, block: int) -> DataFrame:
-    """The blocks of inputs of every requested image."""
+def wanted_blocks(weights: DataFrame, grid: TileGrid, block: int, of_inputs: bool = False,
+                  salt: int | None = None) -> DataFrame:
+    """A row for every block, of inputs or of outputs, of every requested image, and for
+    each of the ``salt`` groups that share it."""
     def axis(bounds):
         first, last = bounds[0] // block, max(bounds) // block
         return F.sequence(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"))
 
-    return (weights.select("*", F.explode(axis(grid.source_cols)).alias("bx"))
-            .select("*", F.explode(axis(grid.source_rows)).alias("by")))
+    columns, rows = ((grid.source_cols, grid.source_rows) if of_inputs
+                     else ((0, grid.cols - 1), (0, grid.rows - 1)))
+    blocks = (weights.select("*", F.explode(axis(columns)).alias("bx"))
+              .select("*", F.explode(axis(rows)).alias("by")))
+    if salt is None:
+        return blocks
+    return blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("salt"))
 
 
-def keep_wanted(tiles: DataFrame, weights: DataFrame, grid: TileGrid, block: int) -> DataFrame:
-    """Keep the tiles of requested images and add the ``weight`` of their image.
-
-    Requests of a measured small size are broadcast, and tiles of other images dropped
-    before they move; the filter, true of every request, marks them as selective, so that
-    of a table stored by image only the wanted images are read.  More requests are joined
-    by a shuffle, on the block and not only the image, so that there is no hot key.
-    """
-    weights = weights.where("weight > 0")
-    if _fits_broadcast(weights):
-        return tiles.join(F.broadcast(weights), "img_id")
-    wanted = wanted_blocks(weights, grid, block).hint("merge")
-    return (with_own_block(tiles, grid, block).join(wanted, ["img_id", "bx", "by"])
-            .drop("bx", "by"))
+def broadcast_requests(weights: DataFrame, limit: int) -> DataFrame:
+    """The distinct requests as a broadcast side; a job over light rows checks their size."""
+    size = weights.agg(F.sum(F.octet_length("img_id") + 8)).first()[0] or 0
+    if size > limit:
+        raise ValueError(f"the distinct requests have {size} bytes, over the {limit} that may be "
+                         "broadcast: use request_join='shuffle'")
+    return F.broadcast(weights.where("weight > 0"))
 
 
-def cut_segments(tiles: DataFrame, segment: int | None, dtype: str | None = None) -> DataFrame:
+def cut_segments(tiles: DataFrame, segment: int | None, dtype: str | None = None,
+                 length: int | None = None) -> DataFrame:
     """Cut heavy tiles in runs of ``segment`` pixels (``seg`` numbers them).
 
     A sum needs only equal pixel positions together, so every run is a group of its
-    own, and no task has to hold whole heavy tiles.
+    own, and no task has to hold whole heavy tiles.  Tiles are whole if no tile has more
+    than ``RUN`` pixels or ``length`` says so; a longer tile fails the query.
     """
+    binary = isinstance(tiles.schema["pixels"].dataType, BinaryType)
+    size = F.length("pixels") if binary else F.array_size("pixels")
+    width = np.dtype(dtype).itemsize if binary else 1
+    if segment is None or length is not None:
+        limit = RUN if length is None else length
+        tiles = tiles.withColumn("pixels", at_most("pixels", limit, int_div(size, F.lit(width))))
     if segment is None:
         return tiles.withColumn("seg", F.lit(0))
     rest = [c for c in tiles.columns if c != "pixels"]
-    binary = isinstance(tiles.schema["pixels"].dataType, BinaryType)
-    size = F.length("pixels") if binary else F.array_size("pixels")
-    run = segment * np.dtype(dtype).itemsize if binary else segment
+    run = segment * width
     last = int_div(size - 1, F.lit(run))
     cut = tiles.select("*", F.explode_outer(F.sequence(F.lit(0), last.cast("int"))).alias("seg"))
     start, width = F.col("seg") * run + 1, F.lit(run)
@@ -108,14 +109,12 @@ def cut_segments(tiles: DataFrame, segment: int | None, dtype: str | None = None
 
 def join_segments(tiles: DataFrame, keys) -> DataFrame:
     """Put the runs of every tile back in order."""
-    binary = isinstance(tiles.schema["pixels"].dataType, BinaryType)
+    if isinstance(tiles.schema["pixels"].dataType, BinaryType):
+        whole = F.expr("listagg(pixels) within group (order by seg)")
+        return tiles.groupBy(*keys).agg(whole.alias("pixels"))
     runs = tiles.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("seg", "pixels"))).alias("_runs"))
-    if binary:
-        whole = F.aggregate("_runs.pixels", F.lit(b""), lambda acc, p: F.concat(acc, p))
-    else:
-        whole = F.flatten("_runs.pixels")
-    return runs.select(*keys, whole.alias("pixels"))
+    return runs.select(*keys, F.flatten("_runs.pixels").alias("pixels"))
 
 
 def _fan_out(rows: DataFrame, grid: TileGrid, block: int | None) -> DataFrame:
@@ -135,38 +134,50 @@ def _fan_out(rows: DataFrame, grid: TileGrid, block: int | None) -> DataFrame:
                     (F.col("_ty") * grid.tile_h).alias("y")))
 
 
-def _sum_blocks(rows, grid, block, dtype, kind, **reaches) -> DataFrame:
+def _together(rows: DataFrame, by: list[str], wanted: DataFrame | None) -> DataFrame:
+    """Rows of a block in one partition; of ``wanted`` blocks only, with their ``weight``.
+
+    Rows move once: the wanted blocks are dealt by the same keys before they are joined.
+    Both are explicit repartitions, which adaptive execution merges but never splits, nor
+    reads in other pieces, so a block stays whole also if the join becomes a broadcast.
+    """
+    if wanted is None:
+        return rows.repartition(*by)
+    keys = [c for c in wanted.columns if c != "weight"]
+    return rows.repartition(*keys).join(wanted.repartition(*keys).hint("merge"), keys)
+
+
+def _sum_blocks(rows, grid, block, dtype, kind, wanted=None, **reaches) -> DataFrame:
     """Bring every block together and sum it with NumPy, one block after the other.
 
     A sorted stream and not one call per group: the calls would cost more than the sums
-    of small tiles do.  The stream relies on whole blocks, so its repartition must not be
-    replaced by that of a join below, which adaptive execution may still change: it has
-    ``seg`` among its keys, which no join has.
+    of small tiles do.
     """
     schema = f"img_id string, z bigint, x bigint, y bigint, seg int, pixels {kind}"
-    return (rows.select(*BLOCK_KEY, "x", "y", "pixels")
-            .repartition("img_id", "bx", "by", "seg", "salt")
-            .sortWithinPartitions(*BLOCK_KEY)
+    together = _together(rows, ["img_id", "bx", "by", "seg", "salt"], wanted)
+    return (together.select(*BLOCK_KEY, "x", "y", "pixels").sortWithinPartitions(*BLOCK_KEY)
             .mapInArrow(block_summer(grid, block, dtype=dtype, **reaches), schema))
 
 
 def sum_neighbourhoods(sources: DataFrame, grid: TileGrid, method: str = "arrow", block: int = 8,
                        segment: int | None = None, limit=BRIGHT_LIMIT,
-                       dtype: str | None = None) -> DataFrame:
+                       dtype: str | None = None, length: int | None = None,
+                       weights: DataFrame | None = None) -> DataFrame:
     """Threshold the source tiles and sum them over every output's neighbourhood.
 
-    ``sources`` lists each input tile once, with the ``weight`` of its image.  One
-    shuffle moves the pixels, keyed by block.  ``dtype`` gives the NumPy type of binary
-    pixels.  Returns img_id, z, x, y, seg, pixels.
+    ``sources`` lists each input tile once, with the ``weight`` of its image, unless
+    ``weights`` has the images wanted.  One shuffle moves the pixels, keyed by block.
+    ``dtype`` gives the NumPy type of binary pixels.  Returns img_id, z, x, y, seg, pixels.
     """
-    placed = place_in_blocks(cut_segments(sources, segment, dtype), grid, block)
+    placed = place_in_blocks(cut_segments(sources, segment, dtype, length), grid, block).withColumn("salt", F.lit(0))
+    wanted = None if weights is None else wanted_blocks(weights, grid, block)
     if method == "arrow":
         kind = "binary" if dtype else f"array<{sum_type(sources)}>"
-        return _sum_blocks(placed.withColumn("salt", F.lit(0)), grid, block, dtype, kind, reach=grid.n_size,
+        return _sum_blocks(placed, grid, block, dtype, kind, wanted, reach=grid.n_size,
                            source_halo=grid.n_size, out_halo=0, limit=limit)
     # a constant seg would hide from the sum that its keys are already together
     by = ["img_id", "bx", "by"] + (["seg"] if segment else [])
-    fanned = _fan_out(placed.repartition(*by), grid, block)
+    fanned = _fan_out(_together(placed, by, wanted), grid, block)
     element = lambda v: zero_above(v, limit) * F.col("weight")
     # the outputs of a block sit in its partition: this sum needs no further shuffle
     keys = ["img_id", "z", "bx", "by", "seg", "x", "y"]
@@ -175,26 +186,28 @@ def sum_neighbourhoods(sources: DataFrame, grid: TileGrid, method: str = "arrow"
 
 def sum_neighbourhoods_by_parts(sources: DataFrame, grid: TileGrid, method: str = "arrow",
                                 block: int = 8, segment: int | None = None, limit=BRIGHT_LIMIT,
-                                dtype: str | None = None, salt: int = 1) -> DataFrame:
+                                dtype: str | None = None, length: int | None = None,
+                                weights: DataFrame | None = None, salt: int = 1) -> DataFrame:
     """Same sums by partial results: first inside blocks of inputs, then across blocks.
 
     Every tile moves once, to the block of inputs it lies in, and is added to all
     outputs it reaches; only these partial sums, complete but for the rim of the block,
-    move in the second shuffle.  ``salt`` shares the first sum of a block among that many
-    groups, by the partition a tile was read in, for tables that list a tile very often.
+    move in the second shuffle.  The first sum of a block is shared among ``salt`` groups,
+    by the column ``salt`` of ``sources``.
     """
-    rows = with_own_block(cut_segments(sources, segment, dtype), grid, block)
-    rows = rows.withColumn("salt", F.spark_partition_id() % salt)
+    rows = with_own_block(cut_segments(sources, segment, dtype, length), grid, block)
+    wanted = None if weights is None else wanted_blocks(
+        weights, grid, block, of_inputs=True, salt=None if salt == 1 else salt)
     if method == "arrow":
         kind = "binary" if dtype else f"array<{sum_type(sources)}>"
-        inside = _sum_blocks(rows, grid, block, dtype, kind, reach=grid.n_size, source_halo=0,
+        inside = _sum_blocks(rows, grid, block, dtype, kind, wanted, reach=grid.n_size, source_halo=0,
                              out_halo=grid.n_size, limit=limit)
         wide = ("float64" if np.dtype(dtype).kind == "f" else "int64") if dtype else None
         inside = with_own_block(inside, grid, block).withColumns(
             {"weight": F.lit(1), "salt": F.lit(0)})
         return _sum_blocks(inside, grid, block, wide, kind, reach=0, source_halo=0, out_halo=0)
     by = ["img_id", "bx", "by", "salt"] + (["seg"] if segment else [])
-    fanned = _fan_out(rows.repartition(*by), grid, None)
+    fanned = _fan_out(_together(rows, by, wanted), grid, None)
     element = lambda v: zero_above(v, limit) * F.col("weight")
     keys = ["img_id", "z", "seg", "x", "y"]
     partial = sum_tiles(fanned, keys + ["bx", "by", "salt"], method=method, element=element)

@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..grid import TileGrid
-from ..sinks.images import image_manifest, write_images
+from ..sinks.images import TILES_PER_FILE, image_files, image_manifest, write_images
 from .mosaic import mosaic
 
 
-def write_mosaic(requests: DataFrame, tiles, grid: TileGrid, path: str,
+def write_mosaic(requests: DataFrame | None, tiles, grid: TileGrid, path: str,
                  layout: str = "per_image", strategy: str = "grouped", codec: str = "zstd",
-                 tiles_per_file: int | None = None, mode: str = "errorifexists",
+                 tiles_per_file: int = TILES_PER_FILE, mode: str = "errorifexists",
                  **options) -> DataFrame:
-    """Build the requested images with any strategy, write them, return the manifest.
+    """Build the requested images (``None``: all stored) with any strategy, write them,
+    return the manifest of this write.
 
-    ``layout`` is ``per_image`` (tiles of an image sorted, in one file as far as
-    ``tiles_per_file`` allows) or ``blocks`` (each task writes the blocks it has built,
-    with no further shuffle).  ``options`` go to :func:`mosaic`.
+    ``layout`` is ``per_image`` (sorted parts of ``tiles_per_file`` places, a file each) or
+    ``blocks`` (each task writes the blocks it has built, with no further shuffle).
+    ``options`` go to :func:`mosaic`.
     """
     built = mosaic(requests, tiles, grid, strategy, **options)
+    spark = built.sparkSession
+    before = image_files(spark, path) if mode == "append" else []
     write_images(built, path, layout=layout, grid=grid, codec=codec,
                  tiles_per_file=tiles_per_file, mode=mode)
-    return image_manifest(requests.sparkSession, path)
+    return image_manifest(spark, path, without=before)

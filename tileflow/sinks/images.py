@@ -2,45 +2,40 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..grid import TileGrid
 
 LAYOUTS = ("per_image", "blocks")
-# Bytes of pixels one file of a per-image layout should hold at most.
-FILE_BYTES = 1 << 30
-
-
-def _tiles_per_file(grid: TileGrid) -> int:
-    return max(1, FILE_BYTES // (grid.tile_w * grid.tile_h * 8))
+# Tiles of one file of the per-image layout, unless the caller names another number.
+TILES_PER_FILE = 1024
 
 
 def write_images(tiles: DataFrame, path: str, layout: str = "per_image",
                  grid: TileGrid | None = None, codec: str = "zstd",
-                 tiles_per_file: int | None = None, mode: str = "errorifexists") -> None:
+                 tiles_per_file: int = TILES_PER_FILE, mode: str = "errorifexists") -> None:
     """Write summed tiles (img_id, z, x, y, [seg,] pixels).
 
-    ``per_image`` brings the tiles of an image together, sorted by place, in one file;
-    an image of more than ``tiles_per_file`` tiles becomes several files of consecutive
-    tiles, so that no task writes a whole huge image.  ``blocks`` writes what every task
-    has, at once and without a shuffle.
+    ``per_image`` writes a folder per image with numbered parts, each one file of the
+    tiles, sorted by place, of ``tiles_per_file`` consecutive places of the grid: choose
+    the number by the weight of a tile, since a task writes whole parts.  ``blocks`` writes
+    what every task has, at once and without a shuffle.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    out, options = tiles, {"compression": codec}
+    out, folders = tiles, ["img_id"]
     order = ["img_id", "x", "y"] + (["seg"] if "seg" in tiles.columns else [])
     if layout == "per_image":
         if grid is None:
             raise ValueError("the per_image layout needs the grid")
-        size = tiles_per_file or _tiles_per_file(grid)
         place = F.floor(F.col("x") / grid.tile_w) * grid.rows + F.floor(F.col("y") / grid.tile_h)
-        out = out.repartition("img_id", F.floor(place / size))
-        if "seg" not in tiles.columns:
-            # several runs of one image may have met in a task
-            options["maxRecordsPerFile"] = size
-    # sorted by image first: the writer then keeps one file open at a time
-    (out.sortWithinPartitions(*order).write.mode(mode).options(**options)
-     .partitionBy("img_id").parquet(path))
+        folders = ["img_id", "part"]
+        out = out.withColumn("part", F.floor(place / tiles_per_file).cast("int")).repartition(*folders)
+    # sorted by folder first: the writer then keeps one file open at a time
+    order = [*folders, *(c for c in order if c not in folders)]
+    (out.sortWithinPartitions(*order).write.mode(mode).option("compression", codec)
+     .partitionBy(*folders).parquet(path))
 
 
 def read_images(spark: SparkSession, path: str, pixel_type: str = "array<bigint>",
@@ -52,8 +47,27 @@ def read_images(spark: SparkSession, path: str, pixel_type: str = "array<bigint>
     return spark.read.schema(schema).parquet(path).select(*columns)
 
 
-def image_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row per written file: img_id, n_tiles, path.  Reads no pixels."""
+def image_files(spark: SparkSession, path: str) -> list[str]:
+    """The files written so far (none if there is nothing), as Spark's own listing has them."""
+    try:
+        return spark.read.schema("x bigint").parquet(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def image_manifest(spark: SparkSession, path: str, without=()) -> DataFrame:
+    """One row per written file: img_id, part (null in blocks), n_tiles, path.
+
+    Reads no pixels.  Files named in ``without`` are left out.
+    """
     files = spark.read.schema("img_id string, x bigint").parquet(path)
-    return (files.groupBy("img_id", F.col("_metadata.file_path").alias("path"))
-            .agg(F.count(F.lit(1)).alias("n_tiles")).select("img_id", "n_tiles", "path"))
+    found = (files.groupBy("img_id", F.col("_metadata.file_path").alias("path"))
+             .agg(F.count(F.lit(1)).alias("n_tiles")))
+    if without:
+        plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+        old = spark.createDataFrame([(f,) for f in without], "_old string")
+        found = found.join(old, plain("path") == plain("_old"), "left_anti")
+    part = F.regexp_extract("path", "/part=([0-9]+)/", 1)
+    return found.select("img_id", F.when(part != "", part.cast("int")).alias("part"), "n_tiles", "path")
