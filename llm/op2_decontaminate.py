@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .shared import packed
 from .words import ALPHANUMERIC, chunks, words_of
 
 #: Words of a window; an item of fewer words is one window.
@@ -198,11 +199,11 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, columns: list[str], wind
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, math.ceil(size / block_bytes))
     part = F.pmod(F.xxhash64("name", "text"), F.lit(n_blocks))
-    rows = docs.select(F.struct(*columns).alias("row"), "text", F.lit(0).cast("bigint").alias("n_words"),
+    rows = docs.select(packed(columns), "text", F.lit(0).cast("bigint").alias("n_words"),
                        F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<string>").alias("items"),
                        F.lit(0).alias("longest"), F.lit(None).cast("string").alias("longest_item"),
                        F.lit(None).cast("bigint").alias("longest_at"))
-    kind = docs.select(F.struct(*columns).alias("row")).schema["row"].dataType.simpleString()
+    kind = docs.select(packed(columns)).schema["row"].dataType.simpleString()
     blocks = (test_block(items.where(part == b).toArrow(), window) for b in range(n_blocks))
     blocks = [spark.sparkContext.broadcast(b) for b in blocks if b is not None]
     for k, block in enumerate(blocks):

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import gru
+from .shared import packed, unpacked
 from .words import chunks, random_values
 
 #: The bound of the sample: documents per language, segments per document, bytes per segment.
@@ -92,7 +93,7 @@ def identify(docs: DataFrame, columns: list[str], model: gru.Model | None) -> Da
     Null, empty and letterless texts are ``und`` with score 0, and so is everything without
     a model.  Equal texts get equal results; ``columns`` may have any names.
     """
-    rows = docs.select(F.struct(*columns).alias("row"), "text",
+    rows = docs.select(packed(columns), "text",
                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     if model is None:
         return rows.select("row", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
@@ -106,7 +107,7 @@ def of_known_language(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is determined; a null ``lang`` is
     filled with the predicted one."""
     found = identify(docs, docs.columns, fit(docs, **options)).where(F.col("lang_pred") != UNDETERMINED)
-    columns = [F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias(c) if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns]
+    columns = [F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias(c) if c == "lang" else unpacked(c) for c in docs.columns]
     return found.select(*columns)
 
 

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import saved
+from .shared import packed, saved, unpacked
 from .words import BLANK_SEPARATED, chunks, run_hashes, windows, words_of
 
 #: Words of a window, and of the runs that anchors are chosen from.
@@ -132,7 +132,7 @@ def repeated_phrases(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
 def _factors(window):
     """Joins phrases that copy one run of the reference, and removes the words of the factors."""
     def parse(batches):
-        for batch in batches:
+        for batch in chunks(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             lists = batch.column("repeats")
             flat = lists.flatten()
@@ -190,8 +190,8 @@ def parse(docs: DataFrame, columns: list[str], window: int = WINDOW, anchor: int
     """
     repeats = (repeated_phrases(docs, window, anchor).groupBy("doc", "tie")
                .agg(F.collect_list(F.struct("at", "n", "source_doc", "source_at")).alias("repeats")))
-    rows = docs.select(F.struct(*columns).alias("row"), "text", *_identity(docs)).join(repeats, ["doc", "tie"], "left")
-    kind = docs.select(F.struct(*columns).alias("row")).schema["row"].dataType.simpleString()
+    rows = docs.select(packed(columns), "text", *_identity(docs)).join(repeats, ["doc", "tie"], "left")
+    kind = docs.select(packed(columns)).schema["row"].dataType.simpleString()
     empty = F.array().cast("array<struct<at:int,n:int,source_doc:bigint,source_at:int>>")
     return rows.select("row", "text", F.coalesce("repeats", empty).alias("repeats")).mapInArrow(
         _factors(window), f"row {kind}, n_words bigint, n_removed bigint, kept string, kept_sha256 string, "
@@ -204,7 +204,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     parsed = parse(docs, docs.columns, **options)
     cut = F.col("n_removed") > 0
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
-    columns = [F.when(cut, new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns]
+    columns = [F.when(cut, new[c]).otherwise(F.col(f"row.{c}")).alias(c) if c in new else unpacked(c) for c in docs.columns]
     return parsed.where(~cut | (F.col("kept") != "")).select(*columns)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import saved
+from .shared import packed, saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating.
@@ -118,11 +118,12 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, seed: int = 0, cycle=
 def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
     """The rows of ``docs`` that the mix takes anything of, all columns, with the struct
     ``mix`` of ``epochs``, ``part`` and ``taken``: the text is read ``epochs`` times, and its
-    first ``part`` words once more.  Equal rows share out what is taken of them."""
+    first ``part`` words once more.  Equal rows share out what is taken of them.  A column
+    of ``docs`` that is called ``mix`` is replaced."""
     taken = (mix(docs, quality, **options).where("taken > 0").groupBy("doc_id", "text_hash")
              .agg(F.collect_list(F.struct("epochs", "part", "taken")).alias("mixes")))
     taken = taken.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), "text_hash", "mixes")
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
+    rows = docs.select(packed(c for c in docs.columns if c != "mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
                        F.xxhash64("text").alias("text_hash")).join(taken, ["_id", "text_hash"])
     copy = F.row_number().over(Window.partitionBy("_id", "text_hash").orderBy("_id"))
     rows = rows.select("row", F.get("mixes", copy - 1).alias("mix")).where("mix is not null")

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local = {}
@@ -26,6 +26,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def packed(columns) -> Column:
+    """Columns of any names as one struct, ``row``, which later columns cannot clash with."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in columns]).alias("row")
+
+
+def unpacked(column: str) -> Column:
+    return F.col("row").getField(column).alias(column)
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str):
     """A session setting for the length of a ``with`` block."""

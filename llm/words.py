@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
