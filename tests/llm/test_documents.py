@@ -1,0 +1,286 @@
+"""Operators on documents against brute force, with nulls, empty and long texts, repeats and empty tables."""
+
+import collections
+import hashlib
+import math
+import re
+
+import pytest
+
+from llm import op2_decontaminate, op3_jaccard, op6_licenses, op8_substrings, op9_mixing
+
+SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+
+
+def corpus(rng, words):
+    """Random texts, near and exact copies, shared passages, periodic and odd texts."""
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    base, passage = text(120).split(), text(45)
+    rows = [(k, text(rng.choice([3, 25, 60, 200]))) for k in range(30)]
+    for k in range(30, 42):
+        copy = list(base)
+        for _ in range(k % 4):
+            copy[rng.randrange(len(copy))] = "changed"
+        rows.append((k, " ".join(copy)))
+    rows += [(k, f"{text(30)} {passage}\n{text(10)}") for k in range(42, 50)]
+    rows += [(50, "spam " * 90), (51, "a b " * 40), (52, None), (53, ""), (54, " \t\n"), (55, rows[3][1]), (56, "one two"),
+             (57, "one two"), (58, " nbsp stays " * 15), (59, text(6000)), (None, text(40)), (None, rows[5][1]),
+             (3, rows[3][1]), (7, text(50)), (60, f"{passage} {passage}")]
+    return rows
+
+
+# --- substrings -------------------------------------------------------------------------
+
+
+def test_substrings_brute_force(make, rng, words):
+    unique = list({i: (i, t) for i, t in reversed(corpus(rng, words)) if i is not None}.values())
+    got = {r.doc_id: r for r in op8_substrings.parse(make(unique), ["doc_id"]).select("row.doc_id", "n_words", "n_removed", "kept_sha256").collect()}
+    first, split = {}, {i: SPLIT.findall(t or "") for i, t in unique}
+    for i in sorted(split):
+        for p in range(len(split[i]) - 19):
+            first.setdefault(tuple(split[i][p:p + 20]), (i, p))
+    assert len(got) == len(unique)
+    for i, w in split.items():
+        gone = set()
+        for p in range(len(w) - 19):
+            if first[tuple(w[p:p + 20])] != (i, p):
+                gone.update(range(p, p + 20))
+        kept = " ".join(x for p, x in enumerate(w) if p not in gone)
+        assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (len(w), len(gone), sha(kept)), i
+
+
+@pytest.mark.parametrize("alphabet", [2, 3])
+def test_substrings_low_entropy(make, rng, alphabet):
+    rows = [(k, " ".join(rng.choice("xyz"[:alphabet]) for _ in range(60))) for k in range(12)]
+    got = {r[0]: r[1] for r in op8_substrings.parse(make(rows), ["doc_id"], window=7, anchor=2).select("row.doc_id", "n_removed").collect()}
+    seen = set()
+    for i, t in rows:
+        w, gone = t.split(), set()
+        for p in range(len(w) - 6):
+            key = tuple(w[p:p + 7])
+            if key in seen:
+                gone.update(range(p, p + 7))
+            seen.add(key)
+        assert got[i] == len(gone)
+
+
+def test_substrings_factors_copy_the_reference(make, words):
+    text = " ".join(words[:60])
+    rows = op8_substrings.parse(make([(1, text), (2, f"new start {text} end")]), ["doc_id", "row"]).collect()
+    by = {r["row"].doc_id: r for r in rows}
+    assert by[1].factors == []
+    assert [tuple(f) for f in by[2].factors] == [(2, 62, 1, 0)] and by[2].kept == "new start end"
+
+
+def test_substrings_repeated_and_null_rows(make, words):
+    text = " ".join(words[:30])
+    rows = [(1, text), (1, text), (None, text), (2, None), (3, ""), (4, "few words")]
+    got = sorted((r[0] is None, r[0] or 0, r[1], r[2]) for r in op8_substrings.parse(make(rows), ["doc_id"]).select(
+        "row.doc_id", "n_words", "n_removed").collect())
+    assert got == [(False, 1, 30, 0), (False, 1, 30, 0), (False, 2, 0, 0), (False, 3, 0, 0), (False, 4, 2, 0), (True, 0, 30, 30)]
+    assert op8_substrings.parse(make([]), ["doc_id"]).count() == 0
+    kept = op8_substrings.without_repeats(make([(1, text), (2, text), (3, "a  b")])).collect()
+    assert [(r.doc_id, r.text) for r in sorted(kept)] == [(1, text), (3, "a  b")]
+
+
+# --- Jaccard join -----------------------------------------------------------------------
+
+
+def brute_classes(rows, threshold=0.8):
+    sets = []
+    for i, t in rows:
+        w = SPLIT.findall(t or "")
+        sets.append(frozenset(tuple(w[p:p + 5]) for p in range(max(1, len(w) - 4))) if w else None)
+    distinct = list({s for s in sets if s is not None})
+    similar = lambda a, b: len(a & b) >= threshold * len(a | b)
+    links = {s: [o for o in distinct if o is not s and similar(s, o)] for s in distinct}
+    found = {}
+    for s in distinct:
+        if s not in found:
+            todo = [s]
+            found[s] = s
+            while todo:
+                for o in links[todo.pop()]:
+                    if o not in found:
+                        found[o] = s
+                        todo.append(o)
+    least = collections.defaultdict(lambda: None)
+    for (i, _), s in zip(rows, sets):
+        if s is not None and i is not None:
+            now = least[found[s]]
+            least[found[s]] = i if now is None else min(now, i)
+    return [(i, i if s is None else least[found[s]], 0 if s is None else len(links[s])) for (i, _), s in zip(rows, sets)]
+
+
+@pytest.mark.parametrize("tile", [512, 5])
+def test_jaccard_brute_force(make, rng, words, tile):
+    rows = corpus(rng, words)
+    got = [tuple(r) for r in op3_jaccard.near_duplicates(make(rows), tile=tile).select("doc_id", "class_id", "n_links").collect()]
+    key = lambda r: tuple((v is None, v or 0) for v in r)
+    assert sorted(got, key=key) == sorted(brute_classes(rows), key=key)
+
+
+def test_jaccard_one_per_class(make, words):
+    text = " ".join(words[:50])
+    rows = [(5, text), (2, text), (2, text), (9, " ".join(words[100:150])), (None, text), (4, None), (6, "")]
+    kept = op3_jaccard.one_per_class(make(rows))
+    assert kept.columns == make(rows).columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, text), (4, None), (6, ""), (9, " ".join(words[100:150]))]
+    assert op3_jaccard.near_duplicates(make([])).count() == 0
+
+
+def test_runs_follow_from_the_recall():
+    assert op3_jaccard.runs_needed(1, 0.8, 0.999) == 5
+    for depth in range(1, 8):
+        runs = op3_jaccard.runs_needed(depth)
+        assert (1 - 0.8 ** depth) ** runs <= 0.001 < (1 - 0.8 ** depth) ** (runs - 1)
+
+
+# --- decontamination --------------------------------------------------------------------
+
+
+def brute_contamination(docs, items):
+    windows = collections.defaultdict(set)
+    for i, t in items:
+        w = ALNUM.findall((t or "").translate(LOWER))
+        if w:
+            n = min(10, len(w))
+            for p in range(len(w) - n + 1):
+                windows[tuple(w[p:p + n])].add("" if i is None else str(i))
+    out = []
+    for i, t in docs:
+        w = ALNUM.findall((t or "").translate(LOWER))
+        hit, ids = set(), set()
+        for n in {len(k) for k in windows}:
+            for p in range(len(w) - n + 1):
+                if (key := tuple(w[p:p + n])) in windows:
+                    hit.update(range(p, p + n))
+                    ids |= windows[key]
+        out.append((i, len(w), len(hit), len(ids), sha(",".join(sorted(ids))), bool(hit)))
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [64 << 20, 300])
+def test_decontamination_brute_force(shared, make, rng, words, block_bytes):
+    docs = corpus(rng, words)
+    pick = lambda k, a, b: " ".join(ALNUM.findall(docs[k][1])[a:b])
+    items = [(1, pick(59, 10, 40).upper()), (2, "One, TWO!"), (3, pick(2, 0, 12)), (10, pick(59, 30, 45)), (4, None), (5, "..."),
+             (None, pick(45, 5, 30)), (6, "absent words of no text at all ever seen by anyone"), (1, pick(59, 100, 130)), (7, "spam " * 15)]
+    bench = shared.createDataFrame(items, "item_id long, text string")
+    got = op2_decontaminate.contamination(make(docs), bench, block_bytes=block_bytes).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+    key = lambda r: tuple((v is None, v or 0) for v in r)
+    assert sorted(map(tuple, got), key=key) == sorted(brute_contamination(docs, items), key=key)
+    clean = op2_decontaminate.decontaminate(make(docs), bench, block_bytes=block_bytes)
+    assert clean.columns == make(docs).columns
+    assert clean.count() == sum(not r[5] for r in brute_contamination(docs, items))
+
+
+def test_decontamination_longest_match(shared, make, words):
+    bench = shared.createDataFrame([(8, " ".join(words[:25])), (9, " ".join(words[30:60]))], "item_id long, text string")
+    doc = " ".join(["x", *words[3:20], "y", *words[30:55]])
+    r = op2_decontaminate.contamination(make([(1, doc), (2, "none")]), bench).orderBy("doc_id").collect()
+    assert (r[0].longest, r[0].longest_item, r[0].longest_at) == (25, "9", 19) and r[1].longest == 0
+    nothing = shared.createDataFrame([], "item_id long, text string")
+    assert [tuple(x)[:3] for x in op2_decontaminate.contamination(make([(1, "A b")]), nothing).collect()] == [(1, 2, 0)]
+    assert op2_decontaminate.contamination(make([]), bench).count() == 0
+
+
+# --- mixing -----------------------------------------------------------------------------
+
+
+def level(sizes, weights):
+    """Targets by sharing out again and again."""
+    target, left, full = {}, float(sum(sizes.values())), set()
+    while True:
+        open_ = [s for s in sizes if s not in full]
+        total = sum(weights[s] for s in open_)
+        over = [s for s in open_ if left * weights[s] / total >= 3 * sizes[s]]
+        if not over:
+            return target | {s: left * weights[s] / total for s in open_}
+        for s in over:
+            full.add(s)
+            target[s] = 3.0 * sizes[s]
+            left -= target[s]
+        if len(full) == len(sizes):
+            return target
+
+
+def mix_docs(shared, rng):
+    rows = []
+    for source, n, most in (("a", 40, 90), ("b", 7, 30), ("é", 200, 20), (None, 12, 200), ("zero", 2, 0), ("z", 3, 4000), ("c", 90, 300)):
+        for _ in range(n):
+            rows.append((len(rows), " ".join(["w"] * rng.randint(0, most)) if rng.random() > 0.05 else None, source))
+    rows += [(None, "x y", "a"), (None, "x y", "a"), (5, "x y z", "b"), (5, "x y z", "b")]
+    return rows, shared.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_mixing_targets_and_totals(shared, rng):
+    rows, docs = mix_docs(shared, rng)
+    got = op9_mixing.mix(docs).collect()
+    sizes = collections.Counter()
+    for _, t, s in rows:
+        sizes[s] += len(SPLIT.findall(t or ""))
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    want = level(sizes, {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)})
+    taken = collections.Counter()
+    assert len(got) == len(rows)
+    for r in got:
+        taken[r.source] += r.taken
+        assert 0 <= r.taken <= 3 * r.size and r.taken == r.epochs * r.size + r.part
+        assert r.source_size == sizes[r.source] and math.isclose(r.target, want[r.source], rel_tol=1e-9, abs_tol=1e-9)
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= 1
+    again = op9_mixing.mix(docs.repartition(7)).select("doc_id", "text_hash", "taken").collect()
+    assert sorted(map(str, again)) == sorted(str(r) for r in op9_mixing.mix(docs).select("doc_id", "text_hash", "taken").collect())
+
+
+def test_mixing_prefers_quality(shared):
+    docs = shared.createDataFrame([(k, "w w", "a" if k < 4000 else "b") for k in range(8000)], "doc_id long, text string, source string")
+    labels = shared.createDataFrame([(k, k % 2) for k in range(8000)], "doc_id long, quality int")
+    mixed = op9_mixing.mix(docs, labels).where("source = 'b' and part > 0").collect()
+    good = sum(r.doc_id % 2 for r in mixed)
+    assert len(mixed) > 1000 and good > 0.6 * len(mixed)
+
+
+def test_mixed_documents_keep_columns(shared, rng):
+    rows, docs = mix_docs(shared, rng)
+    mixed = op9_mixing.mixed_documents(docs)
+    assert mixed.columns == [*docs.columns, "mix"]
+    assert mixed.select("mix.taken").groupBy().sum().first()[0] == op9_mixing.mix(docs).groupBy().sum("taken").first()[0]
+    empty = shared.createDataFrame([], docs.schema)
+    assert op9_mixing.mixed_documents(empty).count() == 0
+
+
+# --- licenses ---------------------------------------------------------------------------
+
+
+def test_licenses_brute_force(shared, make, rng, words):
+    texts = dict(op6_licenses.TEMPLATES)
+    noise = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    long = texts["GPL-3.0-header"].split()
+    long[20] = "other"
+    docs = [(1, f"{noise(30)}\n{texts['MIT']}"), (2, texts["Apache-2.0"].upper()), (3, f"{noise(7)} {' '.join(long)} {noise(3)}"),
+            (4, None), (5, ""), (6, "MIT License"), (7, noise(50)), (8, f"{texts['MIT']} {noise(8)} {texts['CC-BY-4.0']}"),
+            (None, texts["ISC"]), (9, " ".join(texts["BSD-3-Clause"].split()[:8])), (10, noise(3000) + " " + texts["Unlicense"] + " " + noise(3000))]
+    got = {(r.doc_id, r.license): r.containment for r in op6_licenses.scan(make(docs), op6_licenses.template_table(shared)).collect()}
+    want = {}
+    for i, t in docs:
+        w = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()) if x]
+        s = [tuple(w[p:p + 5]) for p in range(len(w) - 4)]
+        for name, text in texts.items():
+            v = [x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()) if x]
+            template = {tuple(v[p:p + 5]) for p in range(len(v) - 4)}
+            best = max((len(template & set(s[p:p + len(template)])) / len(template) for p in range(len(s))), default=0)
+            if best >= 0.8:
+                want[i, name] = best
+    assert got == pytest.approx(want) and (1, "MIT") in got and (3, "GPL-3.0-header") in got
+    assert op6_licenses.scan(make([]), op6_licenses.template_table(shared)).count() == 0
+    assert op6_licenses.scan(make(docs), shared.createDataFrame([("tiny", "MIT")], "license string, text string")).count() == 0
+
+
+def test_license_bands_reach_the_recall():
+    assert 1 - (1 - 1 / 3) ** op6_licenses.bands_needed() >= 0.999
