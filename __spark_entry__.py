@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tileflow import (TileGrid, fragment_pairs, fragment_pipeline, image_table, mosaic,
                       request_mosaic, with_tile_stats, write_mosaic)
-from tileflow.functions import (flatten_tile, named_udf, quantise, reshape_tile, threshold,
+from tileflow.functions import (flatten_tile, int_div, named_udf, quantise, reshape_tile, threshold,
                                 tile_shape)
 from tileflow.operators import (attach_tiles, build_items, check_input_type, expand_requests,
                                 grid_neighbours, group_tiles, missing_tiles, source_fanout,
