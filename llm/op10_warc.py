@@ -19,7 +19,7 @@ import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import new_folder, saved
+from .shared import new_folder, saved, small_batches
 
 #: Payloads shorter than this are never replaced by a revisit record.
 LEAST_SHARED = 100
@@ -164,6 +164,7 @@ def write_bundles(pages: DataFrame, folder: str | None = None, frame_bytes: int
     revisit it; rows equal in page_id and payload are all of the same kind.  An empty table
     gives an empty index.  Other columns are not read.
     """
+    small_batches(pages.sparkSession)
     folder = folder or new_folder(pages.sparkSession, "warc")
 
     def write(batches):

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import packed
+from .shared import packed, small_batches, unpacked
 from .words import ALPHANUMERIC, chunks, words_of
 
 #: Words of a window; an item of fewer words is one window.
@@ -152,9 +152,9 @@ def _merged(starts, ends):
     return (starts[new] << 32) | ends[last]
 
 
-def _match_block(shared, final):
+def _match_block(shared, with_text):
     def match(batches):
-        block = shared.value
+        block = TestBlock(**shared.value)
         for batch in batches:
             n_words, found = _matches(batch, block)
             n = batch.num_rows
@@ -174,11 +174,11 @@ def _match_block(shared, final):
                     if full[best] > longest[i]:
                         longest[i], at[i] = int(full[best]), int(place[best])
                         item[i] = block.names[block.owners[suffix[best]]]
-            columns = [batch.column("row")] + ([] if final else [batch.column("text")]) + [
+            columns = [batch.column("row")] + ([batch.column("text")] if with_text else []) + [
                 pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())),
                 pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int32()),
                 pa.array(item, pa.string()), pa.array(at, pa.int64())]
-            names = ["row"] + ([] if final else ["text"]) + ["n_words", "hits", "items", "longest", "longest_item", "longest_at"]
+            names = ["row"] + (["text"] if with_text else []) + ["n_words", "hits", "items", "longest", "longest_item", "longest_at"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return match
@@ -186,7 +186,8 @@ def _match_block(shared, final):
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, columns: list[str], window: int = WINDOW,
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A row per document: ``row`` (a struct of ``columns``), ``n_words``, ``hits`` (disjoint
+    """A row per document: ``row`` (a struct of ``columns``; ``text`` stands beside it if it is
+    one of them), ``n_words``, ``hits`` (disjoint
     word spans, start * 2**32 + end), ``items`` (ids of items with a window in it, as strings),
     and the longest verbatim match: ``longest`` words of ``longest_item`` at word ``longest_at``.
 
@@ -194,6 +195,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, columns: list[str], wind
     the empty string; repeated items count once per id; an empty benchmark hits nothing.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), "text").where(
         "length(text) > 0")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -205,13 +207,14 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, columns: list[str], wind
                        F.lit(None).cast("bigint").alias("longest_at"))
     kind = docs.select(packed(columns)).schema["row"].dataType.simpleString()
     blocks = (test_block(items.where(part == b).toArrow(), window) for b in range(n_blocks))
-    blocks = [spark.sparkContext.broadcast(b) for b in blocks if b is not None]
+    blocks = [spark.sparkContext.broadcast(vars(b)) for b in blocks if b is not None]
     for k, block in enumerate(blocks):
-        final = k == len(blocks) - 1
-        rows = rows.mapInArrow(_match_block(block, final), f"row {kind}, {'' if final else 'text string, '}{_REPORT}")
+        with_text = k < len(blocks) - 1 or "text" in columns
+        rows = rows.mapInArrow(_match_block(block, with_text), f"row {kind}, {'text string, ' if with_text else ''}{_REPORT}")
     if not blocks:
-        return rows.withColumn("n_words", F.coalesce(F.regexp_count(F.translate("text", _UPPER, _UPPER.lower()), F.lit(WORD)),
-                                                     F.lit(0)).cast("bigint")).drop("text")
+        plain = F.regexp_count(F.translate("text", _UPPER, _UPPER.lower()), F.lit(WORD))
+        rows = rows.withColumn("n_words", F.coalesce(plain, F.lit(0)).cast("bigint"))
+        return rows if "text" in columns else rows.drop("text")
     return rows
 
 
@@ -233,7 +236,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, that no benchmark window occurs in."""
     found = find_matches(docs, benchmark, docs.columns, **options)
-    return found.where(F.size("hits") == 0).select("row.*")
+    return found.where(F.size("hits") == 0).select(*map(unpacked, docs.columns))
 
 
 def q_op2_decontaminate(spark, sf_dir):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .grouping import components, tables_by_key
-from .shared import saved
+from .shared import saved, small_batches
 from .words import BLANK_SEPARATED, _mixed, chunks, random_values, run_hashes, words_of
 
 SHINGLE = 5
@@ -277,6 +277,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     class_id unless the whole class has none.  An empty table gives no rows; other columns
     are not read.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select("doc_id", *identity(), "text")
     sized = texts.select("*", F.octet_length("text").cast("bigint").alias("n_bytes"))
     listed = saved(sized.mapInArrow(

@@ -17,7 +17,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import packed
+from .shared import small_batches
 
 #: The bound of the sample that weights are counted on, in labelled pages.
 SAMPLE_PAGES = 2000
@@ -182,7 +182,8 @@ def extract(pages: DataFrame, columns: list[str], weights: tuple[float, dict[str
     A null or empty html, and one without words, gives an empty text.  Unclosed elements end
     with the element around them; unclosed comments and scripts with the page.
     """
-    rows = pages.select(packed(columns), F.coalesce("html", F.lit("")).alias("html"))
+    small_batches(pages.sparkSession)
+    rows = pages.select(F.struct(*columns).alias("row"), F.coalesce("html", F.lit("")).alias("html"))
 
     def run(batches):
         for batch in batches:

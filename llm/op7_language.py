@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import gru
-from .shared import packed, unpacked
+from .shared import packed, small_batches, unpacked
 from .words import chunks, random_values
 
 #: The bound of the sample: documents per language, segments per document, bytes per segment.
@@ -71,7 +71,7 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, **options) -> gr
     return gru.train(np.stack(segments)[even], y[even], labels, **options)
 
 
-def _label(model):
+def _label(model, with_text):
     def label(batches):
         for part in chunks(batches):
             texts = pc.fill_null(part.column("text").cast(pa.large_string()), "")
@@ -80,26 +80,31 @@ def _label(model):
             data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
             p = gru.label_texts(data[offsets[0]:offsets[-1]], offsets - offsets[0], model)
             best = p.argmax(axis=1)
+            passed = ["row", "letters"] + (["text"] if with_text else [])
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("letters"), pa.array([model.labels[b] for b in best], pa.string()),
-                 pa.array(np.clip(p[np.arange(len(best)), best], 0, 1))], ["row", "letters", "lang_pred", "score"])
+                [*(part.column(c) for c in passed), pa.array([model.labels[b] for b in best], pa.string()),
+                 pa.array(np.clip(p[np.arange(len(best)), best], 0, 1))], [*passed, "lang_pred", "score"])
 
     return label
 
 
 def identify(docs: DataFrame, columns: list[str], model: gru.Model | None) -> DataFrame:
-    """``row`` (a struct of ``columns``), ``lang_pred``, ``score`` for every row of ``docs``.
+    """``row`` (a struct of ``columns``), ``lang_pred``, ``score`` for every row of ``docs``,
+    and ``text`` beside ``row`` if it is one of ``columns``.
 
     Null, empty and letterless texts are ``und`` with score 0, and so is everything without
     a model.  Equal texts get equal results; ``columns`` may have any names.
     """
     rows = docs.select(packed(columns), "text",
                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    text = ["text"] if "text" in columns else []
     if model is None:
-        return rows.select("row", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.select("row", *text, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    small_batches(docs.sparkSession)
     kind = rows.schema["row"].dataType.simpleString()
-    found = rows.mapInArrow(_label(model), f"row {kind}, letters boolean, lang_pred string, score double")
-    return found.select("row", F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"),
+    found = rows.mapInArrow(_label(model, bool(text)), f"row {kind}, letters boolean, {'text string, ' if text else ''}"
+                            "lang_pred string, score double")
+    return found.select("row", *text, F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"),
                         F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"))
 
 

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import packed, saved, unpacked
+from .shared import packed, saved, small_batches, unpacked
 from .words import BLANK_SEPARATED, chunks, run_hashes, windows, words_of
 
 #: Words of a window, and of the runs that anchors are chosen from.
@@ -111,6 +111,7 @@ def _known_before(rows: DataFrame, keys: list[str], first: DataFrame) -> DataFra
 def repeated_phrases(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """``doc, tie, at, n, source_doc, source_at``: the ``n`` windows of a document from word
     ``at`` on occurred earlier, from word ``source_at`` of ``source_doc`` on."""
+    small_batches(docs.sparkSession)
     texts = docs.select(*_identity(docs), "text")
     phrases = texts.mapInArrow(_phrases(window, anchor), "anchor bigint, body bigint, doc bigint, tie bigint, at int, n int")
     shared = saved(phrases.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"), "anchors")
@@ -149,7 +150,7 @@ def _factors(window):
             end = (np.maximum.reduceat(at + n, first) if len(first) else at) + window - 1
             row, at, doc, source = row[first], at[first], doc[first], source[first]
             cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            n_words, n_removed, kept = [], [], []
+            n_words, n_removed, kept, digests = [], [], [], []
             for i, text in enumerate(texts):
                 words = (text or b"").split()
                 a, b = cuts[i], cuts[i + 1]
@@ -160,9 +161,11 @@ def _factors(window):
                     np.add.at(depth, end[a:b], -1)
                     keep = np.cumsum(depth[:-1]) == 0
                     removed = int(len(words) - keep.sum())
-                    kept.append(b" ".join(compress(words, keep.tolist())))
+                    left = b" ".join(compress(words, keep.tolist()))
                 else:
-                    kept.append(b" ".join(words))
+                    left = b" ".join(words)
+                kept.append(left if removed else text)
+                digests.append(hashlib.sha256(left).hexdigest())
                 n_words.append(len(words))
                 n_removed.append(removed)
             spans = pa.StructArray.from_arrays(
@@ -171,7 +174,7 @@ def _factors(window):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                  pa.array(kept, pa.binary()).cast(pa.string()),
-                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
+                 pa.array(digests, pa.string()),
                  pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), spans)],
                 ["row", "n_words", "n_removed", "kept", "kept_sha256", "factors"])
 
@@ -179,9 +182,10 @@ def _factors(window):
 
 
 def parse(docs: DataFrame, columns: list[str], window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """A row per document: ``row`` (a struct of ``columns``), ``n_words``, ``n_removed``,
-    ``kept`` (its words outside all duplicate spans, joined by one space), ``kept_sha256`` and
-    ``factors`` (word spans ``start``, ``end`` and the earlier place they copy).
+    """A row per document: ``row`` (a struct of ``columns``, without the text), ``n_words``,
+    ``n_removed``, ``kept`` (the text as it is, or if words are removed the others joined by
+    one space), ``kept_sha256`` (of its words outside all duplicate spans, joined by one
+    space) and ``factors`` (word spans ``start``, ``end`` and the earlier place they copy).
 
     Windows are judged on the input.  Null, empty and short texts (under a window) have no
     window and stay whole.  Rows that share a doc_id are documents in order of a hash of
@@ -191,6 +195,7 @@ def parse(docs: DataFrame, columns: list[str], window: int = WINDOW, anchor: int
     repeats = (repeated_phrases(docs, window, anchor).groupBy("doc", "tie")
                .agg(F.collect_list(F.struct("at", "n", "source_doc", "source_at")).alias("repeats")))
     rows = docs.select(packed(columns), "text", *_identity(docs)).join(repeats, ["doc", "tie"], "left")
+    small_batches(docs.sparkSession)
     kind = docs.select(packed(columns)).schema["row"].dataType.simpleString()
     empty = F.array().cast("array<struct<at:int,n:int,source_doc:bigint,source_at:int>>")
     return rows.select("row", "text", F.coalesce("repeats", empty).alias("repeats")).mapInArrow(
@@ -203,8 +208,9 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     anew.  Texts without such spans stay as they are; documents of which nothing is left go."""
     parsed = parse(docs, docs.columns, **options)
     cut = F.col("n_removed") > 0
-    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
-    columns = [F.when(cut, new[c]).otherwise(F.col(f"row.{c}")).alias(c) if c in new else unpacked(c) for c in docs.columns]
+    length = F.when(cut, F.length("kept").cast("bigint")).otherwise(F.col("row.n_chars"))
+    new = {"text": F.col("kept").alias("text"), "n_chars": length.alias("n_chars")}
+    columns = [new[c] if c in new else unpacked(c) for c in docs.columns]
     return parsed.where(~cut | (F.col("kept") != "")).select(*columns)
 
 

@@ -26,13 +26,24 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows that Spark hands to Python at once, in bytes.
+BATCH_BYTES = "8m"
+
+
 def packed(columns) -> Column:
-    """Columns of any names as one struct, ``row``, which later columns cannot clash with."""
-    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in columns]).alias("row")
+    """Columns of any names as one struct, ``row``, which later columns cannot clash with.
+    The text is left out: it travels beside them, once."""
+    rest = [c for c in columns if c != "text"] or ["text"]
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in rest]).alias("row")
 
 
 def unpacked(column: str) -> Column:
-    return F.col("row").getField(column).alias(column)
+    return F.col("text") if column == "text" else F.col("row").getField(column).alias(column)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session, and so what a Python task holds of texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 @contextmanager
