@@ -22,8 +22,9 @@ CONTAINMENT = 0.8
 #: Shingles of a window, and of the step from one to the next.
 WINDOW, STEP = 3, 2
 RECALL = 0.999
-#: Templates of more text than this are joined by a shuffle instead of a broadcast.
-BROADCAST_BYTES = 4 << 20
+#: Templates of more text than this are joined by a shuffle instead of a broadcast; their
+#: index has about 130 bytes for each.
+BROADCAST_BYTES = 256 << 10
 
 # fixed values: notices as licenses word them
 TEMPLATES = [
@@ -70,32 +71,38 @@ def _order(k: int) -> int:
     return mask - (1 << 64) if mask >= 1 << 63 else mask
 
 
-def template_index(templates: DataFrame, bands: int) -> DataFrame:
-    """``license, shingles, band, value``: the bands of every run of two shingles."""
+def template_shingles(templates: DataFrame) -> DataFrame:
+    """``license, s``: the shingles of every template in order."""
     words = templates.select("license", _words("text").alias("w")).where(F.size("w") >= SHINGLE)
-    whole = words.select("license", _shingles("w").alias("s"))
-    runs = whole.select("license", F.array_distinct("s").alias("shingles"), "s",
-                        F.explode(F.sequence(F.lit(0), F.greatest(F.size("s") - 2, F.lit(0)))).alias("i"))
+    return words.select("license", _shingles("w").alias("s")).distinct()
+
+
+def template_index(whole: DataFrame, bands: int) -> DataFrame:
+    """``license, band, value``: the bands of every run of two shingles."""
+    runs = whole.select("license", "s", F.explode(F.sequence(F.lit(0), F.greatest(F.size("s") - 2, F.lit(0)))).alias("i"))
     a, b = F.get("s", F.col("i")), F.coalesce(F.get("s", F.col("i") + 1), F.get("s", F.col("i")))
     least = [F.struct(F.lit(k).alias("band"), F.least(a.bitwiseXOR(F.lit(_order(k))), b.bitwiseXOR(F.lit(_order(k)))).alias("value"))
              for k in range(bands)]
-    return runs.select("license", "shingles", F.inline(F.array(*least))).distinct()
+    return runs.select("license", F.inline(F.array(*least))).distinct()
 
 
 def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT, recall: float = RECALL) -> DataFrame:
     """``doc_id, license, containment, first_word``: the templates (``license, text``) that
-    occur in a text to that share, with their best share and the word at which the first occurrence begins.
+    occur in a text to that share, their best share, and the word at which the first begins.
 
     Null, empty and texts of under five words match nothing, nor do templates of under five
-    words; a template given twice is one; rows that share a doc_id are reported together, a
-    null doc_id like any other; no documents or no templates give no rows.  Other columns
-    are not read.
+    words; a license given twice with other words is one with the shingles of both; rows that
+    share a doc_id are reported together, a null doc_id like any other; no documents or no
+    templates give no rows.  Other columns are not read.
     """
     bands = bands_needed(recall)
-    index = template_index(templates, bands)
-    size = templates.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    index = F.broadcast(index) if size <= BROADCAST_BYTES else index
-    longest = index.agg(F.max(F.size("shingles"))).first()[0] or 1
+    whole = template_shingles(templates)
+    members = whole.groupBy("license").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("s"))
+    members = members.select("license", F.size("s").alias("n"), F.explode("s").alias("shingle"))
+    index = template_index(whole, bands)
+    size, longest = templates.agg(F.sum(F.octet_length("text"))).first()[0] or 0, members.agg(F.max("n")).first()[0] or 1
+    if size <= BROADCAST_BYTES:
+        index, members = F.broadcast(index), F.broadcast(members)
     words = docs.select("doc_id", _words("text").alias("w")).where(F.size("w") >= SHINGLE)
     shingles = words.select("doc_id", _shingles("w").alias("s"))
     at = F.sequence(F.lit(0), F.size("s") - 1, F.lit(STEP))
@@ -105,8 +112,7 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     banded = windows.select("*", F.posexplode(F.array(*[value(k) for k in range(bands)])).alias("band", "value"))
     met = banded.join(index, ["band", "value"])
     places = F.array(*[F.struct((F.col("at") + j).alias("place"), F.col(f"h{j}").alias("shingle")) for j in range(WINDOW)])
-    shared = met.select("doc_id", "license", F.size("shingles").alias("n"), F.inline(
-        F.filter(places, lambda x: F.array_contains(F.col("shingles"), x["shingle"])))).distinct()
+    shared = met.select("doc_id", "license", F.inline(places)).distinct().join(members, ["license", "shingle"])
     # an occurrence begins at a shared shingle and is as long as the template
     ahead = Window.partitionBy("doc_id", "license").orderBy("place").rangeBetween(0, longest - 1)
     met_by = F.collect_set(F.struct("place", "shingle")).over(ahead)
