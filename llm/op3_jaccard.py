@@ -39,8 +39,9 @@ SMALL = 128
 TILE, TILE_BYTES = 512, 8 << 20
 #: A bucket that keeps this share of the one it came from is split no further.
 SIMILAR = 0.7
-MAX_DEPTH = 12
-FIRST_RUNS, MORE_RUNS, MOST_RUNS = 8, 4, 48
+#: Deepest paths, and the runs that the target recall takes at that depth at the most.
+MAX_DEPTH, MOST_RUNS = 12, 120
+FIRST_RUNS, MORE_RUNS = 8, 4
 #: Standard deviations of the sketch estimate below the threshold that still go to the exact check.
 MARGIN = 5.0
 
@@ -134,8 +135,10 @@ def buckets(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = TARG
     """Buckets of all runs; runs are repeated until ``recall`` is reached at the depth met."""
     whole, depth = _split(nodes, range(FIRST_RUNS))
     done = FIRST_RUNS
-    while done < min(runs_needed(depth, threshold, recall), MOST_RUNS):
-        upto = min(max(done + MORE_RUNS, runs_needed(depth, threshold, recall)), MOST_RUNS)
+    while done < (needed := runs_needed(depth, threshold, recall)):
+        if needed > MOST_RUNS:
+            raise ValueError(f"a recall of {recall} at depth {depth} takes more than {MOST_RUNS} runs")
+        upto = min(max(done + MORE_RUNS, needed), MOST_RUNS)
         more, deeper = _split(nodes, range(done, upto))
         whole, depth, done = whole.union(more), max(depth, deeper), upto
     return whole
@@ -175,8 +178,9 @@ def _tile_columns(table):
     flat = table.column("paths").combine_chunks()
     values = flat.flatten().to_numpy(zero_copy_only=False)
     row = np.repeat(np.arange(n), np.diff(flat.offsets.to_numpy()))
-    lists = np.zeros((n, MOST_RUNS), np.int64)
-    lists[row, values >> _RUN_BITS] = values
+    run = values >> _RUN_BITS
+    lists = np.zeros((n, int(run.max(initial=0)) + 1), np.int64)
+    lists[row, run] = values
     return table.column("part").to_numpy(), sketches, lists
 
 

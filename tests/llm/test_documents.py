@@ -284,3 +284,7 @@ def test_licenses_brute_force(shared, make, rng, words):
 
 def test_license_bands_reach_the_recall():
     assert 1 - (1 - 1 / 3) ** op6_licenses.bands_needed() >= 0.999
+
+
+def test_runs_suffice_at_any_depth():
+    assert op3_jaccard.runs_needed(op3_jaccard.MAX_DEPTH) <= op3_jaccard.MOST_RUNS < 128
