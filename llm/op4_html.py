@@ -5,7 +5,9 @@ is the contiguous run with the highest sum, found in one linear scan.  The weigh
 log-odds counted on pages that label their own text with an ``article`` or ``main`` element:
 how often a tag stands inside such an element and how often outside.  Elements that are
 never main text (menus, forms, adverts, scripts, reader comments and the like) give no
-words, wherever they stand.
+words, wherever they stand.  A class or id makes an element one of these if all its words
+are listed (``ad``, ``cookie-banner``) and no ``article`` or ``main`` stands inside; a name
+with a listed word as a part (``has-sidebar``) is a tag of its own, with a weight as any.
 """
 
 from __future__ import annotations
@@ -51,42 +53,88 @@ TOKEN = re.compile(
     re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PART = re.compile(r"[a-z]+|[0-9]+")
+_NUMBER = re.compile(r"[0-9]+")
 _HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
 
 
-def _dropped(name: str, attributes: str) -> str:
-    """``frame`` or ``aside`` if an element is never main text, else empty."""
+def _dropped(name: str, attributes: str) -> tuple[str, tuple[str, ...]]:
+    """``frame`` or ``aside`` if an element is never main text, ``named`` if its class or id
+    says so, else empty; and its classes and ids with a listed word, as ``.name``."""
     if name in _sets["frame"]:
-        return "frame"
+        return "frame", ()
     if name in _sets["aside"]:
-        return "aside"
+        return "aside", ()
+    kind, marks = "", []
     if attributes and name not in ("body", "html", *LABELLED):
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), (a or b or c).lower()
             if key in ("class", "id") and not _sets["classes"].isdisjoint(_PART.findall(value)):
-                return "aside"
+                for one in value.split():
+                    parts = [x for x in _PART.findall(one) if x.isalpha()]
+                    if not _sets["classes"].isdisjoint(parts):
+                        marks.append("." + _NUMBER.sub("0", one)[:38])
+                        if _sets["classes"].issuperset(parts):
+                            kind = "named"
             if key == "role" and value.strip() in _sets["roles"] or key == "hidden" or key == "aria-hidden" and value == "true":
-                return "aside"
-    return ""
+                return "aside", ()
+    return kind, tuple(dict.fromkeys(marks))
+
+
+def _opened(stack: list, name: str) -> int | None:
+    """The place in ``stack`` of the element that a closing tag ends."""
+    return next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+
+
+def _ends_last(stack: list, name: str) -> bool:
+    """Whether an opening tag ends the last open element."""
+    return bool(stack) and name not in _sets["inline"] and (stack[-1][0] in CLOSED_BY_BLOCK or stack[-1][0] == name) \
+        and stack[-1][0] in CLOSES_ITSELF
+
+
+def _holders(page: str) -> set[int]:
+    """Where the elements begin that an ``article`` or ``main`` stands in."""
+    stack, found = [], set()
+    for match in TOKEN.finditer(page):
+        name = (match[3] or match[6] or "").lower()
+        if not name:
+            continue
+        if match[2] or match[5]:
+            if (k := _opened(stack, name)) is not None:
+                del stack[k:]
+            continue
+        if _ends_last(stack, name):
+            stack.pop()
+        if name in LABELLED:
+            for _, place in reversed(stack):
+                if place in found:  # and so are all around it
+                    break
+                found.add(place)
+        if name not in _sets["void"]:
+            stack.append((name, match.start()))
+    return found
 
 
 def tokens(page: str):
     """``(kind, value, labelled)`` in page order: ``text`` (characters of main-text candidates),
-    ``break`` (between blocks), ``tag`` (name, after ``/`` if closing)."""
-    stack, dropped, labelled, at = [], 0, 0, 0  # open elements: name, kind of drop
+    ``break`` (between blocks), ``tag`` (name, or ``.name`` of a class or id; after ``/`` if closing)."""
+    stack, dropped, labelled, at, holders = [], 0, 0, 0, None  # open elements: name, kind of drop, marks
 
     def text(piece):
-        heading = dropped == 1 and labelled and any(n in _HEADINGS for n, _ in stack) and any(
-            k == "frame" and n == "header" for n, k in stack)
+        heading = dropped == 1 and labelled and any(n in _HEADINGS for n, _, _ in stack) and any(
+            k == "frame" and n == "header" for n, k, _ in stack)
         if piece and (not dropped or heading):
             yield "text", entities.unescape(piece), labelled > 0
 
     def pop(n):
         nonlocal dropped, labelled
-        for name, kind in stack[n:]:
+        marks = []
+        for name, kind, own in stack[n:]:
             dropped -= kind != ""
             labelled -= name in LABELLED
+            marks += own
         del stack[n:]
+        for mark in marks:
+            yield "tag", "/" + mark, labelled > 0
 
     for match in TOKEN.finditer(page):
         yield from text(page[at:match.start()])
@@ -97,27 +145,34 @@ def tokens(page: str):
         closing = match[2] or match[5]
         if name not in _sets["inline"]:
             yield "break", "", labelled > 0
-        aside = any(k == "aside" for _, k in stack) if dropped else False
+        aside = any(k == "aside" for _, k, _ in stack) if dropped else False
         if closing:
-            found = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            found = _opened(stack, name)
             was = stack[found][1] if found is not None else ""
             if name in LABELLED and found is not None:
-                pop(found)
+                yield from pop(found)
                 yield "tag", "/" + name, False
             else:
                 if not aside and was != "aside":
                     yield "tag", "/" + name, labelled > 0
                 if found is not None:
-                    pop(found)
+                    yield from pop(found)
             continue
-        if stack and name not in _sets["inline"] and (stack[-1][0] in CLOSED_BY_BLOCK or stack[-1][0] == name) \
-                and stack[-1][0] in CLOSES_ITSELF:
-            pop(len(stack) - 1)
-        kind = _dropped(name, match[4] or match[7] or "")
+        if _ends_last(stack, name):
+            yield from pop(len(stack) - 1)
+        kind, marks = _dropped(name, match[4] or match[7] or "")
+        if kind == "named":
+            if holders is None:
+                holders = _holders(page)
+            kind = "" if match.start() in holders else "aside"
         if not aside and kind != "aside":
             yield "tag", name, labelled > 0 and name not in LABELLED
+        if aside or kind == "aside" or name in _sets["void"]:
+            marks = ()
+        for mark in marks:
+            yield "tag", mark, labelled > 0
         if name not in _sets["void"]:
-            stack.append((name, kind))
+            stack.append((name, kind, marks))
             dropped += kind != ""
             labelled += name in LABELLED
     yield from text(page[at:])

@@ -82,6 +82,31 @@ def test_main_text(page, text):
     assert op4_html.main_text(page, *WEIGHTS) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div class='content has-sidebar'><article><p>one two three</p></article></div>", "one two three"),
+    ("<body><div id=page class='no-comments menu-open with-search'><main><p>one two three</p></main></div>", "one two three"),
+    ("<div class=has-sidebar><p>one two three four</p></div>", "one two three four"),
+    ("<article><p>one two three</p><section class='related-work'><p>four five six</p></section><p>seven</p></article>", "one two three four five six seven"),
+    ("<div class=widget><div id=menu><article><p>one two three</p><div class='cookie-banner'><p>buy</p></div></article></div></div>", "one two three"),
+    ("<main><div class=widget><article><p>one two three</p></article></div></main>", "one two three"),
+    ("<div class=ad>never closed<article><p>one two three four five</p></article>", "never closed one two three four five"),
+    ("<div class='nav-menu'><p>a b c d</p></div><div class='ad-12'><p>a b c d</p></div><p>one two three</p>", "one two three"),
+])
+def test_main_text_under_compound_and_wrapper_names(page, text):
+    assert op4_html.main_text(page, *WEIGHTS) == text
+
+
+def test_compound_names_have_learned_weights(shared):
+    page = "<div class='site has-sidebar'><div class='post-comments-7'><p>a b</p></div><article><p>one</p><div class='related-work'>two</div></article></div>"
+    _, tags = op4_html.fit(shared.createDataFrame([(page + f"<!-- {k} -->",) for k in range(30)], "html string"))
+    assert tags[".post-comments-0"] == tags["/.post-comments-0"] == op4_html.TAG_RANGE[0] and tags[".related-work"] == op4_html.TAG_RANGE[1]
+
+
+def test_holders_in_one_pass():
+    page = "<div class=ad>" * 2000 + "<article>x</article>" * 2000
+    assert len(op4_html._holders(page)) == 2000
+
+
 def test_extract_rows(shared):
     rows = [(1, None, "u", 1), (2, "", None, 2), (None, "<p>a b</p>", "u", 3), (2, "<p>a b</p>", "u", 3), (3, "<p>" + "w " * 100_000, "u", 4)]
     pages = shared.createDataFrame(rows, "page_id long, html string, url string, text int")
