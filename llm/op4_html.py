@@ -209,13 +209,14 @@ def main_text(page: str, word: float, tags: dict[str, float]) -> str:
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> tuple[float, dict[str, float]]:
     """The weight of a word and of every tag; of no labelled page, the bounds' defaults."""
     marked = pages.where(F.col("html").rlike(r"(?i)<(article|main)[\s>]")).select("html")
-    n = marked.count()
-    chosen = marked.where(F.pmod(F.xxhash64("html", F.lit(5)), F.lit(1 << 30)) * (n / float(1 << 30)) < sample)
+    marked = marked.select("html", F.xxhash64("html", F.lit(5)).alias("hash"))
+    n = marked.select("hash").distinct().count()  # of copies one counts
+    chosen = marked.where(F.pmod("hash", F.lit(1 << 30)) * (n / float(1 << 30)) < sample).select("html").distinct()
 
     def count(batches):
         total = {}
         for batch in batches:
-            for page in set(batch.column("html").to_pylist()):
+            for page in batch.column("html").to_pylist():
                 for key, c in counts(page).items():
                     total[key] = total.get(key, 0) + c
         yield pa.RecordBatch.from_arrays(

@@ -30,19 +30,22 @@ def held_out(doc_id="doc_id"):
 
 
 def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
-    """``lang, text``: about ``per_language`` documents of every language, at most twice that.
+    """``lang, text``: all different texts of a language that has up to ``per_language``, else
+    about that many; a chosen text comes with its copies.
 
-    Documents are chosen by a hash of their text against a limit that follows from their
-    language's count, without a sort or shuffle of texts.  The counts, a row per language,
+    Texts are chosen by a hash against a limit that follows from their language's count of
+    different hashes, without a sort or shuffle of texts.  The counts, a row per language,
     are broadcast; more than ``MOST_LANGUAGES`` are an error.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
-                       & (F.length("text") > 0)).select("lang", "text")
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+                       & (F.length("text") > 0)).select("lang", "text", F.xxhash64("text", F.lit(7)).alias("hash"))
+    # copies share a hash: counting them would leave a language of few texts with none
+    counts = known.select("lang", "hash").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.limit(MOST_LANGUAGES + 1).collect()
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     counts = docs.sparkSession.createDataFrame(counts, "lang string, n bigint")
-    share = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
+    share = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
     return known.join(F.broadcast(counts), "lang").where(share * F.col("n") < per_language).select("lang", "text")
 
 

@@ -235,6 +235,23 @@ def test_language_held_out(shared):
     assert [r.lang_pred for r in op7_language.identify(odd, ["doc_id"], None).collect()] == ["und"] * 6
 
 
+def test_language_of_one_group_of_copies_is_learned(shared):
+    ids = shared.range(6000).select(F.col("id").alias("doc_id"))
+    for group in range(5):  # chosen by hash: some group fails if copies count
+        docs = ids.select("doc_id", F.lit("xx").alias("lang"), F.concat(F.lit(f"text {group} of "), F.col("doc_id") % 3).alias("text"))
+        assert op7_language.training_sample(docs).select("text").distinct().count() == 3, group
+    mixed = ids.select("doc_id", F.lit("yy").alias("lang"), F.concat(F.lit("text "), F.greatest(F.col("doc_id"), F.lit(4000))).alias("text"))
+    n = op7_language.training_sample(mixed).select("text").distinct().count()
+    assert 400 < n < 600
+
+
+def test_copied_labelled_pages_count_once(shared):
+    page = "<p>out</p><article><p>one two three</p></article>"
+    few = shared.createDataFrame([(page + f"<!-- {k} -->",) for k in range(3)], "html string")
+    many = few.crossJoin(shared.range(2000)).select("html").repartition(6)
+    assert op4_html.fit(many) == op4_html.fit(few)
+
+
 # --- words ------------------------------------------------------------------------------
 
 
