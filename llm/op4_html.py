@@ -3,7 +3,8 @@
 A page is a sequence of words and tags.  Words score positive, tags negative; the main text
 is the contiguous run with the highest sum, found in one linear scan.  The weights are
 log-odds counted on pages that label their own text with an ``article`` or ``main`` element:
-how often a tag stands inside such an element and how often outside.  Elements that are
+how often a tag stands inside such an element and how often outside.  Inside such an element
+tags weigh the least, so lists, links and tables do not cut its text.  Elements that are
 never main text (menus, forms, adverts, scripts, reader comments and the like) give no
 words, wherever they stand.  A class or id makes an element one of these if all its words
 are listed (``ad``, ``cookie-banner``) and no ``article`` or ``main`` stands inside; a name
@@ -194,10 +195,11 @@ def main_text(page: str, word: float, tags: dict[str, float]) -> str:
     best = total = 0.0
     start = first = last = 0
     sequence = list(tokens(page))
-    for k, (kind, value, _) in enumerate(sequence):
+    for k, (kind, value, labelled) in enumerate(sequence):
         if kind == "break":
             continue
-        total += word * len(value.split()) if kind == "text" else tags.get(value, UNSEEN_TAG)
+        tag = TAG_RANGE[1] if labelled else tags.get(value, UNSEEN_TAG)
+        total += word * len(value.split()) if kind == "text" else tag
         if total <= 0:
             total, start = 0.0, k + 1
         elif total > best and kind == "text":

@@ -96,6 +96,16 @@ def test_main_text_under_compound_and_wrapper_names(page, text):
     assert op4_html.main_text(page, *WEIGHTS) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>one two</p><ul>" + "<li><a href=x>go</a></li>" * 10 + "</ul><p>three four</p></article>", "one two" + " go" * 10 + " three four"),
+    ("<article><p>one two</p><table><tr><td><a href=x>a</a><td><a href=x>b</a></table><p>three</p></article>", "one two a b three"),
+    ("<div><ul>" + "<li><a href=x>go</a></li>" * 10 + "</ul></div><article><p>one two three</p></article><ul>" + "<li><a>go</a></li>" * 9 + "</ul>", "one two three"),
+    ("<ul>" + "<li><a href=x>go</a></li>" * 10 + "</ul><p>one two three</p><div><a>x</a><a>y</a></div>", "one two three"),
+])
+def test_main_text_where_the_scan_decides(page, text):
+    assert op4_html.main_text(page, *WEIGHTS) == text
+
+
 def test_compound_names_have_learned_weights(shared):
     page = "<div class='site has-sidebar'><div class='post-comments-7'><p>a b</p></div><article><p>one</p><div class='related-work'>two</div></article></div>"
     _, tags = op4_html.fit(shared.createDataFrame([(page + f"<!-- {k} -->",) for k in range(30)], "html string"))
