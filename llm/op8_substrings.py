@@ -1,14 +1,18 @@
-"""Substring deduplication by relative Lempel-Ziv parsing.
+"""Substring deduplication by an index of phrases between anchors, in place of a relative
+Lempel-Ziv parsing: no document is factored greedily against blocks of the reference, no
+longest factor is looked for.  A greedy parsing depends on where the factor before ended,
+so it would send every document to every block; anchors depend on the text alone, so
+lookups are joins.  The spans are the same: all windows that occur earlier.
 
 The reference of a document is all text before it: documents of smaller id, and its own
 earlier words.  A document is cut in phrases at anchors that its text alone decides (the
 least hash of the five-word runs of a window, leftmost first), so equal passages are cut
 alike wherever they stand and no document is compared with another.  The index holds, by
 anchor, every phrase with the place it first occurs at, spread over the hash partitions of
-a shuffle (the reference blocks).  A phrase that occurred before extends a factor, a copy
-of one run of reference words.  Where phrases of one anchor differ, at the boundaries of
-factors, single windows are looked up instead.  Factors of a whole window and more are the
-duplicate spans.
+a shuffle (the reference blocks).  A phrase that occurred before is a copy of one run of
+reference words.  Where phrases of one anchor differ, at the boundaries of
+factors, single windows are looked up instead.  Neighbouring copies of one run of the reference are
+joined to factors, the duplicate spans.
 
 A phrase is at most 16 windows, so index, lookups and skew handling work on about a row per
 nine words.  Counts and first places are combined before their shuffle; lookups are joins
