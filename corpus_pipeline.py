@@ -18,7 +18,7 @@ from llm.shared import saved
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a determined language go; missing languages are filled in."""
+    """Documents without a letter go, no others; missing languages are filled in."""
     return of_known_language(docs)
 
 
@@ -47,7 +47,8 @@ STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates),
           ("repeated_passages", repeated_passages), ("benchmark_passages", benchmark_passages),
           ("source_mix", source_mix)]
 
-#: A trained network decides in the first stage: no SQL says which rows remain.
+#: Classes of near copies are components of links, of candidates found with a recall under 1, and a trained
+#: network fills missing languages: no SQL says either.  The first stage itself drops letterless texts only.
 ORACLE_SQL = None
 
 

@@ -112,8 +112,8 @@ def identify(docs: DataFrame, columns: list[str], model: gru.Model | None) -> Da
 
 
 def of_known_language(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is determined; a null ``lang`` is
-    filled with the predicted one."""
+    """The rows of ``docs``, all columns, with a letter in their text; a null ``lang`` is filled
+    with the predicted one.  The network rejects no row, however unsure it is."""
     found = identify(docs, docs.columns, fit(docs, **options)).where(F.col("lang_pred") != UNDETERMINED)
     columns = [F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias(c) if c == "lang" else unpacked(c) for c in docs.columns]
     return found.select(*columns)
