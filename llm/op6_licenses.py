@@ -5,7 +5,8 @@ of three shingles that start at every second one, so each two neighbouring shing
 text share a window.  Templates are indexed by all runs of two shingles (or their only one).
 A window and a run are compared by the least values of several orders of their shingles, a
 band each; one equal band retrieves the template.  A shared pair has similarity 2/3, a
-shared single shingle 1/3, so ``bands_needed`` orders find it with the stated probability.
+shared single shingle 1/3 with a template's only one and 1/4 with a run of two, so
+``bands_needed`` orders find it with the stated probability also at a template's edge.
 Retrieved templates are checked exactly: the share of their shingles that the windows hold
 within the template's length.  All of it is built-in functions; texts never move, templates
 are broadcast as long as they are small.
@@ -49,7 +50,7 @@ TEMPLATES = [
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def bands_needed(recall: float = RECALL, similarity: float = 1 / WINDOW) -> int:
+def bands_needed(recall: float = RECALL, similarity: float = 1 / (WINDOW + 1)) -> int:
     """Orders after which sets of this similarity have met in one with probability ``recall``."""
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity))
 
