@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_topk, op2_decontaminate, op3_jaccard, op4_html, op5_chat, op6_licenses, op7_language, op8_substrings, op9_mixing, op10_warc, op11_phrases, op12_quality
+from . import op1_topk, op2_decontaminate, op3_jaccard, op4_html, op5_chat, op6_licenses, op7_language, op8_substrings, op9_mixing, op10_warc, op11_phrases, op12_quality, op13_merkle
 
 QUERIES = {"op1_topk": op1_topk.q_op1_topk,
            "op2_decontaminate": op2_decontaminate.q_op2_decontaminate,
@@ -15,7 +15,8 @@ QUERIES = {"op1_topk": op1_topk.q_op1_topk,
            "op9_mixing": op9_mixing.q_op9_mixing,
            "op10_warc": op10_warc.q_op10_warc,
            "op11_phrases": op11_phrases.q_op11_phrases,
-           "op12_quality": op12_quality.q_op12_quality}
+           "op12_quality": op12_quality.q_op12_quality,
+           "op13_merkle": op13_merkle.q_op13_merkle}
 SQL = {"op1_topk": op1_topk.SQL,
        "op2_decontaminate": op2_decontaminate.SQL,
        "op5_chat": op5_chat.SQL,
@@ -24,4 +25,5 @@ SQL = {"op1_topk": op1_topk.SQL,
        "op9_mixing": op9_mixing.SQL,
        "op10_warc": op10_warc.SQL,
        "op11_phrases": op11_phrases.SQL,
-       "op12_quality": op12_quality.SQL}
+       "op12_quality": op12_quality.SQL,
+       "op13_merkle": op13_merkle.SQL}
