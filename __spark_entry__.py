@@ -142,6 +142,13 @@ def q_grouped_sum_all(spark, sf_dir):
         "img_id", "x", "y", "i", "s")
 
 
+def q_few_requests_sum(spark, sf_dir):
+    """Some of the stored images, asked for from a table that also names others."""
+    regions = _table(spark, sf_dir, "region").where("r_name like 'A%'")
+    return mosaic(requests(regions, "r_regionkey"), _vector_tiles(spark, sf_dir), VECTORS, output="long").select(
+        "img_id", "x", "y", "i", "s")
+
+
 def q_grouped_sum_n2(spark, sf_dir):
     grid = TileGrid(10, 10, 1, 1, n_size=2, clip="image")
     return mosaic(_vector_requests(spark, sf_dir), _vector_tiles(spark, sf_dir), grid,
@@ -585,6 +592,8 @@ def library_sql() -> dict[str, str]:
             select img_id, cast(-1 as bigint) as z, x, y
             from r, range(1, 11) gx(x), range(1, 11) gy(y)
             where not exists (select 1 from t where t.img_id = r.img_id and t.x = gx.x and t.y = gy.y)""",
+        "few_requests_sum": _sql_mosaic() + """ select img_id, x, y, i, s from mosaic
+            where img_id in (select cast(r_regionkey as varchar) from region where r_name like 'A%')""",
         "grouped_sum_n2": _sql_mosaic(2, "true") + " select img_id, x, y, i, s from mosaic",
         "grouped_sum_zero": f"""with {_TILES},
             r as (select distinct img_id from t),

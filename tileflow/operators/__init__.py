@@ -5,9 +5,10 @@ from .expand import (backward_neighbours, build_items, expand_index_grid, expand
                      grid_neighbours, neighbours, source_fanout, source_ids)
 from .group import group_tiles
 from .halo import sum_neighbourhoods, sum_neighbourhoods_by_parts
+from .wanted import wanted_filter
 
 __all__ = ["assert_unique_tiles", "attach_tiles", "backward_neighbours", "build_items",
            "check_input_type", "expand_index_grid", "expand_requests", "grid_neighbours",
            "group_tiles", "missing_tiles", "neighbours", "source_fanout", "source_ids",
            "strategy_diff", "sum_neighbourhoods", "sum_neighbourhoods_by_parts", "sum_tiles",
-           "to_long"]
+           "to_long", "wanted_filter"]

@@ -13,6 +13,7 @@ from ..operators.combine import sum_tiles, to_long
 from ..operators.expand import expand_requests, grid_neighbours, source_ids, spread
 from ..operators.halo import (BLOCK_METHODS, REQUEST_JOINS, RUN, broadcast_requests, join_segments,
                               sum_neighbourhoods, sum_neighbourhoods_by_parts)
+from ..operators.wanted import FILTER_BITS, wanted_filter
 from ..sources.requests import request_weights
 from ..sources.tiles import TILE_KEY
 
@@ -37,14 +38,18 @@ def even_block(grid: TileGrid, block: int) -> int:
     return -(-side // max(1, round(side / block)))
 
 
-def _of_images(tiles: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
-    """The tiles of requested images, before a join that has to see every request."""
-    return tiles.join(broadcast_requests(weights, limit).select("img_id"), "img_id", "left_semi")
+def _of_images(tiles: DataFrame, weights: DataFrame, request_join: str, limit: int, bits: int) -> DataFrame:
+    """The tiles of requested images (a few others may pass the filter), before a join that has
+    to see every request."""
+    if request_join == "broadcast":
+        return tiles.join(broadcast_requests(weights, limit).select("img_id"), "img_id", "left_semi")
+    return tiles.where(wanted_filter(weights, bits=bits)) if bits else tiles
 
 
 def read_sources(weights: DataFrame | None, tiles, grid: TileGrid, on_missing: str = "skip",
                  length: int | None = None, partitions: int | None = None, salt: int = 1,
-                 request_join: str = "shuffle", broadcast_limit: int = 8 << 20):
+                 request_join: str = "shuffle", broadcast_limit: int = 8 << 20,
+                 filter_bits: int = FILTER_BITS):
     """Every wanted input tile once with a ``salt``, and the requests still to be joined.
 
     Tiles carry the ``weight`` of their image unless the second value has it: requests
@@ -62,8 +67,7 @@ def read_sources(weights: DataFrame | None, tiles, grid: TileGrid, on_missing: s
         return attach_tiles(ids, tiles, TILE_KEY).withColumn("salt", F.lit(0)), None
     stored = tiles_of_grid(tiles, grid)
     if on_missing != "skip":
-        if request_join == "broadcast":
-            stored = _of_images(stored, weights, broadcast_limit)
+        stored = _of_images(stored, weights, request_join, broadcast_limit, filter_bits)
         rows = attach_tiles(source_ids(weights, grid, partitions), salted(stored), TILE_KEY, on_missing, length,
                             shuffle=True, carry=("salt",))
         return rows.withColumn("salt", F.coalesce("salt", F.lit(0))), None
@@ -71,7 +75,7 @@ def read_sources(weights: DataFrame | None, tiles, grid: TileGrid, on_missing: s
         # the filter, true of every request, marks them as selective: of a table stored by
         # image only the wanted images are read
         return salted(stored.join(broadcast_requests(weights, broadcast_limit), "img_id")), None
-    return salted(stored), weights.where("weight > 0")
+    return salted(_of_images(stored, weights, request_join, broadcast_limit, filter_bits)), weights.where("weight > 0")
 
 
 def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "grouped",
@@ -79,7 +83,8 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
            on_missing: str = "skip", length: int | None = None, block: int = 8,
            segment: int | None = None, dtype: str | None = None,
            partitions: int | None = None, salt: int = 1, check_unique: bool = False,
-           request_join: str = "shuffle", broadcast_limit: int = 8 << 20, shape=None) -> DataFrame:
+           request_join: str = "shuffle", broadcast_limit: int = 8 << 20, shape=None,
+           filter_bits: int = FILTER_BITS) -> DataFrame:
     """Build every output tile of every requested image (``None``: of every image stored).
 
     Each output is the pixel-wise sum of the input tiles around it, pixels above
@@ -107,10 +112,14 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
         needs about ``2 * (block + 2 n_size)^2 * min(segment, tile) * 8`` bytes: 52 MB for
         ``segment=32768``.
     request_join
-        how tiles of a table meet the requests: ``shuffle`` joins them where a block comes
-        together, at any number of requests; ``broadcast`` sends the distinct requests to
+        how tiles of a table meet the requests: ``shuffle`` filters them at the scan by the
+        wanted ids (see ``filter_bits``) and joins what passes where a block comes together,
+        at any number of requests; ``broadcast`` sends the distinct requests to
         all tasks, so that only tiles of wanted images move and, of a table stored by image,
         only those are read; over ``broadcast_limit`` bytes, measured first, it is an error.
+    filter_bits
+        bits of the filter of wanted ids, ten for every image asked for; too few let more
+        tiles through and change no result; 0: no filter.
     dtype
         NumPy type of the pixels of a table with ``binary`` tiles (``arrow`` only; sums
         come back as binary int64, or float64 for real pixels).
@@ -156,9 +165,7 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
         if callable(tiles):
             pairs = pairs.repartition(partitions or spread(pairs), *at)
         else:
-            tiles = tiles_of_grid(tiles, grid)
-            if request_join == "broadcast":
-                tiles = _of_images(tiles, weights, broadcast_limit)
+            tiles = _of_images(tiles_of_grid(tiles, grid), weights, request_join, broadcast_limit, filter_bits)
         rows = attach_tiles(pairs, tiles, at, on_missing, length, shuffle=True)
         # without z, one value: results then are dealt by what a later join of mosaics needs
         built = sum_tiles(rows, ["img_id", "x", "y"], method=method, output=output, length=length,
@@ -168,7 +175,7 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
 
     block = even_block(grid, block)
     sources, joined = read_sources(weights, tiles, grid, on_missing, length, partitions, salt,
-                                   request_join, broadcast_limit)
+                                   request_join, broadcast_limit, filter_bits)
     if strategy == "grouped":
         if salt != 1:
             keys = [*TILE_KEY, *(c for c in ("weight",) if c in sources.columns)]
