@@ -48,20 +48,54 @@ def at_most(pixels, length: int, size: Column | None = None) -> Column:
     return F.when(size > length, too_long).otherwise(F.col(pixels))
 
 
-def _lane_sums(df, keys, pixels, element, kind):
+def lane_rows(df: DataFrame, keys, kind: str, pixels: str = "pixels", element=lambda v: v) -> DataFrame:
+    """Tiles cut in runs of 16 pixels: keys, ``_run``, ``_min`` and ``_max`` (both the size of the
+    tile) and a column per pixel."""
     size = F.array_size(pixels)
     # the outer form: a plain explode would let the optimizer test size(pixels) early
     # and compute a read column twice
     runs = F.sequence(F.lit(0), int_div(size - 1, F.lit(LANES)))
     cut = df.select(*df.columns, size.alias("_size"), F.explode_outer(runs).alias("_run"))
     pixel = lambda k: F.get(pixels, F.col("_run") * LANES + k)
-    lanes = cut.where("_run is not null").select(
-        *keys, "_run", "_size", *[_whole(element(pixel(k)), kind).alias(f"_p{k}") for k in range(LANES)])
-    sums = lanes.groupBy(*keys, "_run").agg(
-        F.min("_size").alias("_min"), F.max("_size").alias("_max"),
-        *[F.sum(f"_p{k}").alias(f"_p{k}") for k in range(LANES)])
-    return sums.select(*keys, "_run", "_min", "_max",
-                       F.array(*[f"_p{k}" for k in range(LANES)]).alias("_piece"))
+    return cut.where("_run is not null").select(
+        *keys, "_run", F.col("_size").alias("_min"), F.col("_size").alias("_max"),
+        *[_whole(element(pixel(k)), kind).alias(f"_p{k}") for k in range(LANES)])
+
+
+def pixel_rows(df: DataFrame, keys, kind: str, pixels: str = "pixels", element=lambda v: v) -> DataFrame:
+    """The same with a row for every pixel."""
+    out = df.select(*df.columns, F.array_size(pixels).alias("_size"),
+                    F.posexplode_outer(pixels).alias("_pos", "_value"))
+    # an empty tile keeps one row, so that its length still takes part in the check
+    out = out.where("_pos is not null or _size = 0")
+    return out.select(*keys, F.coalesce("_pos", F.lit(0)).alias("_run"), F.col("_size").alias("_min"),
+                      F.col("_size").alias("_max"), _whole(element(F.col("_value")), kind).alias("_p0"))
+
+
+def add_rows(rows: DataFrame, keys) -> DataFrame:
+    """Sums of such rows by key and run."""
+    pixels = [c for c in rows.columns if c.startswith("_p")]
+    return rows.groupBy(*keys, "_run").agg(
+        F.min("_min").alias("_min"), F.max("_max").alias("_max"), *[F.sum(c).alias(c) for c in pixels])
+
+
+def whole_tiles(sums: DataFrame, keys, output: str = "tiles", truncate: bool = False) -> DataFrame:
+    """Tiles, or rows of their pixels, from the sums of their runs."""
+    lanes = [c for c in sums.columns if c.startswith("_p")]
+    pieces = sums.select(*keys, "_run", "_min", "_max", F.array(*lanes).alias("_piece"))
+    if output == "long" and not truncate:
+        rows = pieces.select(*keys, "_run", "_min", "_max",
+                             F.posexplode("_piece").alias("_pos", "s"))
+        at = F.col("_run") * len(lanes) + F.col("_pos")
+        return (rows.where(at < _same_length(F.col("_min"), False))
+                .select(*keys, at.cast("bigint").alias("i"), "s"))
+    # a tile's pieces are as bounded as the tile itself
+    whole = pieces.groupBy(*keys).agg(
+        F.min("_min").alias("_min"), F.max("_max").alias("_max"),
+        F.sort_array(F.collect_list(F.struct("_run", "_piece"))).alias("_pieces"))
+    tile = F.slice(F.flatten("_pieces._piece"), F.lit(1), _same_length(F.col("_min"), truncate))
+    tiles = whole.select(*keys, tile.alias("pixels"))
+    return to_long(tiles) if output == "long" else tiles
 
 
 def _short_sums(df, keys, pixels, element, kind, length):
@@ -77,18 +111,6 @@ def _short_sums(df, keys, pixels, element, kind, length):
         *keys, "_min", "_max", F.array(*[f"_p{k}" for k in range(length)]).alias("_piece"))
 
 
-def _pixel_sums(df, keys, pixels, element, kind):
-    out = df.select(*df.columns, F.array_size(pixels).alias("_size"),
-                    F.posexplode_outer(pixels).alias("_pos", "_value"))
-    # an empty tile keeps one row, so that its length still takes part in the check
-    out = out.where("_pos is not null or _size = 0")
-    out = out.select(*keys, F.coalesce("_pos", F.lit(0)).alias("_run"), "_size",
-                     _whole(element(F.col("_value")), kind).alias("_value"))
-    return out.groupBy(*keys, "_run").agg(
-        F.min("_size").alias("_min"), F.max("_size").alias("_max"),
-        F.array(F.sum("_value")).alias("_piece"))
-
-
 def sum_tiles(df: DataFrame, keys, pixels: str = "pixels", method: str = "lanes",
               output: str = "tiles", element=None, truncate: bool = False,
               length: int | None = None) -> DataFrame:
@@ -112,22 +134,8 @@ def sum_tiles(df: DataFrame, keys, pixels: str = "pixels", method: str = "lanes"
         tile = F.slice("_piece", F.lit(1), _same_length(F.col("_min"), truncate))
         tiles = sums.select(*keys, tile.alias("pixels"))
         return to_long(tiles) if output == "long" else tiles
-    sums = _lane_sums if method == "lanes" else _pixel_sums
-    width = LANES if method == "lanes" else 1
-    pieces = sums(df, keys, pixels, element, kind)
-    if output == "long" and not truncate:
-        rows = pieces.select(*keys, "_run", "_min", "_max",
-                             F.posexplode("_piece").alias("_pos", "s"))
-        at = F.col("_run") * width + F.col("_pos")
-        return (rows.where(at < _same_length(F.col("_min"), False))
-                .select(*keys, at.cast("bigint").alias("i"), "s"))
-    # a tile's pieces are as bounded as the tile itself
-    whole = pieces.groupBy(*keys).agg(
-        F.min("_min").alias("_min"), F.max("_max").alias("_max"),
-        F.sort_array(F.collect_list(F.struct("_run", "_piece"))).alias("_pieces"))
-    tile = F.slice(F.flatten("_pieces._piece"), F.lit(1), _same_length(F.col("_min"), truncate))
-    tiles = whole.select(*keys, tile.alias("pixels"))
-    return to_long(tiles) if output == "long" else tiles
+    rows = (lane_rows if method == "lanes" else pixel_rows)(df, keys, kind, pixels, element)
+    return whole_tiles(add_rows(rows, keys), keys, output, truncate)
 
 
 def to_long(tiles: DataFrame) -> DataFrame:

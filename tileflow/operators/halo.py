@@ -17,7 +17,7 @@ from pyspark.sql.types import BinaryType
 from ..functions.pixels import BRIGHT_LIMIT, int_div, zero_above
 from ..grid import TileGrid
 from .block_sums import BLOCK_KEY, block_summer
-from .combine import at_most, sum_tiles, sum_type
+from .combine import add_rows, at_most, lane_rows, pixel_rows, sum_type, whole_tiles
 
 BLOCK_METHODS = ("arrow", "lanes", "long")
 REQUEST_JOINS = ("shuffle", "broadcast")
@@ -117,21 +117,30 @@ def join_segments(tiles: DataFrame, keys) -> DataFrame:
     return runs.select(*keys, F.flatten("_runs.pixels").alias("pixels"))
 
 
-def _fan_out(rows: DataFrame, grid: TileGrid, block: int | None) -> DataFrame:
-    """Give every tile to the outputs that use it; inside its block if ``block`` is set."""
-    def users(at, step, n_targets, block_at):
-        low = [_index(at, step) - grid.n_size, F.lit(0).cast("bigint")]
-        high = [_index(at, step) + grid.n_size, F.lit(n_targets - 1).cast("bigint")]
-        if block:
-            low.append(F.col(block_at) * block)
-            high.append(F.col(block_at) * block + block - 1)
-        return F.sequence(F.greatest(*low), F.least(*high))
+def _users(at: str, step: int, n_size: int, n_targets: int, block: int | None, block_at: str):
+    """Places along one axis whose outputs use the tile; inside its block if ``block`` is set."""
+    low = [_index(at, step) - n_size, F.lit(0).cast("bigint")]
+    high = [_index(at, step) + n_size, F.lit(n_targets - 1).cast("bigint")]
+    if block:
+        low.append(F.col(block_at) * block)
+        high.append(F.col(block_at) * block + block - 1)
+    return F.transform(F.sequence(F.greatest(*low), F.least(*high)), lambda i: i * step)
 
-    rest = [c for c in rows.columns if c not in ("x", "y")]
-    return (rows.select("*", F.explode(users("x", grid.tile_w, grid.cols, "bx")).alias("_tx"))
-            .select("*", F.explode(users("y", grid.tile_h, grid.rows, "by")).alias("_ty"))
-            .select(*rest, (F.col("_tx") * grid.tile_w).alias("x"),
-                    (F.col("_ty") * grid.tile_h).alias("y")))
+
+def _box_sums(rows: DataFrame, grid: TileGrid, block: int | None, keys: list[str], method: str, element) -> DataFrame:
+    """The sums over every output's neighbourhood, along x first and then along y.
+
+    A square sum is a sum of sums: a run of pixels is added to ``2n + 1`` outputs in each of two
+    passes, not to ``(2n + 1)^2`` in one.  ``keys`` name what sits in one partition together;
+    the passes need no shuffle then.
+    """
+    kind = sum_type(rows)
+    cut = (lane_rows if method == "lanes" else pixel_rows)(rows, [*keys, "x", "y"], kind, element=element)
+    for at, step, n_targets, block_at in (("x", grid.tile_w, grid.cols, "bx"), ("y", grid.tile_h, grid.rows, "by")):
+        rest = [c for c in cut.columns if c != at]
+        users = F.explode(_users(at, step, grid.n_size, n_targets, block, block_at)).alias(at)
+        cut = add_rows(cut.select(*rest, users), [*keys, "x", "y"])
+    return cut
 
 
 def _together(rows: DataFrame, by: list[str], wanted: DataFrame | None) -> DataFrame:
@@ -177,11 +186,11 @@ def sum_neighbourhoods(sources: DataFrame, grid: TileGrid, method: str = "arrow"
                            source_halo=grid.n_size, out_halo=0, limit=limit)
     # a constant seg would hide from the sum that its keys are already together
     by = ["img_id", "bx", "by"] + (["seg"] if segment else [])
-    fanned = _fan_out(_together(placed, by, wanted), grid, block)
     element = lambda v: zero_above(v, limit) * F.col("weight")
-    # the outputs of a block sit in its partition: this sum needs no further shuffle
-    keys = ["img_id", "z", "bx", "by", "seg", "x", "y"]
-    return sum_tiles(fanned, keys, method=method, element=element).drop("bx", "by")
+    # the outputs of a block sit in its partition: the sums need no further shuffle
+    keys = ["img_id", "z", "bx", "by", "seg"]
+    sums = _box_sums(_together(placed, by, wanted), grid, block, keys, method, element)
+    return whole_tiles(sums, [*keys, "x", "y"]).drop("bx", "by")
 
 
 def sum_neighbourhoods_by_parts(sources: DataFrame, grid: TileGrid, method: str = "arrow",
@@ -207,8 +216,7 @@ def sum_neighbourhoods_by_parts(sources: DataFrame, grid: TileGrid, method: str
             {"weight": F.lit(1), "salt": F.lit(0)})
         return _sum_blocks(inside, grid, block, wide, kind, reach=0, source_halo=0, out_halo=0)
     by = ["img_id", "bx", "by", "salt"] + (["seg"] if segment else [])
-    fanned = _fan_out(_together(rows, by, wanted), grid, None)
     element = lambda v: zero_above(v, limit) * F.col("weight")
+    sums = _box_sums(_together(rows, by, wanted), grid, None, ["img_id", "z", "seg", "bx", "by", "salt"], method, element)
     keys = ["img_id", "z", "seg", "x", "y"]
-    partial = sum_tiles(fanned, keys + ["bx", "by", "salt"], method=method, element=element)
-    return sum_tiles(partial, keys, method=method)
+    return whole_tiles(add_rows(sums.drop("bx", "by", "salt"), keys), keys)
