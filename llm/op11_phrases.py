@@ -10,8 +10,9 @@ decides whether the prefix is subsumed.
 A phrase is frequent only if its first and its last n - 1 words are, so pass n looks at
 these alone.  They are recognised by a Bloom filter of bounded size: one that is too full
 lets more through and changes no count.  Counting is by the words themselves, hashes only
-choose what is looked at.  The stripe of a prefix is cut in slices by a hash of the next
-word, so that no task gets all that follows "the".
+choose what is looked at.  The stripes of the few prefixes that hold more than a set share of
+all words are cut in slices by a hash of the next word, so that no task gets all that follows
+"the".
 """
 
 from __future__ import annotations
@@ -32,14 +33,18 @@ MAX_WORDS = 4
 SUBSUMED = 80
 SCALE = 2000000
 TOP = 2000
-#: Slices of a stripe; of that of the empty prefix, which holds every word.
-SLICES, FIRST_SLICES = 16, 1024
+#: A prefix with this part of all words has its stripe cut in slices (at most as many have it).
+HOT_PART = 2048
+#: Slices of such a stripe; of that of the empty prefix, which holds every word.
+SLICES, FIRST_SLICES = 64, 1024
 #: Bytes of text that a task counts at once, cut where pieces end.
 RUN_BYTES = 8 << 20
 #: Bits of a filter: 16 per phrase between these bounds (the upper one is 8 MiB).
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
 
-STRIPE = "lang string, prefix string, slice int, counter array<struct<next: string, n: bigint>>"
+#: A part of a stripe: the next words, joined by spaces, and how often each follows.  An empty one
+#: counts the prefixes that end a piece or go on to what is not frequent.
+STRIPE = "lang string, prefix string, slice int, nexts string, counts array<int>"
 
 _GAPS = [0x20, 0x09]
 _PIECE_ENDS = [*b".,;:!?", *range(0x0A, 0x0E)]
@@ -163,22 +168,30 @@ class Filter:
         return (self.blocks[block] & mask) == mask
 
 
-def frequent_filter(phrases: DataFrame, n: int, count: int) -> Filter:
-    """The filter of ``count`` phrases of n words (``lang, phrase``); the driver gets its
-    blocks, at most ``MOST_BITS / 64`` of them, which tasks have made."""
+def frequent_filter(phrases: DataFrame, n: int, words: int):
+    """The blocks of a ``Filter`` of the phrases (``lang, phrase, a``) of n words, and the hashes
+    of those with a ``HOT_PART``-th of all ``words``.  Tasks make them; the driver gets at most
+    ``MOST_BITS / 64`` blocks and ``HOT_PART`` hashes."""
+    count = phrases.count()
     n_blocks = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * count).bit_length())) // 64
 
-    def mark(batches):
+    def hashes(batches):
         for run in runs_of(batches):
             h, whole = phrase_hashes(run, n)
-            block, mask = places(h[whole], n_blocks)
+            yield h[whole]
+
+    def marks(batches):
+        for h in hashes(batches):
+            block, mask = places(h, n_blocks)
             yield pa.record_batch({"block": block, "mask": mask.view(np.int64)})
 
-    rows = (phrases.select("lang", F.concat("phrase", F.lit(".")).alias("text"))
-            .mapInArrow(mark, "block bigint, mask bigint").groupBy("block").agg(F.bit_or("mask").alias("mask")).toArrow())
-    made = Filter(np.zeros(n_blocks, dtype=np.uint64))
-    made.blocks[rows["block"].to_numpy()] = rows["mask"].to_numpy().view(np.uint64)
-    return made
+    texts = phrases.select("lang", F.concat("phrase", F.lit(".")).alias("text"), "a")
+    rows = texts.mapInArrow(marks, "block bigint, mask bigint").groupBy("block").agg(F.bit_or("mask").alias("mask")).toArrow()
+    blocks = np.zeros(n_blocks, dtype=np.uint64)
+    blocks[rows["block"].to_numpy()] = rows["mask"].to_numpy().view(np.uint64)
+    much = texts.where(F.col("a") > words / HOT_PART)
+    hot = much.mapInArrow(lambda batches: (pa.record_batch({"h": h.view(np.int64)}) for h in hashes(batches)), "h bigint").toArrow()
+    return blocks, hot["h"].to_numpy().view(np.uint64)
 
 
 def _dense(keys: np.ndarray):
@@ -186,63 +199,62 @@ def _dense(keys: np.ndarray):
     return codes
 
 
-def _stripes_of(run: Run, n: int, frequent: Filter | None, slices: int) -> pa.RecordBatch:
+def _stripes_of(run: Run, n: int, frequent: Filter | None, hot: np.ndarray | None) -> pa.RecordBatch:
     """The stripes of all prefixes of n - 1 words in a run."""
     size = len(run.words)
-    if n == 1:
-        at = np.arange(len(run.ids))
-        following = run.ids
-    else:
+    at = np.arange(len(run.ids))
+    following, code, slices = run.ids, run.langs, np.full(len(at), FIRST_SLICES)
+    if n > 1:
         h, whole = phrase_hashes(run, n - 1)
         whole[whole] = frequent.holds(h[whole])
         at = np.flatnonzero(whole)
+        slices = np.where(np.isin(h[at], hot), SLICES, 1)
         goes_on = run.linked[at] & np.append(whole[1:], False)[at]
         following = np.full(len(at), size)
         following[goes_on] = run.ids[at[goes_on] + n - 1]
-    code = run.langs[at]
+        code = code[at]
     for j in range(n - 1):
         code = _dense(code * size + run.ids[at + j])
-    keys, first, counts = np.unique(code * (size + 1) + following, return_index=True, return_counts=True)
-    following, code, at = following[first], code[first], at[first]
-    slice_of = np.zeros(len(keys), dtype=np.int64)
+    _, first, counts = np.unique(code * (size + 1) + following, return_index=True, return_counts=True)
+    following, code, at, slices = following[first], code[first], at[first], slices[first]
+    slice_of = np.zeros(len(first), dtype=np.int32)
     known = following < size
-    slice_of[known] = (run.hashes[following[known]] >> np.uint64(40)).astype(np.int64) % slices
-    order = np.lexsort((slice_of, code))
+    slice_of[known] = (run.hashes[following[known]] >> np.uint64(33)).astype(np.int64) % slices[known]
+    # the empty word first, as ids of words are below its own
+    order = np.lexsort((-following, slice_of, code))
     following, code, at, counts, slice_of = (x[order] for x in (following, code, at, counts, slice_of))
     new = np.ones(len(order), dtype=bool)
     new[1:] = (code[1:] != code[:-1]) | (slice_of[1:] != slice_of[:-1])
     begin = np.flatnonzero(new)
-    nexts = run.words.take(pa.array(following, mask=following == size)).cast(pa.string())
-    counter = pa.StructArray.from_arrays([nexts, pa.array(counts)], ["next", "n"])
-    places = pa.array(np.append(begin, len(order)).astype(np.int32))
-    if n == 1:
-        prefix = pa.array([""], pa.string()).take(pa.array(np.zeros(len(begin), np.int64)))
-    else:
-        parts = [run.words.take(pa.array(run.ids[at[begin] + j])) for j in range(n - 1)]
-        prefix = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())).cast(pa.string())
+    bounds = pa.array(np.append(begin, len(order)).astype(np.int32))
+    nexts = pa.concat_arrays([run.words.cast(pa.string()), pa.array([""], pa.string())]).take(pa.array(following))
+    parts = [run.words.take(pa.array(run.ids[at[begin] + j])) for j in range(n - 1)]
+    prefix = (pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())).cast(pa.string()) if parts
+              else pa.repeat(pa.scalar("", pa.string()), len(begin)))
     return pa.record_batch({"lang": run.names.take(pa.array(run.langs[at[begin]])).cast(pa.string()), "prefix": prefix,
-                            "slice": pa.array(slice_of[begin].astype(np.int32)),
-                            "counter": pa.ListArray.from_arrays(places, counter)})
+                            "slice": pa.array(slice_of[begin]),
+                            "nexts": pc.binary_join(pa.ListArray.from_arrays(bounds, nexts), " "),
+                            "counts": pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int32)))})
 
 
-def merged_stripes(texts: DataFrame, n: int, frequent=None, least: int = MIN_COUNT) -> DataFrame:
+def merged_stripes(texts: DataFrame, n: int, frequent=None, hot=None, least: int = MIN_COUNT) -> DataFrame:
     """``lang, prefix, slice, total, widest, extensions`` of every stripe of n - 1 words.
 
-    ``frequent`` broadcasts the blocks of a ``Filter`` of phrases of n - 1 words (none for n = 1).
-    ``extensions`` lists ``next, n`` of at least ``least``, ``widest`` is the largest n among
-    them, and ``total`` counts the prefix wherever it stands.
+    ``frequent`` broadcasts the blocks of a ``Filter`` of phrases of n - 1 words, ``hot`` the
+    hashes of those that hold much (none for n = 1).  ``extensions`` lists ``next, n`` of at
+    least ``least``, ``widest`` is the largest n among them, and ``total`` counts the prefix
+    wherever it stands.
     """
-    slices = FIRST_SLICES if n == 1 else SLICES
-
     def count(batches):
         for run in runs_of(batches):
-            yield _stripes_of(run, n, frequent and Filter(frequent.value), slices)
+            yield _stripes_of(run, n, frequent and Filter(frequent.value), hot and hot.value)
 
     by = ["lang", "prefix", "slice"]
     # dealt by stripe before the counters are opened: the sums below need no other shuffle
     partial = texts.mapInArrow(count, STRIPE).repartition(*by)
-    counts = partial.select(*by, F.inline("counter")).groupBy(*by, "next").agg(F.sum("n").alias("n"))
-    kept = F.col("next").isNotNull() & (F.col("n") >= least)
+    entries = F.arrays_zip(F.split("nexts", " ", -1).alias("next"), F.col("counts").alias("n"))
+    counts = partial.select(*by, F.inline(entries)).groupBy(*by, "next").agg(F.sum("n").alias("n"))
+    kept = (F.col("next") != "") & (F.col("n") >= least)
     return counts.groupBy(*by).agg(
         F.sum("n").alias("total"), F.max(F.when(kept, F.col("n"))).alias("widest"),
         F.collect_list(F.when(kept, F.struct("next", "n"))).alias("extensions"))
@@ -265,14 +277,17 @@ def candidates(docs: DataFrame, least: int = MIN_COUNT, max_words: int = MAX_WOR
     texts = docs.select("lang", "text")
     stripes = saved(merged_stripes(texts, 1, least=least), "stripes")
     totals = stripes.groupBy("lang").agg(F.sum("total").alias("n"))
+    words = totals.agg(F.sum("n")).first()[0] or 0
     none = F.array().cast("array<bigint>")
     last = stripes.select("lang", F.inline("extensions")).select(
         "lang", F.col("next").alias("phrase"), F.col("n").alias("a"), none.alias("heads"), none.alias("tails"))
     found = []
     for n in range(2, max_words + 1):
-        frequent = spark.sparkContext.broadcast(frequent_filter(last, n - 1, last.count()).blocks)
-        stripes = saved(merged_stripes(texts, n, frequent, least), "stripes")
+        blocks, hashes = frequent_filter(last, n - 1, words)
+        frequent, hot = spark.sparkContext.broadcast(blocks), spark.sparkContext.broadcast(hashes)
+        stripes = saved(merged_stripes(texts, n, frequent, hot, least), "stripes")
         frequent.destroy()
+        hot.destroy()
         parents = stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("total"), F.max("widest").alias("widest"))
         parents = parents.join(last.select("lang", F.col("phrase").alias("prefix"), "heads"), ["lang", "prefix"])
         parents = parents.select("lang", "prefix", "widest", F.array_append("heads", F.col("total")).alias("heads"))
