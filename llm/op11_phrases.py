@@ -113,25 +113,30 @@ def runs_of(batches, limit: int = RUN_BYTES):
         offsets = offsets - offsets[0]
         cuts = _cuts(whole, offsets, limit)
         for a, b in zip(cuts, cuts[1:]):
-            data = _LOWER[whole[a:b]]
-            inside = _INSIDE[data]
-            first = inside.copy()
-            first[1:] &= ~inside[:-1]
-            edges = offsets[np.searchsorted(offsets, a):np.searchsorted(offsets, b)] - a
-            first[edges] = inside[edges]
-            starts = np.flatnonzero(first)
-            if not len(starts):
-                continue
-            lengths = np.add.reduceat(inside, starts, dtype=np.int64)
-            bounds = np.concatenate([[0], np.cumsum(lengths)])
-            words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data[inside]))
-            words = words.dictionary_encode()
-            docs = np.searchsorted(offsets, starts + a, side="right") - 1
-            piece = np.searchsorted(np.flatnonzero(_ENDS[data]), starts)
-            linked = np.zeros(len(starts), dtype=bool)
-            linked[:-1] = (piece[1:] == piece[:-1]) & (docs[1:] == docs[:-1])
-            yield Run(words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary,
-                      _hashes(words.dictionary), lang_of[docs].astype(np.int64), names, lang_hashes, linked)
+            run = _run(_LOWER[whole[a:b]], offsets - a, lang_of, names, lang_hashes)
+            if run is not None:
+                yield run
+
+
+def _run(data: np.ndarray, offsets: np.ndarray, lang_of: np.ndarray, names: pa.Array, lang_hashes: np.ndarray) -> Run | None:
+    """The words of a run, lower-cased; ``offsets`` says where the texts around it begin."""
+    inside = _INSIDE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    edges = offsets[np.searchsorted(offsets, 0):np.searchsorted(offsets, len(data))]
+    first[edges] = inside[edges]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return None
+    bounds = np.concatenate([[0], np.cumsum(np.add.reduceat(inside, starts, dtype=np.int64))])
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data[inside]))
+    words = words.dictionary_encode()
+    docs = np.searchsorted(offsets, starts, side="right") - 1
+    piece = np.searchsorted(np.flatnonzero(_ENDS[data]), starts)
+    linked = np.zeros(len(starts), dtype=bool)
+    linked[:-1] = (piece[1:] == piece[:-1]) & (docs[1:] == docs[:-1])
+    return Run(words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary,
+               _hashes(words.dictionary), lang_of[docs].astype(np.int64), names, lang_hashes, linked)
 
 
 def _mixed_in(h: np.ndarray, value: np.ndarray) -> np.ndarray:
