@@ -13,17 +13,18 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tileflow import (TileGrid, fragment_pairs, fragment_pipeline, image_table, mosaic,
-                      request_mosaic, with_tile_stats, write_mosaic)
-from tileflow.functions import (flatten_tile, int_div, named_udf, quantise, reshape_tile, threshold,
+                      mosaic_rectangle, request_mosaic, with_tile_stats, write_mosaic)
+from tileflow.functions import (flat_map, flat_map_by_key, flatten_tile, int_div, named_udf, quantise, reshape_tile, threshold,
                                 tile_shape)
 from tileflow.operators import (attach_tiles, build_items, check_input_type, expand_requests,
                                 grid_neighbours, group_tiles, missing_tiles, source_fanout,
-                                source_ids, strategy_diff, sum_tiles, to_long)
+                                read_zone_map, source_ids, stored_diff, strategy_diff, sum_tiles, tiles_where,
+                                to_long, write_zone_map)
 from tileflow.operators.group import tile_part
 from tileflow.plans.fragments import constant_full_tile
-from tileflow.sinks import read_images
-from tileflow.sources import (key_table, request_weights, requests, synthetic_tiles,
-                              tiles_from_vectors)
+from tileflow.sinks import mosaic_of_blocks, read_images, read_rectangle, write_block_table, write_images
+from tileflow.sources import (key_table, read_tile_source, request_weights, requests, synthetic_tiles,
+                              tiles_from_vectors, write_tile_files)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -162,11 +163,15 @@ def q_grouped_sum_zero(spark, sf_dir):
                   output="long", on_missing="zero", length=64).select("img_id", "x", "y", "i", "s")
 
 
-def q_grouped_sum_binary(spark, sf_dir):
-    """Tiles as byte strings, summed in runs of 24 pixels that are put together again."""
+def _byte_tiles(spark, sf_dir):
     byte = lambda v: F.lpad(F.hex(v.cast("bigint").bitwiseAND(F.lit(255))), 2, "0")
-    tiles = _vector_tiles(spark, sf_dir).withColumn(
+    return _vector_tiles(spark, sf_dir).withColumn(
         "pixels", F.unhex(F.array_join(F.transform("pixels", byte), "")))
+
+
+def q_grouped_sum_binary(spark, sf_dir):
+    """Tiles as byte strings, summed in runs of 24 pixels that are put together again."""
+    tiles = _byte_tiles(spark, sf_dir)
     built = mosaic(_vector_requests(spark, sf_dir), tiles, VECTORS, dtype="int8", segment=24, length=64)
     digits = built.select("img_id", "x", "y", F.hex("pixels").alias("h"),
                           F.explode(F.sequence(F.lit(0), int_div(F.length("pixels"), F.lit(8)) - 1)).alias("i"))
@@ -476,12 +481,89 @@ def q_parquet_roundtrip_all(spark, sf_dir):
 def q_image_manifest(spark, sf_dir):
     """Parts of 30 places each; the second write's manifest lists its own files only."""
     path, tiles = _scratch(spark), _vector_tiles(spark, sf_dir)
-    write_mosaic(None, tiles.where("img_id = '0'"), VECTORS, path, tiles_per_file=30)
-    manifest = write_mosaic(_vector_requests(spark, sf_dir), tiles, VECTORS, path, tiles_per_file=30, mode="append")
+    write_mosaic(None, tiles.where("img_id = '0'"), VECTORS, path, tiles_per_file=30, write_id="first")
+    manifest = write_mosaic(_vector_requests(spark, sf_dir), tiles, VECTORS, path, tiles_per_file=30, mode="append",
+                            write_id="second")
     return manifest.groupBy("img_id", "part").agg(F.sum("n_tiles").alias("n_tiles"),
                                                   F.count(F.lit(1)).alias("n_files"))
 
 
+def q_tile_files(spark, sf_dir):
+    """Tiles written to a file each and read by the data source, which opens those asked for."""
+    path = _scratch(spark)
+    write_tile_files(_byte_tiles(spark, sf_dir), path)
+    tiles = read_tile_source(spark, path, images_per_task=4).where("img_id <> '' and x >= 3 and x < 7 and y <= 5")
+    digits = tiles.select("img_id", "x", "y", F.hex("pixels").alias("h"), F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i"))
+    value = F.conv(F.substring("h", F.col("i") * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    return digits.select("img_id", "x", "y", F.col("i").cast("bigint").alias("i"),
+                         F.when(value > 127, value - 256).otherwise(value).alias("v"))
+
+
+def q_bucketed_sum(spark, sf_dir):
+    """A table bucketed by image and block, of which a mosaic needs no shuffle."""
+    name = f"blocks_{uuid.uuid4().hex}"
+    write_block_table(_vector_tiles(spark, sf_dir), VECTORS, name, buckets=8, block=4, path=_scratch(spark))
+    return to_long(mosaic_of_blocks(spark, name, VECTORS, block=4)).select("img_id", "x", "y", "i", "s")
+
+
+def q_stored_diff(spark, sf_dir):
+    """Two stored mosaics, of tiles that differ in image 0 alone, compared by digests first."""
+    paths, tiles = (_scratch(spark), _scratch(spark)), _vector_tiles(spark, sf_dir)
+    bright = F.transform("pixels", lambda v: F.when((F.col("img_id") == "0") & (v < -20), 0).otherwise(v))
+    for path, pixels in zip(paths, (F.col("pixels"), bright)):
+        write_mosaic(None, tiles.withColumn("pixels", pixels), VECTORS, path, layout="blocks")
+    return stored_diff(*[read_images(spark, path) for path in paths]).drop("z")
+
+
+def q_zone_map_tiles(spark, sf_dir):
+    """Bright tiles, found in the zone map and fetched from a table stored by image."""
+    tiles, stored, zones = _vector_tiles(spark, sf_dir), _scratch(spark), _scratch(spark)
+    write_images(tiles, stored, "per_image", VECTORS)
+    write_zone_map(tiles, zones)
+    found = tiles_where(read_images(spark, stored, "array<int>"), read_zone_map(spark, zones), "most > 40 and mean > 0")
+    return found.select("img_id", "x", "y", "most", "brightest", F.aggregate("pixels", F.lit(0).cast("bigint"),
+                                                                             lambda a, v: a + v).alias("total"))
+
+
+def q_rectangle_sum(spark, sf_dir):
+    """A rectangle of every image, from tiles stored along a curve."""
+    path = _scratch(spark)
+    write_images(_vector_tiles(spark, sf_dir), path, "curve", VECTORS)
+    built = mosaic_rectangle(None, read_images(spark, path, "array<int>"), VECTORS, (2, 5), (4, 8), output="long")
+    return built.select("img_id", "x", "y", "i", "s")
+
+
+def q_rectangle_tiles(spark, sf_dir):
+    path = _scratch(spark)
+    write_mosaic(_vector_requests(spark, sf_dir), _vector_tiles(spark, sf_dir), VECTORS, path, layout="curve")
+    return to_long(read_rectangle(spark, path, "2", (2, 5), (4, 8))).drop("z")
+
+
+def _lines(text):
+    for pos, line in enumerate((text or "").split("\n")):
+        if line:
+            yield pos, line
+
+
+def q_flat_map_udtf(spark, sf_dir):
+    """A Python function that yields rows, as a table function in a lateral join."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return flat_map(docs, _lines, "pos int, line string", "text").select("doc_id", "pos", "line")
+
+
+def _records(best, row):
+    """Orders above all earlier ones of the customer, numbered."""
+    n, most = best or (0, None)
+    if most is None or row.o_totalprice > most:
+        return (n + 1, row.o_totalprice), [(n + 1,)]
+    return best, []
+
+
+def q_flat_map_by_key(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return flat_map_by_key(orders, ["o_custkey"], _records, "record int", order=["o_orderkey"])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The grouped-read mosaic of all vector images, one row per pixel."""
     return q_grouped_sum_all(spark, SMOKE_DIR)
@@ -566,7 +648,7 @@ def library_sql() -> dict[str, str]:
     mosaics = ["grouped_sum_all", "naive_sum", "grouped_sum", "grouped_sum_arrow", "grouped_sum_long",
                "grouped_sum_segments", "partial_sum", "partial_sum_arrow", "parquet_roundtrip",
                "grouped_sum_broadcast", "partial_sum_broadcast", "naive_sum_broadcast", "grouped_sum_binary",
-               "parquet_roundtrip_all"]
+               "parquet_roundtrip_all", "bucketed_sum"]
     return {name: _MOSAIC for name in mosaics} | {
         "expand_requests": f"""select s_name as request, s_name as img_id, cast(-1 as bigint) as z,
             x, y, 'out' as type from supplier, {_GRID}""",
@@ -680,6 +762,30 @@ def library_sql() -> dict[str, str]:
             select doc_id, cast(unnest(range(0, len(lines))) as integer) as pos, unnest(lines) as line from d""",
         "flat_map_values": """with w as (select doc_id, unnest(string_split(text, ' ')) as word from documents)
             select doc_id, word from w where length(word) > 14""",
+        "flat_map_udtf": """with d as (select doc_id, string_split(text, chr(10)) as lines from documents),
+                l as (select doc_id, cast(unnest(range(0, len(lines))) as integer) as pos, unnest(lines) as line from d)
+            select doc_id, pos, line from l where line <> ''""",
+        "flat_map_by_key": """with b as (select o_custkey, o_orderkey, o_totalprice, max(o_totalprice) over (partition by o_custkey
+                order by o_orderkey rows between unbounded preceding and 1 preceding) as most from orders)
+            select o_custkey, o_orderkey, o_totalprice,
+                cast(row_number() over (partition by o_custkey order by o_orderkey) as integer) as record
+            from b where most is null or o_totalprice > most""",
+        "tile_files": f"with {_TILES} select img_id, x, y, i, v from pv where x >= 3 and x < 7 and y <= 5",
+        "zone_map_tiles": f"""with {_TILES},
+            s as (select img_id, x, y, max(v) as most, avg(v) as mean, cast(sum(v) as bigint) as total from pv group by all)
+            select s.img_id, s.x, s.y, most, cast(min(i) as integer) as brightest, total
+            from s join pv on pv.img_id = s.img_id and pv.x = s.x and pv.y = s.y and pv.v = s.most
+            where most > 40 and mean > 0 group by all""",
+        "rectangle_sum": _sql_mosaic() + " select img_id, x, y, i, s from mosaic where x between 2 and 5 and y between 4 and 8",
+        "rectangle_tiles": _sql_mosaic() + """ select img_id, x, y, i, s from mosaic
+            where img_id = '2' and x between 2 and 5 and y between 4 and 8""",
+        "stored_diff": f"""with {_TILES},
+            pr as (select img_id, x as tx, y as ty, x + dx as x, y + dy as y
+                   from t, range(-1, 2) ox(dx), range(-1, 2) oy(dy) where x + dx > 0 and y + dy > 0),
+            m as (select img_id, tx as x, ty as y, i, sum(case when v > 20 then 0 else v end) as a,
+                      sum(case when v > 20 or (img_id = '0' and v < -20) then 0 else v end) as b
+                  from pr join pv using (img_id, x, y) group by all)
+            select img_id, x, y, 'both' as side, count(*) filter (a <> b) as n_diff from m group by all""",
         "group_by": """select l_suppkey, l_returnflag, count(*) as n_lines,
             cast(sum(cast(l_quantity as bigint)) as bigint) as quantity,
             min(l_extendedprice) as least, max(l_extendedprice) as most from lineitem group by all""",

@@ -1,0 +1,264 @@
+"""Stored tiles: what is listed, opened, read and moved."""
+
+import os
+import shutil
+import uuid
+
+import pytest
+from pyspark.sql import DataFrame, functions as F
+
+from tests import brute
+from tests.plans import metrics
+from tests.test_mosaic import collected, random_tiles, table
+from tileflow import TileGrid, mosaic, mosaic_rectangle, write_mosaic
+from tileflow.functions import flat_map, flat_map_by_key, morton
+from tileflow.operators import (kept, read_zone_map, stored_diff, strategy_diff, tiles_where, write_zone_map,
+                                zone_map)
+from tileflow.sinks import (mosaic_of_blocks, read_images, read_rectangle, write_block_table, write_images)
+from tileflow.sources import TILE_KEY, read_tile_source, read_tiles, request_list, write_tile_files
+
+GRID = TileGrid(10, 10, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def tiles(spark):
+    return spark.range(1200).select(
+        F.concat(F.lit("i"), F.floor(F.col("id") / 100)).alias("img_id"), F.lit(-1).cast("bigint").alias("z"),
+        F.floor(F.col("id") % 100 / 10).alias("x"), (F.col("id") % 10).alias("y"),
+        F.array(*[(F.hash("id", F.lit(k)) % 60).cast("int") for k in range(20)]).alias("pixels"))
+
+
+def scans(df, column="pixels"):
+    return [m for m in metrics(df) if m["name"].startswith(("Scan parquet", "BatchScan")) and column in m["text"]]
+
+
+# --- sums along one axis after the other ------------------------------------------------
+
+
+@pytest.mark.parametrize("clip", ["origin", "image", "none"])
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4])
+def test_lanes_of_every_reach(spark, n, clip):
+    grid = TileGrid(100, 60, 20, 20, n, clip=clip)
+    given = random_tiles(grid, ["a", "b"], 18, seed=n, missing=0.3)
+    for strategy in ("grouped", "partial"):
+        built = mosaic(request_list(spark, ["a", "b", "b"]), table(spark, given), grid, strategy, "lanes", block=2)
+        assert collected(built) == brute.mosaic(["a", "b", "b"], given, grid)
+
+
+# --- manifests ---------------------------------------------------------------------------
+
+
+def test_append_lists_its_own_files_only(spark, tiles, new_path, monkeypatch):
+    write_mosaic(None, tiles.where("img_id = 'i0'"), GRID, new_path, write_id="old")
+    folder = f"{new_path}/write_id=old/img_id=i0/part=0"
+    (one,) = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    for k in range(10000):
+        shutil.copy(f"{folder}/{one}", f"{folder}/copy-{k}.parquet")
+    monkeypatch.setattr(DataFrame, "inputFiles", lambda self: pytest.fail("files are listed on the driver"))
+    manifest = write_mosaic(None, tiles.where("img_id in ('i0', 'i1')"), GRID, new_path, mode="append", write_id="new")
+    (scan,) = scans(manifest, "file_path")
+    assert scan["numFiles"] == 2
+    assert sorted((r.img_id, r.part, r.n_tiles) for r in manifest.collect()) == [("i0", 0, 100), ("i1", 0, 100)]
+    nothing = write_mosaic(request_list(spark, ["absent"]), tiles, GRID, new_path, mode="append", write_id="empty")
+    assert nothing.count() == 0 and nothing.columns == manifest.columns
+
+
+def test_tables_with_write_ids_read_back(spark, tiles, new_path):
+    counts = [write_images(mosaic(None, tiles.where(f"img_id = '{i}'"), GRID), new_path, "per_image", GRID, mode="append",
+                           write_id=i) for i in ("i1", "i2")]
+    assert counts == [100, 100]
+    back = read_images(spark, new_path)
+    assert back.columns == [*TILE_KEY, "pixels"]
+    assert strategy_diff(back, mosaic(None, tiles.where("img_id in ('i1', 'i2')"), GRID), only_different=True).count() == 0
+
+
+# --- the data source of tile files -------------------------------------------------------
+
+
+@pytest.fixture
+def tile_files(spark, tiles, new_path):
+    raw = tiles.where("img_id in ('i1', 'i2', 'i3')").withColumn("pixels", F.encode(F.concat_ws("-", "img_id", "x", "y"), "utf-8"))
+    assert write_tile_files(raw, new_path) == 300
+    return new_path
+
+
+def test_source_reads_every_tile(spark, tile_files):
+    open(f"{tile_files}/i1/notes.txt", "w").close()
+    for options in ({}, {"images_per_task": 2}, {"shares": 3}):
+        found = read_tile_source(spark, tile_files, **options)
+        rows = found.collect()
+        assert found.columns == [*TILE_KEY, "pixels"] and len(rows) == 300
+        assert all(bytes(r.pixels).decode() == f"{r.img_id}-{r.x}-{r.y}" and r.z == -1 for r in rows)
+    assert read_tile_source(spark, tile_files, shares=3).rdd.getNumPartitions() == 9
+
+
+@pytest.mark.parametrize("condition, n", [("img_id = 'i2'", 100), ("img_id in ('i2', 'none')", 100), ("x >= 2 and x < 4 and y = 5", 6),
+                                          ("img_id = 'i2' and x > 7 and y <= 1", 4), ("z = 3", 0)])
+def test_source_opens_filtered_tiles_only(spark, tile_files, condition, n):
+    """Files that do not qualify are replaced by folders: opening one would fail."""
+    keys = read_tile_source(spark, tile_files).select("img_id", "x", "y")
+    wanted = {tuple(r) for r in read_tile_source(spark, tile_files).where(condition).select("img_id", "x", "y").collect()}
+    for r in keys.collect():
+        if tuple(r) not in wanted:
+            path = f"{tile_files}/{r.img_id}/{r.x}_{r.y}.raw"
+            os.remove(path)
+            os.mkdir(path)
+    assert read_tile_source(spark, tile_files).where(condition).count() == n == len(wanted)
+    if n:
+        with pytest.raises(Exception):
+            read_tile_source(spark, tile_files).collect()
+
+
+def test_mosaic_of_the_source(spark, new_path):
+    grid = TileGrid(10, 10, 1, 1)
+    raw = spark.range(100).select(F.lit("a").alias("img_id"), F.floor(F.col("id") / 10).alias("x"), (F.col("id") % 10).alias("y"),
+                                  F.unhex(F.lit("0102FF")).alias("pixels"))
+    write_tile_files(raw, new_path)
+    built = mosaic(request_list(spark, ["a"]), read_tile_source(spark, new_path), grid, dtype="int8", length=3)
+    assert built.count() == 100 and {len(r.pixels) for r in built.collect()} == {24}
+
+
+# --- bucketed tables ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("method", ["lanes", "long"])
+@pytest.mark.parametrize("reqs", [None, ["i2", "i5", "i5", "absent"]])
+def test_bucketed_table_moves_no_pixels(spark, tiles, new_path, method, reqs):
+    name = f"t_{uuid.uuid4().hex}"
+    write_block_table(tiles, GRID, name, 6, block=4, path=new_path)
+    reqs = reqs and request_list(spark, reqs)
+    built = mosaic_of_blocks(spark, name, GRID, reqs, method, block=4)
+    # requests are counted; neither the tiles nor their sums move
+    moved = [m["text"] for m in metrics(built) if m["name"].startswith("Exchange")]
+    assert all("img_id" in text and "pixels" not in text and "_p" not in text.replace("_plan", "") for text in moved)
+    assert reqs is not None or not moved
+    assert sorted(built.collect()) == sorted(mosaic(reqs, tiles, GRID).collect())
+    with pytest.raises(ValueError, match="was written for"):
+        mosaic_of_blocks(spark, name, GRID, block=2)
+    spark.sql(f"drop table {name}")
+
+
+# --- digests -----------------------------------------------------------------------------
+
+
+def test_only_unequal_tiles_move(spark, tiles, tmp_path):
+    left = mosaic(None, tiles, GRID)
+    changed = (F.col("img_id") == "i3") & (F.col("x") == 4) & (F.col("y") < 3)
+    right = (left.where("img_id <> 'i7'").withColumn(
+        "pixels", F.when(changed, F.transform("pixels", lambda v, i: v + (i < 2).cast("int"))).otherwise(F.col("pixels")))
+        .unionByName(left.where("img_id = 'i1'").withColumn("img_id", F.lit("more"))))
+    stored = []
+    for name, df in (("a", left), ("b", right)):
+        write_images(df, f"{tmp_path}/{name}", "blocks")
+        stored.append(read_images(spark, f"{tmp_path}/{name}"))
+    for only in (False, True):
+        got, want = stored_diff(*stored, only_different=only), strategy_diff(*stored, only_different=only)
+        assert sorted(got.collect()) == sorted(want.collect())
+    moved = [m["shuffleRecordsWritten"] for m in metrics(stored_diff(*stored))
+             if "shuffleRecordsWritten" in m and "_in_" in m["text"]]  # the sides with pixels
+    assert moved and sum(moved) <= 2 * 3 + 4
+
+
+def test_digests_see_nulls_lengths_and_order(spark):
+    schema = "img_id string, z bigint, x bigint, y bigint, pixels array<int>"
+    lists = [[1, None], [None, 1], [1], [], [2, 1], [1, 2], None]
+    side = lambda values: spark.createDataFrame([("a", 0, 0, k, v) for k, v in enumerate(values)], schema)
+    left, right = side(lists), side(lists[1:] + lists[:1])
+    assert {r.y for r in stored_diff(left, right, only_different=True).collect()} >= {0, 1, 2, 3, 4}
+    assert stored_diff(left, left, only_different=True).where("n_diff > 0").count() == 0
+
+
+# --- zone map ----------------------------------------------------------------------------
+
+
+def test_zone_map_opens_qualifying_images_only(spark, tiles, tmp_path):
+    tiles = tiles.withColumn("pixels", F.when((F.col("img_id") == "i4") & (F.col("y") == 2),
+                                              F.transform("pixels", lambda v: v + 1000)).otherwise(F.col("pixels")))
+    write_images(tiles, f"{tmp_path}/tiles", "per_image", GRID)
+    write_zone_map(tiles, f"{tmp_path}/zones")
+    stored, zones = read_images(spark, f"{tmp_path}/tiles", "array<int>"), read_zone_map(spark, f"{tmp_path}/zones")
+    found = tiles_where(stored, zones, F.col("most") > 500)
+    (scan,), (whole,) = scans(found, ", pixels#"), scans(stored)
+    assert scan["numFiles"] == 1 and scan["filesSize"] < whole["filesSize"] / 8
+    assert sorted((r.img_id, r.x, r.y) for r in found.collect()) == [("i4", x, 2) for x in range(10)]
+    assert tiles_where(stored, zones, "most > 5000").isEmpty()
+
+
+def test_zones_of_odd_tiles(spark):
+    schema = "img_id string, z bigint, x bigint, y bigint, pixels array<int>"
+    lists = [[3, 9, 9, -4], [None, 5], [], None, [None]]
+    rows = {r.y: r for r in zone_map(spark.createDataFrame([("a", 0, 0, k, v) for k, v in enumerate(lists)], schema)).collect()}
+    assert tuple(rows[0])[4:] == (4, -4, 9, 4.25, 1) and tuple(rows[1])[4:] == (1, 5, 5, 5.0, 1)
+    assert tuple(rows[2])[4:] == (0, None, None, None, None) and rows[3].most is None and rows[4].most is None
+
+
+# --- curve -------------------------------------------------------------------------------
+
+
+def test_morton_interleaves(spark):
+    pairs = [(0, 0), (1, 0), (0, 1), (5, 3), (1000, 77), (2**31 - 1, 2**31 - 1)]
+    df = spark.createDataFrame(pairs, "x bigint, y bigint").select("x", "y", morton("x", "y").alias("m"))
+    spread = lambda v: sum((v >> k & 1) << 2 * k for k in range(31))
+    assert [r.m for r in df.collect()] == [spread(x) * 2 + spread(y) for x, y in pairs]
+
+
+def test_rectangle_reads_few_pages(spark, new_path):
+    grid = TileGrid(64, 64, 1, 1)
+    big = spark.range(64 * 64).select(F.lit("a").alias("img_id"), F.lit(-1).cast("bigint").alias("z"), F.floor(F.col("id") / 64).alias("x"),
+                                      (F.col("id") % 64).alias("y"), F.array(F.col("id")).alias("pixels"))
+    write_images(big, new_path, "curve", grid)
+    part = read_rectangle(spark, new_path, "a", (8, 15), (40, 47))
+    (scan,) = scans(part)
+    assert part.count() == 64 and scan["numOutputRows"] <= 512
+    small = mosaic_rectangle(None, read_tiles(spark, new_path, "array<bigint>"), grid, (8, 15), (40, 47))
+    want = mosaic(None, big, grid).where("x between 8 and 15 and y between 40 and 47")
+    assert sorted(small.collect()) == sorted(want.collect())
+
+
+# --- table functions ---------------------------------------------------------------------
+
+
+def test_flat_map_drops_keys_without_rows(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, ""), (3, None), (4, "c")], "k int, t string")
+    got = flat_map(df, lambda t: [(w, len(w)) for w in (t or "").split()], "word string, n int", "t")
+    assert sorted(map(tuple, got.collect())) == [(1, "a b", "a", 1), (1, "a b", "b", 1), (4, "c", "c", 1)]
+
+
+def test_tile_read_once_for_its_users(spark):
+    """Grouped by source: the first user reads the tile, the others share it."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def step(tile, row):
+        if tile is None:
+            tile = [row.sx, row.sy]
+        return tile, [(tile, row.sx * 100)]
+
+    pairs = spark.range(60).select((F.col("id") % 4).alias("sx"), (F.col("id") % 3).alias("sy"), "id")
+    got = flat_map_by_key(pairs, ["sx", "sy"], step, "pixels array<bigint>, mark bigint", order=["id"])
+    assert got.columns == ["sx", "sy", "id", "pixels", "mark"]
+    assert all(r.pixels == [r.sx, r.sy] and r.mark == r.sx * 100 for r in got.collect()) and got.count() == 60
+
+
+def test_state_does_not_pass_to_the_next_key(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("b", 1), ("b", 2)], "k string, v int")
+    got = flat_map_by_key(rows, ["k"], lambda s, r: ((s or 0) + r.v, [((s or 0) + r.v,)] if r.v != 1 else []), "total int", order=["v"])
+    assert sorted(map(str, got.collect())) == sorted(["Row(k=None, v=2, total=3)", "Row(k='b', v=2, total=3)"])
+
+
+# --- kept keys ---------------------------------------------------------------------------
+
+
+def test_kept_keys_are_read_once_and_released(spark, tiles, new_path):
+    tiles.write.parquet(new_path)
+    keys = spark.read.parquet(new_path).select(*TILE_KEY)
+    with kept(keys) as held:
+        again = held.where("x > 8").groupBy("img_id").count()
+        nodes = metrics(again)
+        assert any("InMemoryTableScan" in m["name"] for m in nodes) and not any("Scan parquet" in m["name"] for m in nodes)
+        assert held.storageLevel.useMemory and again.count() == 12
+    assert not held.storageLevel.useMemory and not held.storageLevel.useDisk
+    assert any("Scan parquet" in m["name"] for m in metrics(keys.groupBy("img_id").count()))
+    with pytest.raises(ZeroDivisionError):
+        with kept(keys) as held:
+            1 / 0
+    assert not held.storageLevel.useMemory

@@ -127,7 +127,7 @@ def _users(at: str, step: int, n_size: int, n_targets: int, block: int | None, b
     return F.transform(F.sequence(F.greatest(*low), F.least(*high)), lambda i: i * step)
 
 
-def _box_sums(rows: DataFrame, grid: TileGrid, block: int | None, keys: list[str], method: str, element) -> DataFrame:
+def box_sums(rows: DataFrame, grid: TileGrid, block: int | None, keys: list[str], method: str, element) -> DataFrame:
     """The sums over every output's neighbourhood, along x first and then along y.
 
     A square sum is a sum of sums: a run of pixels is added to ``2n + 1`` outputs in each of two
@@ -189,7 +189,7 @@ def sum_neighbourhoods(sources: DataFrame, grid: TileGrid, method: str = "arrow"
     element = lambda v: zero_above(v, limit) * F.col("weight")
     # the outputs of a block sit in its partition: the sums need no further shuffle
     keys = ["img_id", "z", "bx", "by", "seg"]
-    sums = _box_sums(_together(placed, by, wanted), grid, block, keys, method, element)
+    sums = box_sums(_together(placed, by, wanted), grid, block, keys, method, element)
     return whole_tiles(sums, [*keys, "x", "y"]).drop("bx", "by")
 
 
@@ -217,6 +217,6 @@ def sum_neighbourhoods_by_parts(sources: DataFrame, grid: TileGrid, method: str
         return _sum_blocks(inside, grid, block, wide, kind, reach=0, source_halo=0, out_halo=0)
     by = ["img_id", "bx", "by", "salt"] + (["seg"] if segment else [])
     element = lambda v: zero_above(v, limit) * F.col("weight")
-    sums = _box_sums(_together(rows, by, wanted), grid, None, ["img_id", "z", "seg", "bx", "by", "salt"], method, element)
+    sums = box_sums(_together(rows, by, wanted), grid, None, ["img_id", "z", "seg", "bx", "by", "salt"], method, element)
     keys = ["img_id", "z", "seg", "x", "y"]
     return whole_tiles(add_rows(sums.drop("bx", "by", "salt"), keys), keys)

@@ -27,19 +27,19 @@ def _mask(h: Column) -> Column:
     return bit(34).bitwiseOR(bit(40)).bitwiseOR(bit(46)).bitwiseOR(bit(52))
 
 
-def wanted_filter(ids: DataFrame, column: str = "img_id", bits: int = FILTER_BITS) -> Column:
-    """A condition on ``column`` that every id in ``ids.img_id`` meets, and few others.
+def wanted_filter(ids: DataFrame, columns=("img_id",), bits: int = FILTER_BITS) -> Column:
+    """A condition on ``columns`` that every key in the same columns of ``ids`` meets, and few others.
 
-    ``ids`` may hold any number of rows and is read once; null ids meet nothing.
+    ``ids`` may hold any number of rows and is read once; keys with a null meet nothing.
     """
     if bits < _BLOCK or bits & (bits - 1):
         raise ValueError("the bits of a filter are a power of two, 64 at least")
-    h = F.xxhash64("img_id")
-    ids = ids.where("img_id is not null")
+    h = F.xxhash64(*columns)
+    for c in columns:
+        ids = ids.where(F.col(c).isNotNull())
     empty = ids.sparkSession.range(bits // _BLOCK).select(F.col("id").cast("int").alias("block"), F.lit(0).cast("bigint").alias("mask"))
     marks = ids.select(_block(h, bits).alias("block"), _mask(h).alias("mask"))
     # every block once, so that the sorted list is the filter itself
     blocks = marks.union(empty).groupBy("block").agg(F.bit_or("mask").alias("mask"))
     masks = blocks.agg(F.sort_array(F.collect_list(F.struct("block", "mask"))).getField("mask").alias("masks")).scalar()
-    own = F.xxhash64(column)
-    return F.get(masks, _block(own, bits)).bitwiseAND(_mask(own)) == _mask(own)
+    return F.get(masks, _block(h, bits)).bitwiseAND(_mask(h)) == _mask(h)

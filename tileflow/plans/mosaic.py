@@ -199,6 +199,18 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
     return _shaped(segments.drop("seg").select(*TILE_KEY, "pixels"), shape, output)
 
 
+def mosaic_rectangle(requests: DataFrame | None, tiles, grid: TileGrid, xs: tuple[int, int],
+                     ys: tuple[int, int], **options) -> DataFrame:
+    """The output tiles whose offsets lie in both bounds, inclusive; ``options`` go to :func:`mosaic`.
+
+    Only input tiles in reach of them take part: of a table written along a curve, few pages are
+    read.  ``tiles`` is a tile table.
+    """
+    reach = lambda bounds, step: (bounds[0] - grid.n_size * step, bounds[1] + grid.n_size * step)
+    near = tiles.where(F.col("x").between(*reach(xs, grid.tile_w)) & F.col("y").between(*reach(ys, grid.tile_h)))
+    return mosaic(requests, near, grid, **options).where(F.col("x").between(*xs) & F.col("y").between(*ys))
+
+
 def _shaped(tiles: DataFrame, shape, output: str) -> DataFrame:
     """With the column ``shape``, if it was declared; a tile of another size fails the query."""
     if shape is None or output != "tiles":
