@@ -11,7 +11,7 @@ TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversati
 
 
 def test_one_query_per_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
