@@ -3,8 +3,10 @@
 Tasks write bundles: records grouped in independent Zstandard frames, closed by a seek table
 in a skippable frame (the published seekable format), so any Zstandard reader reads a bundle
 as a plain WARC file and a seeking one opens a single frame.  An index maps every record to
-its bundle, frame and offset inside the frame; only bundles of finished tasks appear in it,
-so lost or repeated tasks leave no trace in what is read back.
+its bundle, the number of its frame and its offset inside the frame; the reader finds the frame
+by the seek table (the index also says where it was written, which tests compare).  Only
+bundles of finished tasks appear in the index, so lost or repeated tasks leave no trace in
+what is read back.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from .shared import new_folder, saved, small_batches
 #: Payloads shorter than this are never replaced by a revisit record.
 LEAST_SHARED = 100
 FRAME_BYTES = 256 << 10
+#: Payloads handed to Spark at a time.
+BATCH_BYTES = 8 << 20
 BUNDLE_BYTES = 256 << 20
 DATE = "1970-01-01T00:00:00Z"
 
@@ -32,6 +36,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 
+#: Frames of a bundle that a task reads one after the other, through one open file.
+FRAMES_TOGETHER = 64
+
 INDEX = ("page_id bigint, bundle string, frame int, frame_offset bigint, frame_bytes bigint, "
          "offset bigint, n_bytes bigint")
 RECORD = ("page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, "
@@ -123,15 +130,18 @@ def seek_table(bundle: str) -> list[tuple[int, int, int]]:
     """``(offset, bytes, bytes unpacked)`` of every frame, from the footer of a bundle alone."""
     fs, path = _open(bundle)
     with fs.open_input_file(path) as file:
-        size = file.size()
-        file.seek(size - 9)
-        n, _, magic = struct.unpack("<IBI", file.read(9))
-        if magic != SEEKABLE_MAGIC:
-            raise ValueError(f"{bundle} has no seek table")
-        file.seek(size - 9 - 8 * n)
-        entries = list(struct.iter_unpack("<II", file.read(8 * n)))
+        return _frames(file)
+
+
+def _frames(file) -> list[tuple[int, int, int]]:
+    size = file.size()
+    file.seek(size - 9)
+    n, _, magic = struct.unpack("<IBI", file.read(9))
+    if magic != SEEKABLE_MAGIC:
+        raise ValueError("a bundle without a seek table")
+    file.seek(size - 9 - 8 * n)
     found, at = [], 0
-    for packed, unpacked in entries:
+    for packed, unpacked in struct.iter_unpack("<II", file.read(8 * n)):
         found.append((at, packed, unpacked))
         at += packed
     return found
@@ -195,25 +205,49 @@ def _index_batch(rows):
         yield pa.RecordBatch.from_pylist(rows, schema)
 
 
-def read_records(index: DataFrame) -> DataFrame:
-    """The records of an index, or of any part of it: one seek per frame, frames in parallel."""
-    frames = index.groupBy("bundle", "frame_offset", "frame_bytes").agg(
-        F.collect_list(F.struct("offset", "n_bytes")).alias("places"))
+def read_records(index: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The records of an index, or of any part of it.
+
+    Runs of ``FRAMES_TOGETHER`` frames are dealt to ``partitions`` tasks (default: the session's
+    shuffle partitions; the rows of an index are light, and tasks sized by them would unpack
+    whole archives).  A task opens a bundle, finds the wanted frames by its seek table and
+    unpacks one at a time.
+    """
+    n = partitions or int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run = F.floor(F.col("frame") / FRAMES_TOGETHER)
+    dealt = index.select("bundle", "frame", "offset", "n_bytes").repartition(n, F.col("bundle"), run)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
                         ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
                         ("payload_digest", pa.string()), ("payload", pa.binary())])
 
     def read(batches):
+        bundle, file, frames, at, unpacked = None, None, [], None, b""
         for batch in batches:
-            for frame in batch.to_pylist():
-                fs, path = _open(frame["bundle"])
-                with fs.open_input_file(path) as file:
-                    file.seek(frame["frame_offset"])
-                    unpacked = zstandard.ZstdDecompressor().decompress(file.read(frame["frame_bytes"]))
-                records = [parse_record(unpacked[p["offset"]:p["offset"] + p["n_bytes"]]) for p in frame["places"]]
+            records, size = [], 0
+            for row in batch.to_pylist():
+                if row["bundle"] != bundle:
+                    if file:
+                        file.close()
+                    fs, path = _open(row["bundle"])
+                    bundle, file, at = row["bundle"], fs.open_input_file(path), None
+                    frames = _frames(file)
+                if row["frame"] != at:
+                    at = row["frame"]
+                    start, packed, _ = frames[at]
+                    file.seek(start)
+                    unpacked = zstandard.ZstdDecompressor().decompress(file.read(packed))
+                record = parse_record(unpacked[row["offset"]:row["offset"] + row["n_bytes"]])
+                records.append(record)
+                size += len(record["payload"] or b"")
+                if size >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(records, schema)
+                    records, size = [], 0
+            if records:
                 yield pa.RecordBatch.from_pylist(records, schema)
+        if file:
+            file.close()
 
-    return frames.mapInArrow(read, RECORD)
+    return dealt.sortWithinPartitions("bundle", "frame", "offset").mapInArrow(read, RECORD)
 
 
 def q_op10_warc(spark, sf_dir):

@@ -193,6 +193,20 @@ def test_bundles_read_back(shared, tmp_path):
     assert op10_warc.read_records(op10_warc.write_bundles(pages.where("false"))).count() == 0
 
 
+def test_frames_are_read_by_the_seek_table_in_many_tasks(shared, tmp_path, monkeypatch):
+    """The places of the index are not used, and a light index is not read in one task."""
+    monkeypatch.setattr(op10_warc, "FRAMES_TOGETHER", 4)
+    pages = shared.range(600).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"),
+                                     F.repeat(F.sha2(F.col("id").cast("string"), 256), 10).alias("html"))
+    index = op10_warc.write_bundles(pages, f"file://{tmp_path}/w", frame_bytes=4000)
+    wrong = index.withColumn("frame_offset", F.lit(-1).cast("bigint")).withColumn("frame_bytes", F.lit(0).cast("bigint"))
+    got = op10_warc.read_records(wrong, partitions=7)
+    assert got.rdd.getNumPartitions() == 7
+    assert sorted((r.page_id, r.payload.decode()) for r in got.collect()) == sorted(map(tuple, pages.select("page_id", "html").collect()))
+    tasks = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 5
+
+
 # --- language ---------------------------------------------------------------------------
 
 
