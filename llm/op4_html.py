@@ -7,8 +7,12 @@ how often a tag stands inside such an element and how often outside.  Inside suc
 tags weigh the least, so lists, links and tables do not cut its text.  Elements that are
 never main text (menus, forms, adverts, scripts, reader comments and the like) give no
 words, wherever they stand.  A class or id makes an element one of these if all its words
-are listed (``ad``, ``cookie-banner``) and no ``article`` or ``main`` stands inside; a name
-with a listed word as a part (``has-sidebar``) is a tag of its own, with a weight as any.
+are listed (``ad``, ``cookie-banner``) and no ``article`` or ``main`` stands inside, as does a
+form (some pages stand in one); a name with a listed word as a part (``has-sidebar``) is a tag
+of its own, with a weight as any.
+
+Time is linear in the page: every open element is counted by its name, so a closing tag that
+ends nothing is known without a search.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -31,7 +36,8 @@ UNSEEN_TAG = -0.3
 
 # fixed values: element and class names of HTML practice
 RAW = "script style noscript template textarea title svg math iframe object canvas select option audio video"
-ASIDE = "aside form button fieldset dialog head"  # leave no mark on the run they stand in
+ASIDE = "aside button dialog head"  # leave no mark on the run they stand in
+FORMS = "form fieldset"  # nor do these, unless they hold the main text
 FRAME = "nav header footer menu"  # of the page; their tags count
 VOID = "area base br col embed hr img input link meta param source track wbr"
 INLINE = ("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
@@ -46,7 +52,7 @@ CLOSED_BY_BLOCK = {"p"}
 CLOSES_ITSELF = {"li", "dt", "dd", "tr", "td", "th", "p", "option"}
 
 _sets = {name: frozenset(text.split()) for name, text in
-         dict(raw=RAW, aside=ASIDE, frame=FRAME, void=VOID, inline=INLINE, classes=CLASSES, roles=ROLES).items()}
+         dict(raw=RAW, aside=ASIDE, forms=FORMS, frame=FRAME, void=VOID, inline=INLINE, classes=CLASSES, roles=ROLES).items()}
 _raw = "|".join(sorted(_sets["raw"]))
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_raw})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -60,12 +66,12 @@ _HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
 
 def _dropped(name: str, attributes: str) -> tuple[str, tuple[str, ...]]:
     """``frame`` or ``aside`` if an element is never main text, ``named`` if its class or id
-    says so, else empty; and its classes and ids with a listed word, as ``.name``."""
+    says so or it is a form, else empty; and its classes and ids with a listed word, as ``.name``."""
     if name in _sets["frame"]:
         return "frame", ()
     if name in _sets["aside"]:
         return "aside", ()
-    kind, marks = "", []
+    kind, marks = "named" if name in _sets["forms"] else "", []
     if attributes and name not in ("body", "html", *LABELLED):
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), (a or b or c).lower()
@@ -81,9 +87,41 @@ def _dropped(name: str, attributes: str) -> tuple[str, tuple[str, ...]]:
     return kind, tuple(dict.fromkeys(marks))
 
 
-def _opened(stack: list, name: str) -> int | None:
-    """The place in ``stack`` of the element that a closing tag ends."""
-    return next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+class _Open:
+    """The elements that are open: a stack, and how many there are of every name and kind.
+
+    A closing tag is searched for only if its element is open, and the search passes over
+    elements that it ends: a page of n tags takes n steps in all.
+    """
+
+    def __init__(self):
+        self.stack, self.names = [], defaultdict(int)
+        self.labelled = self.headings = self.asides = self.frames = 0
+
+    def _count(self, name: str, kind: str, by: int) -> None:
+        self.names[name] += by
+        self.labelled += by * (name in LABELLED)
+        self.headings += by * (name in _HEADINGS)
+        self.asides += by * (kind == "aside")
+        self.frames += by * (kind == "frame")
+
+    def push(self, name: str, kind: str, rest) -> None:
+        self.stack.append((name, kind, rest))
+        self._count(name, kind, 1)
+
+    def place(self, name: str) -> int | None:
+        """The place of the element that a closing tag ends."""
+        if not self.names[name]:
+            return None
+        return next(k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k][0] == name)
+
+    def cut(self, n: int) -> list:
+        """Ends the elements from the n-th on, and returns them."""
+        ended = self.stack[n:]
+        del self.stack[n:]
+        for name, kind, _ in ended:
+            self._count(name, kind, -1)
+        return ended
 
 
 def _ends_last(stack: list, name: str) -> bool:
@@ -94,48 +132,41 @@ def _ends_last(stack: list, name: str) -> bool:
 
 def _holders(page: str) -> set[int]:
     """Where the elements begin that an ``article`` or ``main`` stands in."""
-    stack, found = [], set()
+    opened, found = _Open(), set()
     for match in TOKEN.finditer(page):
         name = (match[3] or match[6] or "").lower()
         if not name:
             continue
         if match[2] or match[5]:
-            if (k := _opened(stack, name)) is not None:
-                del stack[k:]
+            if (k := opened.place(name)) is not None:
+                opened.cut(k)
             continue
-        if _ends_last(stack, name):
-            stack.pop()
+        if _ends_last(opened.stack, name):
+            opened.cut(len(opened.stack) - 1)
         if name in LABELLED:
-            for _, place in reversed(stack):
+            for _, _, place in reversed(opened.stack):
                 if place in found:  # and so are all around it
                     break
                 found.add(place)
         if name not in _sets["void"]:
-            stack.append((name, match.start()))
+            opened.push(name, "", match.start())
     return found
 
 
 def tokens(page: str):
     """``(kind, value, labelled)`` in page order: ``text`` (characters of main-text candidates),
     ``break`` (between blocks), ``tag`` (name, or ``.name`` of a class or id; after ``/`` if closing)."""
-    stack, dropped, labelled, at, holders = [], 0, 0, 0, None  # open elements: name, kind of drop, marks
+    opened, at, holders = _Open(), 0, None  # elements with their kind of drop and their marks
 
     def text(piece):
-        heading = dropped == 1 and labelled and any(n in _HEADINGS for n, _, _ in stack) and any(
-            k == "frame" and n == "header" for n, k, _ in stack)
+        dropped = opened.asides + opened.frames
+        heading = dropped == 1 and opened.frames and opened.names["header"] and opened.labelled and opened.headings
         if piece and (not dropped or heading):
-            yield "text", entities.unescape(piece), labelled > 0
+            yield "text", entities.unescape(piece), opened.labelled > 0
 
     def pop(n):
-        nonlocal dropped, labelled
-        marks = []
-        for name, kind, own in stack[n:]:
-            dropped -= kind != ""
-            labelled -= name in LABELLED
-            marks += own
-        del stack[n:]
-        for mark in marks:
-            yield "tag", "/" + mark, labelled > 0
+        for mark in [mark for _, _, own in opened.cut(n) for mark in own]:
+            yield "tag", "/" + mark, opened.labelled > 0
 
     for match in TOKEN.finditer(page):
         yield from text(page[at:match.start()])
@@ -145,37 +176,35 @@ def tokens(page: str):
             continue
         closing = match[2] or match[5]
         if name not in _sets["inline"]:
-            yield "break", "", labelled > 0
-        aside = any(k == "aside" for _, k, _ in stack) if dropped else False
+            yield "break", "", opened.labelled > 0
+        aside = opened.asides > 0
         if closing:
-            found = _opened(stack, name)
-            was = stack[found][1] if found is not None else ""
+            found = opened.place(name)
+            was = opened.stack[found][1] if found is not None else ""
             if name in LABELLED and found is not None:
                 yield from pop(found)
                 yield "tag", "/" + name, False
             else:
                 if not aside and was != "aside":
-                    yield "tag", "/" + name, labelled > 0
+                    yield "tag", "/" + name, opened.labelled > 0
                 if found is not None:
                     yield from pop(found)
             continue
-        if _ends_last(stack, name):
-            yield from pop(len(stack) - 1)
+        if _ends_last(opened.stack, name):
+            yield from pop(len(opened.stack) - 1)
         kind, marks = _dropped(name, match[4] or match[7] or "")
         if kind == "named":
             if holders is None:
                 holders = _holders(page)
             kind = "" if match.start() in holders else "aside"
         if not aside and kind != "aside":
-            yield "tag", name, labelled > 0 and name not in LABELLED
+            yield "tag", name, opened.labelled > 0 and name not in LABELLED
         if aside or kind == "aside" or name in _sets["void"]:
             marks = ()
         for mark in marks:
-            yield "tag", mark, labelled > 0
+            yield "tag", mark, opened.labelled > 0
         if name not in _sets["void"]:
-            stack.append((name, kind, marks))
-            dropped += kind != ""
-            labelled += name in LABELLED
+            opened.push(name, kind, marks)
     yield from text(page[at:])
 
 
@@ -186,7 +215,7 @@ def counts(page: str) -> dict[tuple[str, bool], int]:
         if kind == "text":
             found["", inside] = found.get(("", inside), 0) + len(value.split())
         elif kind == "tag":
-            found[value[:40], inside] = found.get((value[:40], inside), 0) + 1
+            found[value, inside] = found.get((value, inside), 0) + 1
     return found
 
 
@@ -209,7 +238,8 @@ def main_text(page: str, word: float, tags: dict[str, float]) -> str:
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> tuple[float, dict[str, float]]:
-    """The weight of a word and of every tag; of no labelled page, the bounds' defaults."""
+    """The weight of a word and of every tag that the labelled pages of the sample have, few or
+    many; of no labelled page, the bounds' defaults."""
     marked = pages.where(F.col("html").rlike(r"(?i)<(article|main)[\s>]")).select("html")
     marked = marked.select("html", F.xxhash64("html", F.lit(5)).alias("hash"))
     n = marked.select("hash").distinct().count()  # of copies one counts
@@ -229,7 +259,7 @@ def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> tuple[float, dict[str,
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("b"))
     odds = {r["token"]: math.log((r["a"] + 1) / (r["b"] + 1))
-            for r in rows.orderBy(F.desc(F.col("a") + F.col("b")), "token").limit(1000).collect()}
+            for r in rows.collect()}
     within = lambda x, low, high: min(high, max(low, x))
     return within(odds.pop("", WORD_RANGE[1]), *WORD_RANGE), {t: within(x, *TAG_RANGE) for t, x in odds.items()}
 
