@@ -23,8 +23,8 @@ CONTAINMENT = 0.8
 #: Shingles of a window, and of the step from one to the next.
 WINDOW, STEP = 3, 2
 RECALL = 0.999
-#: Templates of more text than this are joined by a shuffle instead of a broadcast; their
-#: index has about 130 bytes for each.
+#: What may be broadcast, in bytes of templates, unless the caller names another size: their index
+#: has about 130 bytes for each.  The join is the same beyond, by a shuffle.
 BROADCAST_BYTES = 256 << 10
 
 # fixed values: notices as licenses word them
@@ -87,7 +87,8 @@ def template_index(whole: DataFrame, bands: int) -> DataFrame:
     return runs.select("license", F.inline(F.array(*least))).distinct()
 
 
-def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT, recall: float = RECALL) -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT, recall: float = RECALL,
+         broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``doc_id, license, containment, first_word``: the templates (``license, text``) that
     occur in a text to that share, their best share, and the word at which the first begins.
 
@@ -102,7 +103,7 @@ def scan(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT
     members = members.select("license", F.size("s").alias("n"), F.explode("s").alias("shingle"))
     index = template_index(whole, bands)
     size, longest = templates.agg(F.sum(F.octet_length("text"))).first()[0] or 0, members.agg(F.max("n")).first()[0] or 1
-    if size <= BROADCAST_BYTES:
+    if size <= broadcast_bytes:
         index, members = F.broadcast(index), F.broadcast(members)
     words = docs.select("doc_id", _words("text").alias("w")).where(F.size("w") >= SHINGLE)
     shingles = words.select("doc_id", _shingles("w").alias("s"))
