@@ -30,43 +30,52 @@ def held_out(doc_id="doc_id"):
 
 
 def training_sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
-    """``lang, text``: all different texts of a language that has up to ``per_language``, else
-    about that many; a chosen text comes with its copies.
+    """``lang, text, hash``: all different texts of a language that has up to ``per_language``, else
+    about that many; a chosen text comes with its copies, which share a hash.
 
     Texts are chosen by a hash against a limit that follows from their language's count of
     different hashes, without a sort or shuffle of texts.  The counts, a row per language,
-    are broadcast; more than ``MOST_LANGUAGES`` are an error.
+    are broadcast; where there are more than ``MOST_LANGUAGES`` the join is a plain one.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
                        & (F.length("text") > 0)).select("lang", "text", F.xxhash64("text", F.lit(7)).alias("hash"))
     # copies share a hash: counting them would leave a language of few texts with none
     counts = known.select("lang", "hash").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    counts = docs.sparkSession.createDataFrame(counts, "lang string, n bigint")
+    few = counts.limit(MOST_LANGUAGES + 1).collect()
+    if len(few) <= MOST_LANGUAGES:
+        counts = F.broadcast(docs.sparkSession.createDataFrame(few, "lang string, n bigint"))
     share = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
-    return known.join(F.broadcast(counts), "lang").where(share * F.col("n") < per_language).select("lang", "text")
+    return known.join(counts, "lang").where(share * F.col("n") < per_language).select("lang", "text", "hash")
+
+
+def cut_segments(sample: DataFrame) -> DataFrame:
+    """``lang, hash, segments`` of every different text of the sample: up to ``SEGMENTS_PER_DOC``
+    pieces of ``SEGMENT`` bytes, a kilobyte a text, at places that follow from its hash."""
+    def cut(batches):
+        for batch in batches:
+            found = []
+            for text, seed in zip(batch.column("text").to_pylist(), batch.column("hash").to_pylist()):
+                data = np.frombuffer(text.encode(), np.uint8)
+                n = min(SEGMENTS_PER_DOC, -(-len(data) // SEGMENT))
+                places = random_values(n, seed & 0xFFFFFFFF) % np.uint64(max(0, len(data) - SEGMENT) + 1)
+                # a short text repeats
+                found.append([np.resize(data[int(p):int(p) + SEGMENT], SEGMENT).tobytes() for p in places])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("hash"), pa.array(found, pa.list_(pa.binary()))],
+                                             ["lang", "hash", "segments"])
+
+    # copies share a hash: a text counts once, whatever its number of copies
+    return sample.mapInArrow(cut, "lang string, hash bigint, segments array<binary>").dropDuplicates(["lang", "hash"])
 
 
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, **options) -> gru.Model | None:
     """A model of the languages of ``docs`` (``doc_id, lang, text``); None if there is none."""
-    sample = training_sample(docs, per_language)
-    # copies share a hash: a text counts once, whatever its number of copies
-    rows = sample.select("lang", "text").distinct().toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["lang"], r["text"]))
+    rows = cut_segments(training_sample(docs, per_language)).toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["lang"], r["hash"]))
     labels = sorted({r["lang"] for r in rows})
     if not labels:
         return None
-    segments, y = [], []
-    for k, r in enumerate(rows):
-        data = np.frombuffer(r["text"].encode(), np.uint8)
-        last = max(0, len(data) - SEGMENT)
-        n = min(SEGMENTS_PER_DOC, -(-len(data) // SEGMENT))
-        for place in random_values(n, k + 11) % np.uint64(last + 1):
-            piece = data[int(place):int(place) + SEGMENT]
-            segments.append(np.resize(piece, SEGMENT))  # a short text repeats
-            y.append(labels.index(r["lang"]))
+    segments = [np.frombuffer(piece, np.uint8) for r in rows for piece in r["segments"]]
+    y = [labels.index(r["lang"]) for r in rows for _ in r["segments"]]
     y = np.array(y)
     # languages weigh alike: segments of rarer ones are repeated
     most = np.bincount(y).max()
