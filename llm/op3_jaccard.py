@@ -4,7 +4,7 @@ A document is the set of its five-word shingles; documents with equal sets are o
 set is embedded in min-wise hashed coordinates, each a shingle that two sets share with the
 probability of their Jaccard similarity.  In each of several independent runs the nodes are
 split by a coordinate, again and again while a bucket is large and still falls apart, each
-time by a coordinate that the path so far selects.  Buckets that remain are searched by
+time by a coordinate that the path so far selects and has not used.  Buckets that remain are searched by
 brute force, in tiles of bounded size.  Runs are added until a pair at the threshold is met
 with the target probability, given how deep the splitting went.
 
@@ -105,13 +105,16 @@ def runs_needed(depth: int, threshold: float = THRESHOLD, recall: float = TARGET
 def _split(nodes: DataFrame, runs: range):
     """The buckets of some runs, ``node, path, n, bytes``, and the deepest path.  The run is the
     uppermost byte of a path."""
-    at = lambda place: F.element_at("signature", (F.pmod(place, F.lit(COORDINATES)) + 1).cast("int"))
+    # coordinates are shared out among the depths, anew in each run: none comes twice on a path
+    def at(depth, run, drawn):
+        place = F.pmod(run + (depth - 1), F.lit(MAX_DEPTH)) + F.pmod(drawn, F.lit(COORDINATES // MAX_DEPTH)) * MAX_DEPTH
+        return F.element_at("signature", (place + 1).cast("int"))
+
     named = lambda run, *parts: F.shiftleft(run, _RUN_BITS).bitwiseOR(
         F.xxhash64(*parts).bitwiseAND(F.lit((1 << _RUN_BITS) - 1))).alias("path")
     run = F.col("run").cast("bigint")
     rows = nodes.withColumn("run", F.explode(F.array(*[F.lit(r) for r in runs])))
-    # first coordinates differ from run to run; 37 and 64 share no divisor
-    rows = rows.select("node", "n_bytes", named(run, "run", at(F.col("run") * 37)), F.lit(1 << 62).alias("parent"))
+    rows = rows.select("node", "n_bytes", named(run, "run", at(1, run, F.floor(run / MAX_DEPTH))), F.lit(1 << 62).alias("parent"))
     found, depth = [], 1
     while True:
         size = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes")).where("n > 1")
@@ -124,7 +127,7 @@ def _split(nodes: DataFrame, runs: range):
         depth += 1
         run = F.shiftrightunsigned("path", _RUN_BITS)
         rows = (rows.join(nodes.select("node", "signature"), "node")
-                .select("node", "n_bytes", named(run, "path", at(F.xxhash64("path"))), F.col("n").alias("parent")))
+                .select("node", "n_bytes", named(run, "path", at(depth, run, F.xxhash64("path"))), F.col("n").alias("parent")))
     whole = found[0]
     for more in found[1:]:
         whole = whole.union(more)

@@ -273,3 +273,47 @@ def test_proofs_fold_to_the_root(shared):
         assert node == r.root and r.verified == (r.folded_root == r.root)
     # texts without capitals: tampering changes nothing
     assert all(r[-1] for r in proved(docs_of(shared, rows)))
+
+
+# --- 3: paths whose coordinates do not repeat ------------------------------------------------
+
+
+def shingled(words, size=5):
+    return frozenset(tuple(words[p:p + size]) for p in range(len(words) - size + 1))
+
+
+def test_dissimilar_sets_leave_no_large_bucket(shared, monkeypatch):
+    """Sets that share a tenth of their shingles: every bucket is split until it is small."""
+    from llm import op3_jaccard
+
+    monkeypatch.setattr(op3_jaccard, "SMALL", 24)
+    monkeypatch.setattr(op3_jaccard, "FIRST_RUNS", 4)
+    r = np.random.default_rng(4)
+    # signatures whose coordinates agree with probability 0.15 for any two
+    signature = np.where(r.random((3000, 64)) < 0.4, 1, r.integers(10, 2**30, (3000, 64)))
+    nodes = shared.createDataFrame([(k.to_bytes(4, "big"), 100, row.tolist()) for k, row in enumerate(signature)],
+                                   "node binary, n_bytes bigint, signature array<int>")
+    found, depth = op3_jaccard._split(nodes, range(4))
+    assert depth < op3_jaccard.MAX_DEPTH
+    assert found.agg(F.max("n")).first()[0] <= 24
+
+
+def test_recall_of_pairs_just_above_the_threshold(shared, monkeypatch):
+    """Planted pairs of similarity 0.80 to 0.85, in buckets that are split many times."""
+    from llm import op3_jaccard
+
+    monkeypatch.setattr(op3_jaccard, "SMALL", 16)
+    r = np.random.default_rng(6)
+    rows, pairs = [], []
+    for k in range(150):
+        words = [f"w{r.integers(0, 10**6)}" for _ in range(120)]
+        other = list(words)
+        for p in (30 + k % 3, 70 + k % 7):
+            other[p] = "x"
+        a, b = shingled(words), shingled(other)
+        if 0.8 <= len(a & b) / len(a | b) <= 0.86:
+            pairs.append((2 * k, 2 * k + 1))
+        rows += [(2 * k, " ".join(words), "en", "s"), (2 * k + 1, " ".join(other), "en", "s")]
+    got = {q.doc_id: q.class_id for q in op3_jaccard.near_duplicates(docs_of(shared, rows)).select("doc_id", "class_id").collect()}
+    caught = sum(got[a] == got[b] for a, b in pairs)
+    assert len(pairs) > 100 and caught >= 0.95 * len(pairs)
