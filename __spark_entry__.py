@@ -817,12 +817,14 @@ def library_sql() -> dict[str, str]:
 
 
 def _optional() -> tuple[dict, dict]:
-    try:
-        from llm.queries import QUERIES, SQL
-
-        import corpus_pipeline
-    except ImportError:
+    here = Path(__file__).resolve().parent
+    if not ((here / "llm" / "queries.py").exists() and (here / "corpus_pipeline.py").exists()):
         return {}, {}
+    # where they are present, a failing import is an error like any other
+    from llm.queries import QUERIES, SQL
+
+    import corpus_pipeline
+
     sql = dict(SQL)
     if corpus_pipeline.ORACLE_SQL is not None:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL

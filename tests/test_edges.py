@@ -166,3 +166,17 @@ def test_fragments_of_tiles_read_every_source_once(spark):
     assert reads.value == 3 * 602 and len(got) == 2 * 601
     assert got[1, 5] == [0 + 0 + 1 + 1, 4 + 5 + 4 + 5, 4]
     assert read_once(fragment_pairs(reqs, 1, 2), reader).count() == 24
+
+
+def test_large_pixels_of_many_batches_stay_within_bounds(spark):
+    """The bound of a sum holds place by place: tiles that are not added together do not add up."""
+    grid = TileGrid(16, 16, 1, 1)
+    rows = [("a", -1, x, y, [2**55, -(2**55)]) for x in range(1, 17) for y in range(1, 17)]
+    tiles = spark.createDataFrame(rows, "img_id string, z bigint, x bigint, y bigint, pixels array<bigint>")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        built = {m: sorted(mosaic(None, tiles, grid, method=m, limit=None, block=16).collect()) for m in ("arrow", "lanes")}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert built["arrow"] == built["lanes"] and built["arrow"][100].pixels == [9 * 2**55, -9 * 2**55]

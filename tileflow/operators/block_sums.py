@@ -74,7 +74,7 @@ class _BlockSums:
         self.present = np.zeros((self.src_x[1] - self.src_x[0], self.src_y[1] - self.src_y[0]),
                                 dtype=np.int32)
         self.total = None
-        self.largest = 0.0  # what no sum of the tiles added so far can exceed
+        self.bounds = np.zeros(self.present.size)  # per place, what no sum of its pixels can exceed
 
     def add(self, x, y, rows):
         ix = x // self.grid.tile_w - self.src_x[0]
@@ -85,9 +85,9 @@ class _BlockSums:
         if rows.shape[1] != self.total.shape[1]:
             raise ValueError("tiles of one sum differ in length")
         if self.total.dtype == np.int64 and rows.size:
-            at, copies = np.unique(ix * self.present.shape[1] + iy, return_counts=True)
-            self.largest += max(float(rows.max()), -float(rows.min())) * int(copies.max())
-            if self.largest * (2 * self.reach + 1) ** 2 * abs(self.weight) >= 2.0 ** 63:
+            size = np.maximum(rows.max(axis=1).astype(np.float64), -rows.min(axis=1).astype(np.float64))
+            np.add.at(self.bounds, ix * self.present.shape[1] + iy, size)
+            if self.bounds.max() * (2 * self.reach + 1) ** 2 * abs(self.weight) >= 2.0 ** 63:
                 raise OverflowError(f"sums of image {self.img} may exceed 64 bits")
         _add_rows(self.total, ix * self.present.shape[1] + iy, rows)
         self.present[ix, iy] = 1
