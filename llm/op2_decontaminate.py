@@ -1,28 +1,34 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
 Every task builds suffix arrays over the words of its own documents, one per Arrow batch (a
-shard), and binary-searches every suffix of the benchmark items in it.  Words that no item
+shard), and binary-searches the suffixes of the benchmark items in it.  Words that no item
 has cannot be part of a match; only runs of known words that are long enough enter the
-array.  Documents never move: what is sent to the tasks is the benchmark, in blocks of a
-checked size, one pass over the documents for each block.
+array, and only suffixes all of whose window's words are in the shard are searched.
+
+Documents never move.  The benchmark is cut in blocks of a few megabytes, which tasks prepare
+and write to the shared folder; a task reads one block at a time for each of its shards.
+The driver holds the names of the blocks' files and no item.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import packed, small_batches, unpacked
+from .shared import open_uri, packed, saved, setting, small_batches, unpacked
 from .words import ALPHANUMERIC, chunks, words_of
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
-#: Benchmark text sent to the tasks at once, in bytes.
-BLOCK_BYTES = 64 << 20
+#: Benchmark text of a block, in bytes: a task needs about ten times as much for it, and more for
+#: the part of it that a shard may hold.
+BLOCK_BYTES = 4 << 20
 
 _REPORT = "n_words bigint, hits array<bigint>, items array<string>, longest int, longest_item string, longest_at bigint"
 _MASK = 0xFFFFFFFF
@@ -70,13 +76,21 @@ def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
-def _ranges(tokens, order, block):
-    """The part of the suffix array that begins with each suffix's window."""
-    width = int(block.lengths.max())
+def _possible(tokens, block):
+    """The suffixes whose window has no word that is not among ``tokens``."""
+    there = np.zeros(len(block.vocabulary) + 1, bool)
+    there[tokens] = True
+    missing = np.concatenate([[0], np.cumsum(~there[block.tokens])])
+    return np.flatnonzero(missing[block.starts + block.lengths] == missing[block.starts])
+
+
+def _ranges(tokens, order, block, chosen):
+    """The part of the suffix array that begins with the window of each chosen suffix."""
+    width = int(block.lengths[chosen].max(initial=1))
     column = np.arange(width)
-    counts = column < block.lengths[:, None]
+    counts = column < block.lengths[chosen, None]
     padded = np.concatenate([tokens, np.full(width, -1)])
-    test = np.concatenate([block.tokens, np.zeros(width, np.int64)])[block.starts[:, None] + column]
+    test = np.concatenate([block.tokens, np.zeros(width, np.int64)])[block.starts[chosen, None] + column]
     bounds = []
     for after_equal in (False, True):
         low, high = np.zeros(len(test), np.int64), np.full(len(test), len(order))
@@ -126,8 +140,9 @@ def _matches(batch, block):
     source = np.zeros(len(tokens), np.int64)
     source[shifted] = np.arange(len(number))
     order = suffix_array(tokens, block.longest)
-    low, high = _ranges(tokens, order, block)
-    suffix = np.repeat(np.arange(len(low)), high - low)
+    chosen = _possible(tokens[shifted], block)
+    low, high = _ranges(tokens, order, block, chosen)
+    suffix = np.repeat(chosen, high - low)
     within = np.arange(len(suffix)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
     found = order[np.repeat(low, high - low) + within]
     # the full length of every match: on while both sides have the same word
@@ -152,15 +167,44 @@ def _merged(starts, ends):
     return (starts[new] << 32) | ends[last]
 
 
-def _match_block(shared, with_text):
+def _prepared(window):
+    """The rows of a block of items as one row, ``payload``: its pickled ``TestBlock``."""
+    def prepare(items: pa.Table) -> pa.Table:
+        block = test_block(items, window)
+        found = [] if block is None else [pickle.dumps(vars(block), protocol=5)]
+        return pa.table({"payload": pa.array(found, pa.binary())})
+
+    return prepare
+
+
+def _blocks_of(files):
+    """The blocks in files of one such row, one in memory at a time; a lone block stays."""
+    last = {}
+
+    def blocks():
+        for name in files:
+            if name not in last:
+                last.clear()
+                fs, path = open_uri(name)
+                with fs.open_input_file(path) as file:
+                    last[name] = [TestBlock(**pickle.loads(payload)) for payload in
+                                  pq.read_table(file, columns=["payload"]).column("payload").to_pylist()]
+            yield from last[name]
+
+    return blocks
+
+
+def _match_blocks(files, with_text):
     def match(batches):
-        block = TestBlock(**shared.value)
+        blocks = _blocks_of(files)
         for batch in batches:
-            n_words, found = _matches(batch, block)
             n = batch.num_rows
-            before = [batch.column(c).to_pylist() for c in ("hits", "items", "longest", "longest_item", "longest_at")]
-            hits, items, longest, item, at = before
-            if found is not None:
+            hits, items = [[] for _ in range(n)], [set() for _ in range(n)]
+            longest, item, at, n_words = [0] * n, [None] * n, [None] * n, None
+            for block in blocks():
+                n_words, found = _matches(batch, block)
+                if found is None:
+                    continue
                 row, place, length, suffix, full = found
                 order = np.lexsort((place, row))
                 row, place, length, suffix, full = (x[order] for x in (row, place, length, suffix, full))
@@ -168,15 +212,16 @@ def _match_block(shared, with_text):
                     old = np.array(hits[i], np.int64)
                     hits[i] = _merged(np.concatenate([old >> 32, place[a:b]]),
                                       np.concatenate([old & _MASK, place[a:b] + length[a:b]])).tolist()
-                    owners = block.owners[suffix[a:b]]
-                    items[i] = sorted({*items[i], *(block.names[o] for o in np.unique(owners))})
+                    items[i].update(block.names[o] for o in np.unique(block.owners[suffix[a:b]]))
                     best = a + int(np.argmax(full[a:b]))
                     if full[best] > longest[i]:
                         longest[i], at[i] = int(full[best]), int(place[best])
                         item[i] = block.names[block.owners[suffix[best]]]
+            if n_words is None:  # no item has a word
+                n_words = np.concatenate([np.diff(words_of(p.column("text"), ALPHANUMERIC, lower=True).bounds) for p in chunks([batch])] or [[]])
             columns = [batch.column("row")] + ([batch.column("text")] if with_text else []) + [
                 pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())),
-                pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int32()),
+                pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(longest, pa.int32()),
                 pa.array(item, pa.string()), pa.array(at, pa.int64())]
             names = ["row"] + (["text"] if with_text else []) + ["n_words", "hits", "items", "longest", "longest_item", "longest_at"]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -197,29 +242,16 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, columns: list[str], wind
     spark = docs.sparkSession
     small_batches(spark)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), "text").where(
-        "length(text) > 0")
+        "length(text) > 0").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, math.ceil(size / block_bytes))
-    part = F.pmod(F.xxhash64("name", "text"), F.lit(n_blocks))
-    rows = docs.select(packed(columns), "text", F.lit(0).cast("bigint").alias("n_words"),
-                       F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<string>").alias("items"),
-                       F.lit(0).alias("longest"), F.lit(None).cast("string").alias("longest_item"),
-                       F.lit(None).cast("bigint").alias("longest_at"))
-    kind = docs.select(packed(columns)).schema["row"].dataType.simpleString()
-    blocks = (test_block(items.where(part == b).toArrow(), window) for b in range(n_blocks))
-    blocks = [spark.sparkContext.broadcast(vars(b)) for b in blocks if b is not None]
-    for k, block in enumerate(blocks):
-        with_text = k < len(blocks) - 1 or "text" in columns
-        rows = rows.mapInArrow(_match_block(block, with_text), f"row {kind}, {'text string, ' if with_text else ''}{_REPORT}")
-    if not blocks:
-        plain = F.regexp_count(F.translate("text", _UPPER, _UPPER.lower()), F.lit(WORD))
-        rows = rows.withColumn("n_words", F.coalesce(plain, F.lit(0)).cast("bigint"))
-        return rows if "text" in columns else rows.drop("text")
-    return rows
-
-
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    part = F.pmod(F.xxhash64("name", "text"), F.lit(max(1, math.ceil(size / block_bytes))))
+    with setting(spark, "spark.sql.files.maxRecordsPerFile", "1"):  # a file for each block
+        blocks = saved(items.withColumn("block", part).groupBy("block").applyInArrow(_prepared(window), "payload binary"),
+                       "test-blocks")
+    rows = docs.select(packed(columns), "text")
+    kind, with_text = rows.schema["row"].dataType.simpleString(), "text" in columns
+    return rows.mapInArrow(_match_blocks(blocks.inputFiles(), with_text),
+                           f"row {kind}, {'text string, ' if with_text else ''}{_REPORT}")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

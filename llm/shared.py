@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -22,6 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
 
 
+def open_uri(uri: str):
+    """A file system and a path in it, for a URI that Spark knows."""
+    return pafs.FileSystem.from_uri(re.sub("^s3a:", "s3:", re.sub("^file:/(?!/)", "file:///", uri)))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

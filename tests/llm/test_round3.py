@@ -317,3 +317,33 @@ def test_recall_of_pairs_just_above_the_threshold(shared, monkeypatch):
     got = {q.doc_id: q.class_id for q in op3_jaccard.near_duplicates(docs_of(shared, rows)).select("doc_id", "class_id").collect()}
     caught = sum(got[a] == got[b] for a, b in pairs)
     assert len(pairs) > 100 and caught >= 0.95 * len(pairs)
+
+
+# --- 2: blocks of the benchmark ---------------------------------------------------------------
+
+
+def test_only_possible_suffixes_are_searched():
+    import pyarrow as pa
+
+    from llm.op2_decontaminate import _possible, test_block
+
+    items = pa.table({"name": ["a", "b"], "text": ["one two three four five", "six seven"]})
+    block = test_block(items, 3)
+    number = lambda text: 1 + np.searchsorted(block.vocabulary, test_block(pa.table({"name": ["x"], "text": [text]}), 1).vocabulary)
+    starts = lambda text: block.starts[_possible(number(text), block)].tolist()
+    assert starts("one two three") == [0] and starts("two three four five") == [1, 2] and starts("six seven") == [6] and starts("six one two") == []
+
+
+def test_items_do_not_pass_the_driver(shared, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from llm import op2_decontaminate
+
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: pytest.fail("items on the driver"))
+    text = " ".join(f"word{k}" for k in range(40))
+    bench = shared.createDataFrame([(k, text if k % 2 else f"other {k} " * 20) for k in range(50)] * 2, "item_id long, text string")
+    docs = docs_of(shared, [(1, "before " + text + " after", "en", "s"), (2, "word1 word2 word3", "en", "s"), (3, None, "en", "s")])
+    for block_bytes in (1 << 22, 500):
+        got = {r.doc_id: r for r in op2_decontaminate.contamination(docs, bench, block_bytes=block_bytes).collect()}
+        assert (got[1].n_hit, got[1].n_items, got[1].longest, got[1].longest_at) == (40, 25, 40, 1)
+        assert (got[2].n_hit, got[2].n_words, got[3].n_words) == (0, 3, 0)
