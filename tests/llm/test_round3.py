@@ -347,3 +347,24 @@ def test_items_do_not_pass_the_driver(shared, monkeypatch):
         got = {r.doc_id: r for r in op2_decontaminate.contamination(docs, bench, block_bytes=block_bytes).collect()}
         assert (got[1].n_hit, got[1].n_items, got[1].longest, got[1].longest_at) == (40, 25, 40, 1)
         assert (got[2].n_hit, got[2].n_words, got[3].n_words) == (0, 3, 0)
+
+
+# --- 7: what the network rejects ---------------------------------------------------------------
+
+
+def test_unsure_documents_are_rejected(shared, monkeypatch):
+    from llm import gru, op7_language
+
+    rows = [(1, "some text", None, "s"), (2, "12 34", "en", "s"), (3, None, "en", "s"), (3, "some text", "fr", "s")]
+    docs = docs_of(shared, rows)
+    kept = lambda **options: sorted((r.doc_id, r.lang) for r in op7_language.of_known_language(docs, **options).collect())
+    weights = {k: 0 * v for k, v in gru.new_weights(2, 4, 0).items()}
+    even = gru.Model(["de", "en", "es", "fr"], weights)
+    monkeypatch.setattr(op7_language, "fit", lambda docs, **options: even)
+    assert kept() == [] and kept(floor=0.0) == [(1, "de"), (3, "fr")]
+    sure = gru.Model(even.labels, weights | {"bias": np.array([0, 5, 0, 0], np.float32)})
+    monkeypatch.setattr(op7_language, "fit", lambda docs, **options: sure)
+    assert kept() == [(1, "en"), (3, "fr")]
+    monkeypatch.setattr(op7_language, "fit", lambda docs, **options: None)
+    assert kept() == [(1, None), (3, "fr")]
+    assert op7_language.least_score(1) == 0 and abs(op7_language.least_score(4) - 0.3475) < 1e-9
