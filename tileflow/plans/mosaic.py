@@ -38,18 +38,18 @@ def even_block(grid: TileGrid, block: int) -> int:
     return -(-side // max(1, round(side / block)))
 
 
-def _of_images(tiles: DataFrame, weights: DataFrame, request_join: str, limit: int, bits: int) -> DataFrame:
+def _of_images(tiles: DataFrame, weights: DataFrame, ids: DataFrame, request_join: str, limit: int, bits: int) -> DataFrame:
     """The tiles of requested images (a few others may pass the filter), before a join that has
-    to see every request."""
+    to see every request.  ``ids`` are the requests as they came: a filter need not count them."""
     if request_join == "broadcast":
         return tiles.join(broadcast_requests(weights, limit).select("img_id"), "img_id", "left_semi")
-    return tiles.where(wanted_filter(weights, bits=bits)) if bits else tiles
+    return tiles.where(wanted_filter(ids, bits=bits)) if bits else tiles
 
 
 def read_sources(weights: DataFrame | None, tiles, grid: TileGrid, on_missing: str = "skip",
                  length: int | None = None, partitions: int | None = None, salt: int = 1,
                  request_join: str = "shuffle", broadcast_limit: int = 8 << 20,
-                 filter_bits: int = FILTER_BITS):
+                 filter_bits: int = FILTER_BITS, ids: DataFrame | None = None):
     """Every wanted input tile once with a ``salt``, and the requests still to be joined.
 
     Tiles carry the ``weight`` of their image unless the second value has it: requests
@@ -65,9 +65,9 @@ def read_sources(weights: DataFrame | None, tiles, grid: TileGrid, on_missing: s
         # dealt by tile, not by tile column
         ids = ids.repartition(partitions or spread(ids), *TILE_KEY)
         return attach_tiles(ids, tiles, TILE_KEY).withColumn("salt", F.lit(0)), None
-    stored = tiles_of_grid(tiles, grid)
+    stored, ids = tiles_of_grid(tiles, grid), weights if ids is None else ids
     if on_missing != "skip":
-        stored = _of_images(stored, weights, request_join, broadcast_limit, filter_bits)
+        stored = _of_images(stored, weights, ids, request_join, broadcast_limit, filter_bits)
         rows = attach_tiles(source_ids(weights, grid, partitions), salted(stored), TILE_KEY, on_missing, length,
                             shuffle=True, carry=("salt",))
         return rows.withColumn("salt", F.coalesce("salt", F.lit(0))), None
@@ -75,7 +75,7 @@ def read_sources(weights: DataFrame | None, tiles, grid: TileGrid, on_missing: s
         # the filter, true of every request, marks them as selective: of a table stored by
         # image only the wanted images are read
         return salted(stored.join(broadcast_requests(weights, broadcast_limit), "img_id")), None
-    return salted(_of_images(stored, weights, request_join, broadcast_limit, filter_bits)), weights.where("weight > 0")
+    return salted(_of_images(stored, weights, ids, request_join, broadcast_limit, filter_bits)), weights.where("weight > 0")
 
 
 def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "grouped",
@@ -165,7 +165,7 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
         if callable(tiles):
             pairs = pairs.repartition(partitions or spread(pairs), *at)
         else:
-            tiles = _of_images(tiles_of_grid(tiles, grid), weights, request_join, broadcast_limit, filter_bits)
+            tiles = _of_images(tiles_of_grid(tiles, grid), weights, requests, request_join, broadcast_limit, filter_bits)
         rows = attach_tiles(pairs, tiles, at, on_missing, length, shuffle=True)
         # without z, one value: results then are dealt by what a later join of mosaics needs
         built = sum_tiles(rows, ["img_id", "x", "y"], method=method, output=output, length=length,
@@ -175,7 +175,7 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
 
     block = even_block(grid, block)
     sources, joined = read_sources(weights, tiles, grid, on_missing, length, partitions, salt,
-                                   request_join, broadcast_limit, filter_bits)
+                                   request_join, broadcast_limit, filter_bits, requests)
     if strategy == "grouped":
         if salt != 1:
             keys = [*TILE_KEY, *(c for c in ("weight",) if c in sources.columns)]
