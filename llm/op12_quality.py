@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .shared import quoted
+
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 WINDOW = 5
@@ -134,7 +136,7 @@ def judged(docs: DataFrame, most_lost: int = MOST_LOST) -> DataFrame:
                 *[count(r, name) for name in ("boilerplate", "navigation", "symbols", "punctuation")]).alias("failed")))
             .alias("lines"))
 
-    rows = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"),
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"),
                        _let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), of_words).alias("w"),
                        _let(F.split(text, "\n", -1), of_lines).alias("l"),
                        _count(text, SYMBOL).cast("bigint").alias("n_symbols"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import open_uri, packed, saved, setting, small_batches, unpacked
+from .shared import beside_row, open_uri, packed, saved, setting, small_batches, unpacked
 from .words import ALPHANUMERIC, chunks, words_of
 
 #: Words of a window; an item of fewer words is one window.
@@ -249,9 +249,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, columns: list[str], wind
         blocks = saved(items.withColumn("block", part).groupBy("block").applyInArrow(_prepared(window), "payload binary"),
                        "test-blocks")
     rows = docs.select(packed(columns), "text")
-    kind, with_text = rows.schema["row"].dataType.simpleString(), "text" in columns
+    with_text = "text" in columns
     return rows.mapInArrow(_match_blocks(blocks.inputFiles(), with_text),
-                           f"row {kind}, {'text string, ' if with_text else ''}{_REPORT}")
+                           beside_row(rows, ("text string, " if with_text else "") + _REPORT))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

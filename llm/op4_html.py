@@ -25,7 +25,7 @@ from collections import defaultdict
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import small_batches
+from .shared import beside_row, small_batches
 
 #: The bound of the sample that weights are counted on, in labelled pages.
 SAMPLE_PAGES = 2000
@@ -278,7 +278,7 @@ def extract(pages: DataFrame, columns: list[str], weights: tuple[float, dict[str
             texts = [main_text(page, *weights) for page in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(run, beside_row(rows, "text string"))
 
 
 def q_op4_html(spark, sf_dir):

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import gru
-from .shared import packed, small_batches, unpacked
+from .shared import beside_row, packed, small_batches, unpacked
 from .words import chunks, random_values
 
 #: The bound of the sample: documents per language, segments per document, bytes per segment.
@@ -116,9 +116,8 @@ def identify(docs: DataFrame, columns: list[str], model: gru.Model | None) -> Da
     if model is None:
         return rows.select("row", *text, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     small_batches(docs.sparkSession)
-    kind = rows.schema["row"].dataType.simpleString()
-    found = rows.mapInArrow(_label(model, bool(text)), f"row {kind}, letters boolean, {'text string, ' if text else ''}"
-                            "lang_pred string, score double")
+    found = rows.mapInArrow(_label(model, bool(text)), beside_row(
+        rows, "letters boolean, " + ("text string, " if text else "") + "lang_pred string, score double"))
     return found.select("row", *text, F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"),
                         F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"))
 

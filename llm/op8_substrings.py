@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import packed, saved, small_batches, unpacked
+from .shared import beside_row, packed, saved, small_batches, unpacked
 from .words import BLANK_SEPARATED, chunks, run_hashes, windows, words_of
 
 #: Words of a window, and of the runs that anchors are chosen from.
@@ -200,11 +200,11 @@ def parse(docs: DataFrame, columns: list[str], window: int = WINDOW, anchor: int
                .agg(F.collect_list(F.struct("at", "n", "source_doc", "source_at")).alias("repeats")))
     rows = docs.select(packed(columns), "text", *_identity(docs)).join(repeats, ["doc", "tie"], "left")
     small_batches(docs.sparkSession)
-    kind = docs.select(packed(columns)).schema["row"].dataType.simpleString()
     empty = F.array().cast("array<struct<at:int,n:int,source_doc:bigint,source_at:int>>")
-    return rows.select("row", "text", F.coalesce("repeats", empty).alias("repeats")).mapInArrow(
-        _factors(window), f"row {kind}, n_words bigint, n_removed bigint, kept string, kept_sha256 string, "
-        "factors array<struct<start:bigint,end:bigint,source_doc:bigint,source_start:bigint>>")
+    rows = rows.select("row", "text", F.coalesce("repeats", empty).alias("repeats"))
+    return rows.mapInArrow(_factors(window), beside_row(
+        rows, "n_words bigint, n_removed bigint, kept string, kept_sha256 string, "
+        "factors array<struct<start:bigint,end:bigint,source_doc:bigint,source_start:bigint>>"))
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import saved
+from .shared import quoted, saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in code point order, repeating.
@@ -123,7 +123,7 @@ def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **options
     taken = (mix(docs, quality, **options).where("taken > 0").groupBy("doc_id", "text_hash")
              .agg(F.collect_list(F.struct("epochs", "part", "taken")).alias("mixes")))
     taken = taken.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), "text_hash", "mixes")
-    rows = docs.select(F.struct(*[c for c in docs.columns if c != "mix"]).alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns if c != "mix"]).alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
                        F.xxhash64("text").alias("text_hash")).join(taken, ["_id", "text_hash"])
     copy = F.row_number().over(Window.partitionBy("_id", "text_hash").orderBy("_id"))
     rows = rows.select("row", F.get("mixes", copy - 1).alias("mix")).where("mix is not null")

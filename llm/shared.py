@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local = {}
@@ -37,17 +38,28 @@ def new_folder(spark: SparkSession, name: str) -> str:
 BATCH_BYTES = "8m"
 
 
+def quoted(column: str) -> Column:
+    """A column by a name of any characters."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def packed(columns) -> Column:
     """Columns of any names as one struct, ``row``, which later columns cannot clash with.
     The text is left out: it travels beside them, once."""
     rest = [c for c in columns if c != "text"] or ["text"]
-    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in rest]).alias("row")
+    return F.struct(*map(quoted, rest)).alias("row")
 
 
 def unpacked(column: str) -> Column:
     return F.col("text") if column == "text" else F.col("row").getField(column).alias(column)
 
 
+def beside_row(rows: DataFrame, columns: str) -> StructType:
+    """The schema of the packed ``row`` of ``rows`` and, after it, of ``columns``.  (As text it could
+    not hold column names of any characters.)"""
+    return StructType([rows.schema["row"], *StructType.fromDDL(columns).fields])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bounds the Arrow batches of the session, and so what a Python task holds of texts."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
