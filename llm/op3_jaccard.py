@@ -41,6 +41,8 @@ TILE, TILE_BYTES = 512, 8 << 20
 SIMILAR = 0.7
 #: Deepest paths, and the runs that the target recall takes at that depth at the most.
 MAX_DEPTH, MOST_RUNS = 12, 120
+#: Depths whose paths are made at once, while a node's signature is at hand.
+LOOKAHEAD = 4
 FIRST_RUNS, MORE_RUNS = 8, 4
 #: Standard deviations of the sketch estimate below the threshold that still go to the exact check.
 MARGIN = 5.0
@@ -102,32 +104,40 @@ def runs_needed(depth: int, threshold: float = THRESHOLD, recall: float = TARGET
     return 1 if meet >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
+def _with_paths(rows: DataFrame, run, last, depth: int) -> DataFrame:
+    """``node, n_bytes, parent`` and ``paths``, those of the next ``LOOKAHEAD`` depths after ``depth``: each
+    named after the one before, first ``last``, and the coordinate that it draws."""
+    rows = rows.select("node", "n_bytes", "parent", "signature", run.alias("_run"), last.alias("_p0"))
+    for k in range(1, LOOKAHEAD + 1):
+        # coordinates are shared out among the depths, anew in each run: none comes twice on a path
+        drawn = F.floor(F.col("_run") / MAX_DEPTH) if depth + k == 1 else F.xxhash64(f"_p{k - 1}")
+        place = (F.pmod(F.col("_run") + (depth + k - 1), F.lit(MAX_DEPTH))
+                 + F.pmod(drawn, F.lit(COORDINATES // MAX_DEPTH)) * MAX_DEPTH)
+        name = F.xxhash64(f"_p{k - 1}", F.element_at("signature", (place + 1).cast("int")))
+        rows = rows.withColumn(f"_p{k}", F.shiftleft("_run", _RUN_BITS).bitwiseOR(name.bitwiseAND(F.lit((1 << _RUN_BITS) - 1))))
+    return rows.select("node", "n_bytes", "parent", F.array(*[f"_p{k}" for k in range(1, LOOKAHEAD + 1)]).alias("paths"))
+
+
 def _split(nodes: DataFrame, runs: range):
     """The buckets of some runs, ``node, path, n, bytes``, and the deepest path.  The run is the
     uppermost byte of a path."""
-    # coordinates are shared out among the depths, anew in each run: none comes twice on a path
-    def at(depth, run, drawn):
-        place = F.pmod(run + (depth - 1), F.lit(MAX_DEPTH)) + F.pmod(drawn, F.lit(COORDINATES // MAX_DEPTH)) * MAX_DEPTH
-        return F.element_at("signature", (place + 1).cast("int"))
-
-    named = lambda run, *parts: F.shiftleft(run, _RUN_BITS).bitwiseOR(
-        F.xxhash64(*parts).bitwiseAND(F.lit((1 << _RUN_BITS) - 1))).alias("path")
-    run = F.col("run").cast("bigint")
-    rows = nodes.withColumn("run", F.explode(F.array(*[F.lit(r) for r in runs])))
-    rows = rows.select("node", "n_bytes", named(run, "run", at(1, run, F.floor(run / MAX_DEPTH))), F.lit(1 << 62).alias("parent"))
+    rows = nodes.select("*", F.explode(F.array(*[F.lit(r).cast("bigint") for r in runs])).alias("run"),
+                        F.lit(1 << 62).alias("parent"))
+    rows = _with_paths(rows, F.col("run"), F.col("run"), 0)
     found, depth = [], 1
     while True:
+        rows = rows.withColumn("path", F.element_at("paths", (depth - 1) % LOOKAHEAD + 1))
         size = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes")).where("n > 1")
         rows = saved(rows.join(size, "path"), "buckets")
         done = (F.col("n") <= SMALL) | (F.col("n") >= SIMILAR * F.col("parent")) | F.lit(depth >= MAX_DEPTH)
         found.append(rows.where(done).select("node", "path", "n", "bytes"))
-        rows = rows.where(~done)
+        rows = rows.where(~done).select("node", "n_bytes", "path", "paths", F.col("n").alias("parent"))
         if rows.isEmpty():
             break
-        depth += 1
-        run = F.shiftrightunsigned("path", _RUN_BITS)
-        rows = (rows.join(nodes.select("node", "signature"), "node")
-                .select("node", "n_bytes", named(run, "path", at(depth, run, F.xxhash64("path"))), F.col("n").alias("parent")))
+        if depth % LOOKAHEAD == 0:
+            rows = rows.drop("paths").join(nodes.select("node", "signature"), "node")
+            rows = _with_paths(rows, F.shiftrightunsigned("path", _RUN_BITS), F.col("path"), depth)
+        rows, depth = rows.drop("path"), depth + 1
     whole = found[0]
     for more in found[1:]:
         whole = whole.union(more)
