@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.plans import metrics
 from tileflow import TileGrid, fragment_pairs, fragment_pipeline, mosaic
 from tileflow.functions import named_udf, reshape_tile, tile_shape
 from tileflow.operators import strategy_diff, sum_tiles
@@ -114,6 +115,46 @@ def test_salt_is_dealt_before_copies_meet(spark, options):
     assert len(groups) == 8 and max(r["count"] for r in groups) < 1500
 
 
+@pytest.mark.parametrize("method, options", [("arrow", dict()), ("arrow", dict(segment=1)), ("arrow", dict(length=2)), ("lanes", dict())])
+def test_copies_are_added_up_before_they_move(spark, method, options):
+    """What a block's task meets does not grow with the copies of a tile."""
+    moved = []
+    for n in (800, 4_000):
+        out = mosaic(request_list(spark, ["a"]), copies(spark, n), GRID, "partial", method, salt=8, **options)
+        moved.append(max(m.get("shuffleRecordsWritten", 0) for m in metrics(out)))
+        assert moved[-1] < 800
+    assert moved[0] == moved[1]
+
+
+@pytest.mark.parametrize("method, options", [("arrow", dict()), ("arrow", dict(request_join="broadcast", limit=None)), ("arrow", dict(segment=2)), ("lanes", dict(length=5))])
+def test_salt_keeps_the_sums_of_odd_tiles(spark, method, options):
+    """Null and NaN pixels, null and listed-again tiles, an image asked for three times."""
+    odd = [("a", 1, 1, [1.5, None, 25.0]), ("a", 1, 1, [math.nan, 2.0, -30.0]), ("a", 1, 1, None), ("a", 0, 2, [0.5, 0.25, 20.0]),
+           ("a", 2, 2, None), ("b", 1, 1, [1.0, 1.0, 1.0]), (None, 1, 1, [9.0, 9.0, 9.0])]
+    table = tiles(spark, odd * 5).repartition(3)
+    reqs = request_list(spark, ["a", "c", "a", "a"])
+    found = lambda df: sorted((r.img_id, r.x, r.y, [str(float(p)) for p in r.pixels]) for r in df.collect())
+    limit = {k: options[k] for k in ("limit",) if k in options}
+    want = found(mosaic(reqs, table, GRID, "naive", **limit))
+    assert len(want) == 9
+    assert found(mosaic(reqs, table, GRID, "partial", method, salt=4, **options)) == want
+
+
+def test_salted_copies_that_differ_in_length_fail(spark):
+    table = tiles(spark, [("a", 1, 1, [1] * 3), ("a", 1, 1, [1] * 2)], "int").repartition(1)
+    with pytest.raises(Exception, match="differ in length"):
+        built(spark, table, "partial", "arrow", salt=2)
+
+
+def test_binary_copies_and_tiles_of_a_reader_take_a_salt(spark):
+    rows = copies(spark, 100).where("img_id = 'a'").selectExpr("img_id", "z", "x", "y", "unhex(lpad(hex(pixels[0]), 2, '0')) as pixels")
+    out = mosaic(request_list(spark, ["a"]), rows, GRID, "partial", dtype="int8", salt=8).collect()
+    want = built(spark, copies(spark, 100), "naive", "lanes")
+    assert {(r.x, r.y): np.frombuffer(r.pixels, "int64").tolist() for r in out} == {k: v[:1] for k, v in want.items()}
+    reader = lambda img_id, z, x, y: F.array(x, y)
+    assert built(spark, reader, "partial", "arrow", salt=8) == built(spark, reader, "naive", "lanes")
+
+
 def test_salt_needs_a_strategy_that_takes_it(spark):
     with pytest.raises(ValueError):
         mosaic(request_list(spark, ["a"]), copies(spark), GRID, "naive", salt=2)

@@ -16,8 +16,9 @@ from pyspark.sql.types import BinaryType
 
 from ..functions.pixels import BRIGHT_LIMIT, int_div, zero_above
 from ..grid import TileGrid
+from ..sources.tiles import TILE_KEY
 from .block_sums import BLOCK_KEY, block_summer
-from .combine import add_rows, at_most, lane_rows, pixel_rows, sum_type, whole_tiles
+from .combine import add_rows, at_most, lane_rows, pixel_rows, sum_tiles, sum_type, whole_tiles
 
 BLOCK_METHODS = ("arrow", "lanes", "long")
 REQUEST_JOINS = ("shuffle", "broadcast")
@@ -117,6 +118,16 @@ def join_segments(tiles: DataFrame, keys) -> DataFrame:
     return runs.select(*keys, F.flatten("_runs.pixels").alias("pixels"))
 
 
+def add_copies(tiles: DataFrame, limit, length: int | None = None) -> DataFrame:
+    """Add up the copies of every tile, or of every run of it, in each of the groups of a salt.
+
+    Combined before they move: a task meets as many rows of a tile as there are groups, however
+    often the table lists it.  Pixels above ``limit`` count as 0; array pixels only.
+    """
+    keys = [*TILE_KEY, *(c for c in ("seg", "salt", "weight") if c in tiles.columns)]
+    return sum_tiles(tiles, keys, element=lambda v: zero_above(v, limit), length=length)
+
+
 def _users(at: str, step: int, n_size: int, n_targets: int, block: int | None, block_at: str):
     """Places along one axis whose outputs use the tile; inside its block if ``block`` is set."""
     low = [_index(at, step) - n_size, F.lit(0).cast("bigint")]
@@ -202,9 +213,14 @@ def sum_neighbourhoods_by_parts(sources: DataFrame, grid: TileGrid, method: str
     Every tile moves once, to the block of inputs it lies in, and is added to all
     outputs it reaches; only these partial sums, complete but for the rim of the block,
     move in the second shuffle.  The first sum of a block is shared among ``salt`` groups,
-    by the column ``salt`` of ``sources``.
+    by the column ``salt`` of ``sources``; the copies of a tile in a group are added up before
+    they move (those of binary tiles are not).
     """
-    rows = with_own_block(cut_segments(sources, segment, dtype, length), grid, block)
+    cut = cut_segments(sources, segment, dtype, length)
+    if salt != 1 and dtype is None:
+        # every pixel once under the limit: what is left are sums
+        cut, limit = add_copies(cut, limit, length if segment is None else segment), None
+    rows = with_own_block(cut, grid, block)
     wanted = None if weights is None else wanted_blocks(
         weights, grid, block, of_inputs=True, salt=None if salt == 1 else salt)
     if method == "arrow":

@@ -127,9 +127,10 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
         tasks among which expansions and a reader's calls are spread (default: the
         session's shuffle partitions).
     salt
-        for a tile table that lists a tile very often (the pixels of every copy count):
-        with ``partial`` that many groups share a block; with ``grouped`` any salt above 1
-        first adds up the copies of each tile, combined before they move.
+        for a tile table that lists a tile very often (the pixels of every copy count): any salt
+        above 1 first adds up the copies of each tile, combined before they move; with ``partial``
+        in that many groups, which then share a block.  The copies of binary tiles all move
+        (``partial`` only), a group's to one task.
     check_unique
         first run a job over the key columns that fails if a tile is listed twice.
     output
@@ -184,7 +185,7 @@ def mosaic(requests: DataFrame | None, tiles, grid: TileGrid, strategy: str = "g
         segments = sum_neighbourhoods(sources, grid, method, block, segment, limit, dtype, length, joined)
     else:
         segments = sum_neighbourhoods_by_parts(sources, grid, method, block, segment, limit,
-                                               dtype, length, joined, salt)
+                                               dtype, length, joined, 1 if callable(tiles) else salt)
     if output == "segments":
         return segments
     if output == "long" and dtype is None:
